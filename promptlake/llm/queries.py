@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, quality, sharding, warc, winnow
+from . import chat, jaccard, mixing, quality, sharding, warc, winnow
 from .common import checkpointed, scratch, table
 
 PROBE = "</s>[INST] ok [/INST]"
@@ -35,9 +35,13 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), n_shards=40)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op4_warc, op5_decontamination, op6_chat_format, op7_mixing, op10_sharding)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op4_warc, op5_decontamination, op6_chat_format, op7_mixing, op8_jaccard_join, op10_sharding)}
 ORACLE_SQL: dict[str, str] = {}

@@ -125,3 +125,15 @@ def shard(docs: DataFrame, n_shards: int | None = None, target_bytes: int | None
     inner = F.row_number().over(Window.partitionBy("shard", "bucket").orderBy("doc_id", "text_crc32", "size"))
     out = placed.withColumn("rn", inner).join(offsets, (F.col("shard") == F.col("o_shard")) & (F.col("bucket") == F.col("o_bucket")))
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", (F.col("first") + F.col("rn") - 1).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
+
+
+def with_shards(docs: DataFrame, n_shards: int, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang") -> DataFrame:
+    """The rows of ``docs`` with size, shard and slot; rows that agree in all these take the slots between them."""
+    placed = shard(docs, n_shards, None, id_col, text_col, source_col, lang_col).select(F.col("doc_id").alias("p_id"), F.col("size").alias("p_size"), F.col("text_crc32").alias("p_crc"), "shard", "slot")
+    order = Window.partitionBy("p_id", "p_size", "p_crc").orderBy("shard", "slot")
+    placed = placed.withColumn("p_nth", F.row_number().over(order))
+    text = text_of(text_col)
+    own = docs.withColumns({"o_size": (F.octet_length(text) + OVERHEAD).cast("long"), "o_crc": F.crc32(text)})
+    own = own.withColumn("o_nth", F.row_number().over(Window.partitionBy(id_col, "o_size", "o_crc").orderBy(F.lit(1))))
+    same = own[id_col].eqNullSafe(F.col("p_id")) & (F.col("o_size") == F.col("p_size")) & (F.col("o_crc") == F.col("p_crc")) & (F.col("o_nth") == F.col("p_nth"))
+    return own.join(placed, same).select(*[F.col(f"`{c}`") for c in docs.columns], F.col("p_size").alias("size"), "shard", "slot")

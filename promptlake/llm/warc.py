@@ -86,7 +86,7 @@ def _writer(folder: str, date: str):
         records, held = [], 0
         for b in batches:
             for row in b.itertuples(index=False):
-                page_id, refers_to = (None if pd.isna(x) else int(x) for x in (row.page_id, row.refers_to))
+                page_id, refers_to = (None if x is None else int(x) for x in (row.page_id, row.refers_to))
                 records.append(_record(page_id, row.url, row.html, row.payload_digest, int(row.payload_bytes), refers_to, date))
                 held += len(records[-1])
                 if held >= ARCHIVE_BYTES:
@@ -112,7 +112,7 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     firsts = p.filter(F.col("payload_bytes") >= MIN_PAYLOAD).groupBy("payload_digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).filter("n > 1").select(F.col("payload_digest").alias("d"), "first")
     p = p.join(firsts, F.col("payload_digest") == F.col("d"), "left")
     p = p.withColumn("refers_to", F.when(F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first")), F.col("first")))
-    p = p.select("page_id", "url", F.when(F.col("refers_to").isNull(), F.col("html")).alias("html"), "payload_digest", "payload_bytes", "refers_to")
+    p = p.select(F.col("page_id").cast("string"), "url", F.when(F.col("refers_to").isNull(), F.col("html")).alias("html"), "payload_digest", "payload_bytes", F.col("refers_to").cast("string"))
     return p.mapInPandas(_writer(folder, date), "archive string, n_records long").agg(F.coalesce(F.sum("n_records"), F.lit(0))).first()[0]
 
 

@@ -9,7 +9,7 @@ whether whole windows occur, never a hash alone.
 Fingerprints and words of the items go to the tasks by broadcast only while the
 items have at most ``max_words`` words (64 MB at most in a task).  Beyond that the items are
 taken in blocks of that many words, each joined with every document, and the hit
-ranges of a document are merged.
+ranges of a document are merged.  Either way no document is shuffled.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -157,6 +157,10 @@ def _digest(items: set[str]) -> str:
     return hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()
 
 
+_SPANS = "array<struct<start:int,end:int>>"
+_SPAN = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", max_words: int = MAX_WORDS) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated and spans for each row of ``docs``.
 
@@ -164,58 +168,84 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     words; items without words have no window; repeated items and documents count
     as rows of their own; an empty benchmark hits nothing.
     """
-    spark = docs.sparkSession
     own = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
-    fields = "doc_id {}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, spans array<struct<start:int,end:int>>".format(dict(own.dtypes)["doc_id"])
+    return matched(own, "text", benchmark, item_col, item_text_col, max_words).drop("text")
+
+
+def keep_clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", max_words: int = MAX_WORDS) -> DataFrame:
+    """The rows of ``docs`` in which no window occurs, with their own columns."""
+    own = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    kept = matched(own, f"c{docs.columns.index(text_col)}", benchmark, item_col, item_text_col, max_words).filter(~F.col("contaminated"))
+    return kept.select(*own.columns).toDF(*docs.columns)
+
+
+def matched(own: DataFrame, text_col: str, benchmark: DataFrame, item_col: str, item_text_col: str, max_words: int) -> DataFrame:
+    """``own`` with the columns of a result."""
+    spark = own.sparkSession
+    columns = ", ".join(f"`{k}` {v}" for k, v in own.dtypes)
+    fields = f"n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, spans {_SPANS}"
     blocks = _blocks(benchmark, item_col, item_text_col, max_words)
     first = next(blocks)
     second = next(blocks, None)
     if second is None:
-        return own.mapInPandas(_matcher(spark.sparkContext.broadcast(Items(first))), fields)
-    part = "uid long, doc_id {}, n_words long, items array<string>, spans array<struct<start:int,end:int>>".format(dict(own.dtypes)["doc_id"])
-    own = own.withColumn("uid", F.monotonically_increasing_id())
-    found, more = None, [first, second]
-    for rows in (x for source in (more, blocks) for x in source):
-        here = checkpointed(own.mapInPandas(_matcher(spark.sparkContext.broadcast(Items(rows)), raw=True), part))
-        found = here if found is None else found.unionByName(here)
-    grouped = found.groupBy("uid").agg(F.first("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"), F.array_sort(F.flatten(F.collect_list("items"))).alias("items"), F.flatten(F.collect_list("spans")).alias("spans"))
-    return grouped.drop("uid").mapInPandas(_finish, fields)
-
-
-def _result(ids: list, n_words: list, ranges: list, items: list) -> pd.DataFrame:
+        return own.mapInArrow(_matcher(spark.sparkContext.broadcast(Items(first)), text_col), f"{columns}, {fields}")
+    # several blocks: each adds its items and ranges to the rows
+    found = own.withColumns({"b_items": F.array().cast("array<string>"), "b_spans": F.array().cast(_SPANS)})
+    for rows in (x for source in ((first, second), blocks) for x in source):
+        found = checkpointed(found.mapInArrow(_adder(spark.sparkContext.broadcast(Items(rows)), text_col), f"{columns}, b_items array<string>, b_spans {_SPANS}"))
+    return found.mapInArrow(_finish(text_col), f"{columns}, {fields}")
+
+
+def _with_result(b: pa.RecordBatch, columns: list[str], n_words: list, ranges: list, items: list) -> pa.RecordBatch:
     spans = [merged(r) for r in ranges]
-    return pd.DataFrame(
-        {
-            "doc_id": pd.Series(ids, dtype=object),
-            "n_words": n_words,
-            "n_hit": [sum(b - a for a, b in s) for s in spans],
-            "n_items": [len(i) for i in items],
-            "items_sha256": [_digest(i) for i in items],
-            "contaminated": [bool(s) for s in spans],
-            "spans": [[{"start": a, "end": b} for a, b in s] for s in spans],
-        }
-    )
-
-
-def _matcher(items, raw: bool = False):
-    def match(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    more = {
+        "n_words": pa.array(n_words, pa.int64()),
+        "n_hit": pa.array([sum(y - x for x, y in s) for s in spans], pa.int64()),
+        "n_items": pa.array([len(i) for i in items], pa.int64()),
+        "items_sha256": pa.array([_digest(i) for i in items], pa.string()),
+        "contaminated": pa.array([bool(s) for s in spans], pa.bool_()),
+        "spans": pa.array([[{"start": x, "end": y} for x, y in s] for s in spans], _SPAN),
+    }
+    return pa.RecordBatch.from_arrays([*(b.column(c) for c in columns), *more.values()], [*columns, *more])
+
+
+def _matcher(items, text_col: str):
+    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, cache = items.value, _Hashes()
-        for batch in batches:
+        for b in batches:
             n_words, ranges, found = [], [], []
-            for text in batch["text"]:
+            for text in b.column(text_col).to_pylist():
                 ws = words(text)
                 r, f = block.hits(ws, hashed(ws, cache))
                 n_words.append(len(ws))
                 ranges.append(r)
                 found.append(f)
-            if raw:
-                yield pd.DataFrame({"uid": batch["uid"], "doc_id": batch["doc_id"], "n_words": n_words, "items": [sorted(f) for f in found], "spans": [[{"start": a, "end": b} for a, b in merged(r)] for r in ranges]})
-            else:
-                yield _result(batch["doc_id"].tolist(), n_words, ranges, found)
+            yield _with_result(b, b.schema.names, n_words, ranges, found)
 
     return match
 
 
-def _finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for b in batches:
-        yield _result(b["doc_id"].tolist(), b["n_words"].tolist(), [[(x["start"], x["end"]) for x in s] for s in b["spans"]], [set(i) for i in b["items"]])
+def _adder(items, text_col: str):
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, cache = items.value, _Hashes()
+        for b in batches:
+            names, spans = b.column("b_items").to_pylist(), b.column("b_spans").to_pylist()
+            for i, text in enumerate(b.column(text_col).to_pylist()):
+                ws = words(text)
+                r, f = block.hits(ws, hashed(ws, cache))
+                names[i] = sorted({*names[i], *f})
+                spans[i] = [{"start": x, "end": y} for x, y in merged([*((s["start"], s["end"]) for s in spans[i]), *r])]
+            columns = [c for c in b.schema.names if c not in ("b_items", "b_spans")]
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in columns), pa.array(names, pa.list_(pa.string())), pa.array(spans, _SPAN)], [*columns, "b_items", "b_spans"])
+
+    return add
+
+
+def _finish(text_col: str):
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            columns = [c for c in b.schema.names if c not in ("b_items", "b_spans")]
+            ranges = [[(s["start"], s["end"]) for s in x] for x in b.column("b_spans").to_pylist()]
+            yield _with_result(b, columns, [len(words(t)) for t in b.column(text_col).to_pylist()], ranges, [set(x) for x in b.column("b_items").to_pylist()])
+
+    return finish
