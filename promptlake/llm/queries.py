@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, jaccard, mixing, quality, sharding, warc, winnow
+from . import chat, html_sst, jaccard, mixing, quality, sharding, suffix, warc, winnow
 from .common import checkpointed, scratch, table
 
 PROBE = "</s>[INST] ok [/INST]"
@@ -15,6 +15,14 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_sst.extract(table(spark, sf_dir, "pages"))
+
+
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.remove_repeats(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch(spark, "warc")
     warc.write_archives(table(spark, sf_dir, "pages"), folder)
@@ -43,5 +51,5 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), n_shards=40)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op4_warc, op5_decontamination, op6_chat_format, op7_mixing, op8_jaccard_join, op10_sharding)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_html_extraction, op3_suffix_dedup, op4_warc, op5_decontamination, op6_chat_format, op7_mixing, op8_jaccard_join, op10_sharding)}
 ORACLE_SQL: dict[str, str] = {}
