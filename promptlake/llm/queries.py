@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, html_sst, jaccard, mixing, quality, sharding, suffix, warc, winnow
+from . import chat, html_sst, jaccard, linededup, mixing, quality, sharding, suffix, warc, winnow
 from .common import checkpointed, scratch, table
 
 PROBE = "</s>[INST] ok [/INST]"
@@ -47,9 +47,14 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = linededup.dedup_lines(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_chunks", "n_removed_chunks", "n_removed_lines", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), n_shards=40)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_html_extraction, op3_suffix_dedup, op4_warc, op5_decontamination, op6_chat_format, op7_mixing, op8_jaccard_join, op10_sharding)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_html_extraction, op3_suffix_dedup, op4_warc, op5_decontamination, op6_chat_format, op7_mixing, op8_jaccard_join, op9_line_dedup, op10_sharding)}
 ORACLE_SQL: dict[str, str] = {}
