@@ -4,7 +4,8 @@
    of the whole set (so copies are one set).  Packed (token, set) postings are
    shuffled once by token; a task finds how many sets have each token and returns
    to each set only the tokens that another set has too.  A set with fewer than
-   80 % such tokens has no partner and goes.
+   80 % such tokens has no partner and goes.  (A token is 40 bits of its hash and its
+   range, so ids grow with the number of ranges.)
 2. Blocks.  The sets left are grouped into blocks of bounded tokens, near ones
    together: by their most frequent token, large groups split by a hash.
 3. Candidates.  An order k sorts tokens by (frequency class, hash k).  Two sets with
@@ -38,9 +39,8 @@ PERCENT = 80
 ORDERS = 3
 #: Tokens of a block, and of what a task packs at once.
 BLOCK_TOKENS = 1 << 16
-FLUSH_TOKENS = 1 << 21
+FLUSH_TOKENS = 3 << 20
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], dtype=np.uint64)
-_LOW = np.uint64((1 << 48) - 1)
 
 
 class _Hashes(dict):
@@ -71,7 +71,8 @@ def shingle_set(text: str | None, cache: _Hashes) -> np.ndarray:
 
 
 def _name(s: np.ndarray) -> int:
-    return int(np.bitwise_xor.reduce(_mixed(s + _ODD[3]))) ^ len(s)
+    h = (int(np.bitwise_xor.reduce(_mixed(s + _ODD[3]))) ^ len(s)) if len(s) else 0
+    return h - (1 << 64) if h >> 63 else h
 
 
 def _signed(a: np.ndarray) -> np.ndarray:
@@ -99,34 +100,33 @@ def _index_map(n_parts: int):
         total = 0
 
         def flush(ids: pa.DataType) -> pa.RecordBatch:
-            sizes = np.array([len(s) for s in held])
-            tok, doc = np.concatenate(held), np.repeat(np.arange(len(held)), sizes)
-            part = ((tok >> np.uint64(48)) * np.uint64(n_parts)) >> np.uint64(16)
+            tok, doc = np.concatenate(held), np.repeat(np.arange(len(held), dtype=np.uint32), [len(s) for s in held])
+            part = _part(tok, n_parts)
             order = np.argsort(part, kind="stable")
-            tok, doc, part = tok[order], doc[order], part[order].astype(np.int64)
-            keys = np.array(names, dtype=np.uint64)
+            tok, doc, part = tok[order], doc[order], part[order]
+            keys = np.array(names, dtype=np.int64)
             rows, cuts = [], np.searchsorted(part, np.arange(n_parts + 1))
             for p in np.flatnonzero(np.diff(cuts)).tolist():
-                t, d = tok[cuts[p] : cuts[p + 1]], doc[cuts[p] : cuts[p + 1]]
-                own, counts = np.unique(d, return_counts=True)  # d is in order
-                low = t.view(np.uint8).reshape(-1, 8)[:, :6]
-                high = (t >> np.uint64(48)).astype(np.uint16)
-                head = np.array([len(own), len(t)], dtype=np.int64)
-                rows.append((p, head.tobytes() + keys[own].tobytes() + sizes[own].astype(np.uint32).tobytes() + counts.astype(np.uint32).tobytes() + high.tobytes() + low.tobytes()))
+                s = slice(int(cuts[p]), int(cuts[p + 1]))
+                first = np.flatnonzero(np.r_[True, doc[s][1:] != doc[s][:-1]])
+                low = tok[s].view(np.uint8).reshape(-1, 8)[:, :5]
+                rows.append((p, _packed(keys[doc[s][first]], first, s.stop - s.start, low.tobytes())))
             return _packed_rows(rows, ids)
 
         for b in batches:
-            sets = [shingle_set(t, cache) for t in b.column("text").to_pylist()]
-            own = [_name(s) for s in sets]
-            ids = b.schema.field("doc_id").type
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(sets), -1, dtype=np.int32)), b.column("doc_id"), pa.array([len(s) for s in sets], pa.int32()), pa.array(_signed(np.array(own, dtype=np.uint64))), pa.nulls(len(sets), pa.binary())], _NAMES
-            )
-            for s, name in zip(sets, own, strict=True):
-                if len(s):
-                    held.append(s)
-                    names.append(name)
-                    total += len(s)
+            for at in range(0, b.num_rows, 512):
+                c = b.slice(at, 512)
+                ids, own, sizes = b.schema.field("doc_id").type, [], []
+                for text in c.column("text").to_pylist():
+                    s = shingle_set(text, cache)
+                    name = _name(s)
+                    own.append(name)
+                    sizes.append(len(s))
+                    if len(s):
+                        held.append(s)
+                        names.append(name)
+                        total += len(s)
+                yield pa.RecordBatch.from_arrays([pa.nulls(len(own), pa.int32()), c.column("doc_id"), pa.array(sizes, pa.int32()), pa.array(own, pa.int64()), pa.nulls(len(own), pa.binary())], _NAMES)
                 if total >= FLUSH_TOKENS:
                     yield flush(ids)
                     held, names, total = [], [], 0
@@ -136,18 +136,24 @@ def _index_map(n_parts: int):
     return run
 
 
-def _unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """token, name and size of each posting."""
-    k, m = np.frombuffer(blob, np.int64, 2)
-    at = 16
-    keys = np.frombuffer(blob, np.uint64, k, at)
-    sizes = np.frombuffer(blob, np.uint32, k, at + 8 * k)
-    counts = np.frombuffer(blob, np.uint32, k, at + 12 * k)
-    at += 16 * k
-    high = np.frombuffer(blob, np.uint16, m, at).astype(np.uint64)
-    t = np.zeros((m, 8), dtype=np.uint8)
-    t[:, :6] = np.frombuffer(blob, np.uint8, 6 * m, at + 2 * m).reshape(-1, 6)
-    return t.view(np.uint64).reshape(-1) | (high << np.uint64(48)), np.repeat(keys, counts), np.repeat(sizes, counts)
+def _part(tok: np.ndarray, n_parts: int) -> np.ndarray:
+    """The token range of each token, by its 24 high bits."""
+    return (((tok >> np.uint64(40)) * np.uint64(n_parts)) >> np.uint64(24)).astype(np.int32)
+
+
+def _packed(names: np.ndarray, first: np.ndarray, m: int, rest: bytes) -> bytes:
+    """Names with the numbers of their postings (which come name by name), then ``rest``."""
+    counts = np.diff(np.r_[first, m]).astype(np.uint32)
+    wide = counts.max() > 255
+    head = np.array([len(names), m, wide], dtype=np.int64)
+    return head.tobytes() + names.tobytes() + (counts if wide else counts.astype(np.uint8)).tobytes() + rest
+
+
+def _opened(blob: bytes) -> tuple[np.ndarray, np.ndarray, int, int]:
+    """The names, the counts, the number of postings, and where the rest begins."""
+    k, m, wide = (int(x) for x in np.frombuffer(blob, np.int64, 3))
+    kind = np.dtype(np.uint32 if wide else np.uint8)
+    return np.frombuffer(blob, np.int64, k, 24), np.frombuffer(blob, kind, k, 24 + 8 * k), m, 24 + (8 + kind.itemsize) * k
 
 
 def frequency_class(df: np.ndarray) -> np.ndarray:
@@ -156,68 +162,90 @@ def frequency_class(df: np.ndarray) -> np.ndarray:
 
 
 def _index_reduce(n_parts: int):
-    """Postings of a token range to the postings of tokens of two sets or more, by set."""
+    """Postings of token ranges to the postings of tokens of two sets or more, by set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = []
+        by_part: dict[int, list[bytes]] = {}
         for b in batches:
-            is_doc = pc.less(b.column("part"), 0)
+            is_doc = pc.is_null(b.column("part"))
             if pc.any(is_doc).as_py():
                 yield b.filter(is_doc)
-            ids = b.schema.field("doc_id").type
-            got += [_unpacked(x) for x in b.column("packed").drop_null().to_pylist()]
-        if not got:
-            return
-        tok, name, size = (np.concatenate(x) for x in zip(*got, strict=True))
-        got.clear()
-        order = np.lexsort((name, tok))
-        tok, name, size = tok[order], name[order], size[order]
-        new = np.r_[True, (tok[1:] != tok[:-1]) | (name[1:] != name[:-1])]  # copies of a set have its name
-        tok, name, size = tok[new], name[new], size[new]
-        start = np.flatnonzero(np.r_[True, tok[1:] != tok[:-1]])
-        df = np.repeat(np.diff(np.r_[start, len(tok)]), np.diff(np.r_[start, len(tok)]))
-        keep = df >= 2
-        tok, name, size, df = tok[keep], name[keep], size[keep], df[keep]
-        part = (name % np.uint64(n_parts)).astype(np.int64)
-        order = np.lexsort((name, part))
-        tok, name, size, df, part = tok[order], name[order], size[order], frequency_class(df[order]), part[order]
-        cuts = np.searchsorted(part, np.arange(n_parts + 1))
-        for p in np.flatnonzero(np.diff(cuts)).tolist():
-            s = slice(int(cuts[p]), int(cuts[p + 1]))
-            keys, first, counts = np.unique(name[s], return_index=True, return_counts=True)
-            head = np.array([len(keys), s.stop - s.start], dtype=np.int64)
-            blob = head.tobytes() + keys.tobytes() + size[s][first].astype(np.uint32).tobytes() + counts.astype(np.uint32).tobytes() + tok[s].tobytes() + df[s].tobytes()
-            yield _packed_rows([(p, blob)], ids)
+            ids, is_packed = b.schema.field("doc_id").type, b.filter(pc.invert(is_doc))
+            for p, blob in zip(is_packed.column("part").to_pylist(), is_packed.column("packed").to_pylist(), strict=True):
+                by_part.setdefault(p, []).append(blob)
+        while by_part:
+            p, blobs = by_part.popitem()
+            names, index, low, base = [], [], [], 0
+            for blob in blobs:
+                own, counts, m, at = _opened(blob)
+                names.append(own)
+                index.append(np.repeat(np.arange(base, base + len(own), dtype=np.uint32), counts))
+                base += len(own)
+                t = np.zeros((m, 8), dtype=np.uint8)
+                t[:, :5] = np.frombuffer(blob, np.uint8, 5 * m, at).reshape(-1, 5)
+                low.append(t.view(np.uint64).reshape(-1))
+            names, index, tok = np.concatenate(names), np.concatenate(index), np.concatenate(low)
+            del blobs, low
+            order = np.argsort(tok)
+            tok = tok[order]
+            same = tok[1:] == tok[:-1]
+            some = np.r_[False, same] | np.r_[same, False]
+            tok, name = tok[some], names[index[order[some]]]
+            order = np.lexsort((name, tok))
+            tok, name = tok[order], name[order]
+            if not len(tok):
+                continue
+            new = np.r_[True, (tok[1:] != tok[:-1]) | (name[1:] != name[:-1])]  # copies of a set have its name
+            tok, name = tok[new], name[new]
+            start = np.flatnonzero(np.r_[True, tok[1:] != tok[:-1]])
+            times = np.diff(np.r_[start, len(tok)])
+            df = np.repeat(times, times)
+            keep = df >= 2
+            tok, name, df = tok[keep] | (np.uint64(p) << np.uint64(40)), name[keep], frequency_class(df[keep])
+            part = np.mod(name, n_parts)
+            order = np.lexsort((name, part))
+            tok, name, df, part = tok[order], name[order], df[order], part[order]
+            cuts, rows = np.searchsorted(part, np.arange(n_parts + 1)), []
+            for q in np.flatnonzero(np.diff(cuts)).tolist():
+                s = slice(int(cuts[q]), int(cuts[q + 1]))
+                first = np.flatnonzero(np.r_[True, name[s][1:] != name[s][:-1]])
+                rows.append((q, _packed(name[s][first], first, s.stop - s.start, tok[s].tobytes() + df[s].tobytes())))
+            yield _packed_rows(rows, ids)
 
     return run
 
 
-def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The shared tokens of each set together; sets with too few of them go."""
-    parts = []
+    parts, known, sizes = [], [], []
     for b in batches:
-        for blob in b["packed"]:
-            k, m = np.frombuffer(blob, np.int64, 2)
-            keys = np.frombuffer(blob, np.uint64, k, 16)
-            sizes = np.frombuffer(blob, np.uint32, k, 16 + 8 * k)
-            counts = np.frombuffer(blob, np.uint32, k, 16 + 12 * k)
-            at = 16 + 16 * k
-            parts.append((np.repeat(keys, counts), np.repeat(sizes, counts), np.frombuffer(blob, np.uint64, m, at), np.frombuffer(blob, np.uint8, m, at + 8 * m)))
+        is_doc = pc.is_null(b.column("packed"))
+        docs = b.filter(is_doc)
+        known.append(docs.column("name").to_numpy())
+        sizes.append(docs.column("n").to_numpy())
+        for blob in b.column("packed").drop_null().to_pylist():
+            own, counts, m, at = _opened(blob)
+            parts.append((np.repeat(own, counts), np.frombuffer(blob, np.uint64, m, at), np.frombuffer(blob, np.uint8, m, at + 8 * m)))
     if not parts:
         return
-    name, size, tok, df = (np.concatenate(x) for x in zip(*parts, strict=True))
+    name, tok, df = (np.concatenate(x) for x in zip(*parts, strict=True))
     parts.clear()
+    known, first = np.unique(np.concatenate(known), return_index=True)
+    sizes = np.concatenate(sizes)[first]
     order = np.lexsort((tok, name))
-    name, size, tok, df = name[order], size[order], tok[order], df[order]
+    name, tok, df = name[order], tok[order], df[order]
     start = np.flatnonzero(np.r_[True, name[1:] != name[:-1]])
     stop = np.r_[start[1:], len(name)]
-    good = np.flatnonzero(100 * (stop - start) >= PERCENT * size[start].astype(np.int64))
-    for i in range(0, len(good), 2000):
+    size = sizes[np.searchsorted(known, name[start])].astype(np.int64)
+    good = np.flatnonzero(100 * (stop - start) >= PERCENT * size)
+    for i in range(0, len(good), 1000):
         rows = []
-        for a, b in zip(start[good[i : i + 2000]].tolist(), stop[good[i : i + 2000]].tolist(), strict=True):
+        for g in good[i : i + 1000].tolist():
+            a, b = int(start[g]), int(stop[g])
             top = tok[a:b][df[a:b] == df[a:b].max()]
-            rows.append((int(name[a : a + 1].view(np.int64)[0]), int(size[a]), b - a, int(_signed(top[np.argmin(_mixed(top))].reshape(1))[0]), tok[a:b].tobytes(), df[a:b].tobytes()))
-        yield pd.DataFrame(rows, columns=["name", "n", "m", "top", "tok", "df"])
+            rows.append((int(name[a]), int(size[g]), b - a, int(top[np.argmin(_mixed(top))]), tok[a:b].tobytes(), df[a:b].tobytes()))
+        types = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], ["name", "n", "m", "top", "tok", "df"])
 
 
 class Block:
@@ -374,11 +402,12 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     parts = shuffle_parts(docs.sparkSession)
     own = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
     kind = _PACKED.format(dict(own.dtypes)["doc_id"])
-    index = own.mapInArrow(_index_map(4 * parts), kind)
-    index = index.repartition(parts, F.when(F.col("part") >= 0, F.col("part")).otherwise(-1 - F.pmod(F.col("name"), F.lit(4 * parts))))
-    index = checkpointed(index.mapInArrow(_index_reduce(4 * parts), kind))
-    found = index.filter("part < 0").select("doc_id", "n", "name")
-    sets = index.filter("part >= 0").select("part", "packed").repartition(parts, "part").mapInPandas(_sets, "name long, n int, m int, top long, tok binary, df binary")
+    index = own.mapInArrow(_index_map(parts), kind)
+    by_name = F.pmod(F.col("name"), F.lit(parts)).cast("int")
+    index = index.repartition(parts, F.coalesce("part", by_name))
+    index = checkpointed(index.mapInArrow(_index_reduce(parts), kind))
+    found = index.filter("packed is null").select("doc_id", "n", "name")
+    sets = index.select("n", "name", "packed", F.coalesce("part", by_name).alias("to")).repartition(parts, "to").mapInArrow(_sets, "name long, n int, m int, top long, tok binary, df binary")
     near = linked_sets(checkpointed(sets))
     placed = found.join(near, (found["name"] == near["node"]) & (found["n"] > 0), "left").select("doc_id", "n", F.coalesce("root", "name").alias("set"))
     placed = checkpointed(placed)
