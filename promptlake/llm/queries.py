@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from . import chat, html_sst, jaccard, linededup, mixing, quality, sharding, suffix, warc, winnow
 from .common import checkpointed, scratch, table
+from .oracles import ORACLE_SQL  # noqa: F401
 
 PROBE = "</s>[INST] ok [/INST]"
 
@@ -57,4 +58,4 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_html_extraction, op3_suffix_dedup, op4_warc, op5_decontamination, op6_chat_format, op7_mixing, op8_jaccard_join, op9_line_dedup, op10_sharding)}
-ORACLE_SQL: dict[str, str] = {}
+
