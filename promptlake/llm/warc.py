@@ -113,6 +113,7 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     p = p.join(firsts, F.col("payload_digest") == F.col("d"), "left")
     p = p.withColumn("refers_to", F.when(F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first")), F.col("first")))
     p = p.select(F.col("page_id").cast("string"), "url", F.when(F.col("refers_to").isNull(), F.col("html")).alias("html"), "payload_digest", "payload_bytes", F.col("refers_to").cast("string"))
+    p = p.sortWithinPartitions("page_id")  # a repeated task writes the same archives
     return p.mapInPandas(_writer(folder, date), "archive string, n_records long").agg(F.coalesce(F.sum("n_records"), F.lit(0))).first()[0]
 
 
