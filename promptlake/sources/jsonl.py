@@ -4,17 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
-_BAD = "_corrupt"
 
-
-def read_strict(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def read_strict(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """Blank lines are skipped; a line that isn't JSON of this schema fails the job."""
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
-def read_objects(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def read_objects(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """As read_strict, but valid JSON that isn't an object is dropped (R2)."""
     lines = spark.read.text(path).filter(F.trim("value") != "")
     parsed = lines.withColumn("v", F.try_parse_json("value"))
@@ -23,12 +21,11 @@ def read_objects(spark: SparkSession, path: str, schema: StructType) -> DataFram
     return objects.select(F.from_json("value", schema).alias("r")).select("r.*")
 
 
-def read_lenient(spark: SparkSession, path: str, schema: StructType) -> tuple[DataFrame, DataFrame]:
-    """Good rows, and a quarantine of (file, line) for the bad ones."""
-    wide = StructType([*schema.fields, StructField(_BAD, StringType())])
-    rows = spark.read.schema(wide).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _BAD).json(path).select("*", F.col("_metadata.file_path").alias("_file"))
-    scalar = F.try_parse_json(_BAD).isNotNull()  # JSON, but no object: dropped without a word
-    return rows.filter(F.col(_BAD).isNull()).drop(_BAD, "_file"), rows.filter(F.col(_BAD).isNotNull() & ~scalar).select(F.col("_file").alias("file"), F.col(_BAD).alias("line"))
+def read_lenient(spark: SparkSession, path: str, schema: StructType | str) -> tuple[DataFrame, DataFrame]:
+    """Good rows, and a quarantine of (file, line) for lines that aren't JSON; JSON that isn't an object is dropped."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file")).filter(F.trim("value") != "").withColumn("v", F.try_parse_json("value"))
+    good = lines.filter(F.schema_of_variant("v").startswith("OBJECT")).select(F.from_json("value", schema).alias("r")).select("r.*")
+    return good, lines.filter(F.col("v").isNull()).select("file", F.col("value").alias("line"))
 
 
 def processed_keys(log: DataFrame, key: str, retry_errors: bool = False) -> DataFrame:
@@ -39,7 +36,7 @@ def processed_keys(log: DataFrame, key: str, retry_errors: bool = False) -> Data
     return done.select(key).distinct()
 
 
-def read_processed(spark: SparkSession, path: str, schema: StructType, key: str) -> DataFrame:
+def read_processed(spark: SparkSession, path: str, schema: StructType | str, key: str) -> DataFrame:
     """Keys of a JSON-lines log, bad lines ignored."""
     return processed_keys(spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path), key)
 

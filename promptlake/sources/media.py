@@ -73,7 +73,7 @@ def mail_parts(files: DataFrame, gmail_query: str = "") -> DataFrame:
                 except (ValueError, LookupError, UnicodeError):
                     continue
                 rows += [(path, 0, *head, gmail_query, i, t) for i, t in enumerate(texts)]
-            yield pd.DataFrame(rows, columns=MAIL_PART.fieldNames())
+            yield pd.DataFrame(rows, columns=["message_id", "message_ord", "subject", "from", "email_datetime", "gmail_query", "part_ord", "text"])
 
     parts = files.select("path", "content").mapInPandas(run, MAIL_PART)
     return parts.withColumn("email_datetime", mail_datetime(F.col("email_datetime")))

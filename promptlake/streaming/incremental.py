@@ -20,7 +20,7 @@ def unseen(rows: DataFrame, key: str, time_col: str | None = None, within: str |
     return rows.dropDuplicates([key])
 
 
-def stream_of(spark: SparkSession, path: str, schema: StructType, fmt: str = "json", files_per_trigger: int | None = None) -> DataFrame:
+def stream_of(spark: SparkSession, path: str, schema: StructType | str, fmt: str = "json", files_per_trigger: int | None = None) -> DataFrame:
     reader = spark.readStream.schema(schema).format(fmt)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
