@@ -56,8 +56,8 @@ def with_base(docs: DataFrame, text: Column, to: str = "q") -> DataFrame:
         .withColumn(w, words_of(F.col("__text")))
         .withColumn("__lines", lines)
         .withColumn(s, F.sort_array(windows))
-        .withColumn(
-            to,
+        # a generator is computed once; the optimizer would copy plain columns into every use of them
+        .select("*", F.explode(F.array(
             F.struct(
                 F.size(w).cast("long").alias("n_words"),
                 F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
@@ -66,8 +66,8 @@ def with_base(docs: DataFrame, text: Column, to: str = "q") -> DataFrame:
                 covered.cast("long").alias("n_repeat_words"),
                 F.size("__lines").cast("long").alias("n_lines"),
             ),
-        )
-    )
+        )).alias(to))
+    )
     return out.drop("__text", w, "__lines", s)
 
 
