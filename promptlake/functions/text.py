@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -78,5 +76,7 @@ def json_object_in(text: Column) -> Column:
     return F.regexp_extract(text, r"(?s)\{.*\}", 0)
 
 
-def any_of(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions)
+def whole_json(text: Column) -> Column:
+    """A text that is one JSON value and nothing more, as a variant, else null (V4); the parser alone stops after the first value."""
+    held = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    return F.when(F.try_variant_get(held, "$[1]", "variant").isNull(), F.try_variant_get(held, "$[0]", "variant"))

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import json_object_in, strip, unfenced, user_prompt
+from ..functions.text import json_object_in, strip, unfenced, user_prompt, whole_json
 from ..rules import COMMENT_TAGS, CONFIDENCES, ENGINES, MODALITIES, PROMPT_TYPES
 from ..schemas import PROMPT
 
@@ -90,7 +90,7 @@ def validate(replies: DataFrame, social_media: str = "instagram") -> tuple[DataF
     its post.  Identity comes from the row, not from the reply.
     """
     v = F.col("_v")
-    r = _once(replies.select("post_id", "content_type", "raw_reply"), _v=F.try_parse_json(json_object_in(unfenced(F.coalesce("raw_reply", F.lit(""))))))
+    r = _once(replies.select("post_id", "content_type", "raw_reply"), _v=whole_json(json_object_in(unfenced(F.coalesce("raw_reply", F.lit(""))))))
     r = _once(
         r,
         _is=F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False)),

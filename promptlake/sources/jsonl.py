@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..functions.text import whole_json
+
 
 def read_strict(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """Blank lines are skipped; a line that isn't JSON of this schema fails the job."""
@@ -15,7 +17,7 @@ def read_strict(spark: SparkSession, path: str, schema: StructType | str) -> Dat
 def read_objects(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """As read_strict, but valid JSON that isn't an object is dropped (R2)."""
     lines = spark.read.text(path).filter(F.trim("value") != "")
-    parsed = lines.withColumn("v", F.try_parse_json("value"))
+    parsed = lines.withColumn("v", whole_json(F.col("value")))
     checked = parsed.withColumn("v", F.when(F.col("v").isNull(), F.raise_error(F.concat(F.lit("not JSON: "), F.substring("value", 1, 200))).cast("variant")).otherwise(F.col("v")))
     objects = checked.filter(F.schema_of_variant("v").startswith("OBJECT"))
     return objects.select(F.from_json("value", schema).alias("r")).select("r.*")
@@ -23,7 +25,7 @@ def read_objects(spark: SparkSession, path: str, schema: StructType | str) -> Da
 
 def read_lenient(spark: SparkSession, path: str, schema: StructType | str) -> tuple[DataFrame, DataFrame]:
     """Good rows, and a quarantine of (file, line) for lines that aren't JSON; JSON that isn't an object is dropped."""
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file")).filter(F.trim("value") != "").withColumn("v", F.try_parse_json("value"))
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file")).filter(F.trim("value") != "").withColumn("v", whole_json(F.col("value")))
     good = lines.filter(F.schema_of_variant("v").startswith("OBJECT")).select(F.from_json("value", schema).alias("r")).select("r.*")
     return good, lines.filter(F.col("v").isNull()).select("file", F.col("value").alias("line"))
 
