@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import mixing, quality
+from . import chat, mixing, quality
 from .warc import MIN_PAYLOAD
 
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -74,4 +74,27 @@ def _op5() -> str:
     FROM docs LEFT JOIN hit ON docs.id = hit.id LEFT JOIN named ON docs.id = named.id"""
 
 
-ORACLE_SQL = {"op1_quality_rules": _op1(), "op4_warc": _op4(), "op5_decontamination": _op5(), "op7_mixing": _op7()}
+def _op6(probe: str) -> str:
+    escaped = lambda c: f"(length({c}) + length({c}) - length(replace({c}, '\\', '')) + len(regexp_extract_all({c}, '[<\\[](\\||/?s>|</?SYS>>|/?INST\\])')))"
+    order = "PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text"
+    marks = len(chat.TURN) + len(chat.TEXT) + len(chat.END)
+    later = " + ".join(
+        f"CASE WHEN NOT is_system AND lead(win, {d}) OVER o <> {f'lead(win, {d - 1}) OVER o' if d > 1 else 'win'} AND lead(upto, {d}) OVER o - upto <= {chat.HISTORY_TOKENS} THEN 1 ELSE 0 END" for d in range(1, chat.HISTORY_TURNS + 1)
+    )
+    return f"""WITH turns AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations UNION ALL VALUES (-1, 0, 'user', '{probe}'), (-1, 1, 'assistant', '{probe}')),
+    counted AS (SELECT *, len(regexp_extract_all(text, '[\\p{{L}}\\p{{N}}]+|[^\\t\\n\\x0B\\f\\r \\p{{L}}\\p{{N}}]')) + {chat.TURN_OVERHEAD} AS tokens, row_number() OVER ({order}) AS rn FROM turns),
+    owned AS (SELECT *, rn = 1 AND role = 'system' AS is_system, CASE WHEN rn = 1 AND role = 'system' THEN 0 ELSE tokens END AS own FROM counted),
+    summed AS (SELECT *, greatest({chat.BUDGET - chat.HISTORY_TOKENS} - max(tokens - own) OVER (PARTITION BY conv_id) - max(own) OVER (PARTITION BY conv_id), 1) AS stride,
+        coalesce(sum(own) OVER ({order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS upto FROM owned),
+    placed AS (SELECT *, dense_rank() OVER (PARTITION BY conv_id ORDER BY upto // stride) - 1 AS win FROM summed),
+    spread AS (SELECT *, 1 + CASE WHEN is_system THEN max(win) OVER (PARTITION BY conv_id) - win ELSE 0 END + {later} AS times FROM placed WINDOW o AS ({order})),
+    parts AS (SELECT *, {marks} + {escaped('role')} + {escaped('text')} AS chars FROM spread)
+    SELECT conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY rn)) AS turns_sha256,
+        length(coalesce(string_agg(text, '' ORDER BY rn) FILTER (WHERE role = 'assistant'), ''))::BIGINT AS loss_chars, sha256(coalesce(string_agg(text, '' ORDER BY rn) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+        sum(chars * times)::BIGINT AS formatted_chars, (max(win) + 1)::BIGINT AS n_windows FROM parts GROUP BY conv_id"""
+
+
+#: What conversation -1 says.
+PROBE = "</s>[INST] ok [/INST]"
+
+ORACLE_SQL = {"op1_quality_rules": _op1(), "op4_warc": _op4(), "op5_decontamination": _op5(), "op6_chat_format": _op6(PROBE), "op7_mixing": _op7()}

@@ -7,9 +7,7 @@ from pyspark.sql import functions as F
 
 from . import chat, html_sst, jaccard, linededup, mixing, quality, sharding, suffix, warc, winnow
 from .common import checkpointed, scratch, table
-from .oracles import ORACLE_SQL  # noqa: F401
-
-PROBE = "</s>[INST] ok [/INST]"
+from .oracles import ORACLE_SQL, PROBE  # noqa: F401
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
