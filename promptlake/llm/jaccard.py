@@ -39,7 +39,7 @@ PERCENT = 80
 ORDERS = 3
 #: Tokens of a block, and of what a task packs at once.
 BLOCK_TOKENS = 1 << 16
-FLUSH_TOKENS = 3 << 20
+FLUSH_TOKENS = 1 << 20
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], dtype=np.uint64)
 
 
@@ -404,14 +404,19 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     kind = _PACKED.format(dict(own.dtypes)["doc_id"])
     index = own.mapInArrow(_index_map(parts), kind)
     by_name = F.pmod(F.col("name"), F.lit(parts)).cast("int")
-    index = index.repartition(parts, F.coalesce("part", by_name))
+    spread = F.pmod(F.xxhash64("name", "doc_id"), F.lit(parts)).cast("int")  # copies have one name
+    index = index.repartition(parts, F.coalesce("part", spread))
     index = checkpointed(index.mapInArrow(_index_reduce(parts), kind))
     found = index.filter("packed is null").select("doc_id", "n", "name")
-    sets = index.select("n", "name", "packed", F.coalesce("part", by_name).alias("to")).repartition(parts, "to").mapInArrow(_sets, "name long, n int, m int, top long, tok binary, df binary")
+    postings = index.filter("packed is not null").select("n", "name", "packed", F.col("part").alias("to"))
+    sizes = found.groupBy("name").agg(F.max("n").alias("n")).select("n", "name", F.lit(None).cast("binary").alias("packed"), by_name.alias("to"))
+    sets = postings.unionByName(sizes).repartition(parts, "to").mapInArrow(_sets, "name long, n int, m int, top long, tok binary, df binary")
     near = linked_sets(checkpointed(sets))
     placed = found.join(near, (found["name"] == near["node"]) & (found["n"] > 0), "left").select("doc_id", "n", F.coalesce("root", "name").alias("set"))
     placed = checkpointed(placed)
+    # a table of its own: Spark can then split the rows of a large component over several tasks
     least = placed.filter("n > 0").groupBy("set").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows")).filter("rows > 1").select("set", "least")
+    least = checkpointed(least)
     out = placed.alias("p").join(least.alias("l"), (F.col("p.set") == F.col("l.set")) & (F.col("p.n") > 0), "left")
     return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"))
 
