@@ -282,6 +282,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     """
     own = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), text_of(html_col).alias("html"), host_of(F.col(url_col)).alias("host"))
     tree = style_tree(own.select("host", "html"))
-    low = tree.filter(F.col("importance") < threshold).groupBy(F.col("host").alias("low_host")).agg(F.array_sort(F.collect_list("path")).alias("low"))
+    # a table of its own (a few numbers a host): Spark can then split the pages of a large host over several tasks
+    low = checkpointed(tree.filter(F.col("importance") < threshold).groupBy(F.col("host").alias("low_host")).agg(F.array_sort(F.collect_list("path")).alias("low")))
     joined = own.join(low, F.col("host") == F.col("low_host"), "left").select("page_id", "url", "html", "low")
     return joined.mapInArrow(_extract, f"page_id {dict(own.dtypes)['page_id']}, url string, text string, n_chars long")
