@@ -293,7 +293,7 @@ def _bucket(length: int):
         order = order[np.bincount(same)[same] > 1]
         same = same[np.bincount(same)[same] > 1]
         found = []
-        for lo in _chunks(same, 20_000):
+        for lo in _chunks(same, 10_000):
             part = order[lo]
             out = _repeated([rows[i][4] for i in part], [rows[i][5] for i in part], same[lo], length)
             edge = np.diff(np.pad(out.astype(np.int8), ((0, 0), (1, 1))), axis=1)
@@ -307,7 +307,7 @@ def _bucket(length: int):
         rows: list[tuple] = []
         for b in batches:  # in order of lead: whole groups can be solved as they are complete
             rows += list(zip(*(c.to_pylist() for c in b.columns), strict=True))
-            if len(rows) > 50_000 and rows[0][0] != rows[-1][0]:
+            if len(rows) > 20_000 and rows[0][0] != rows[-1][0]:
                 cut = next(i for i in range(len(rows) - 1, -1, -1) if rows[i][0] != rows[-1][0]) + 1
                 yield solve(rows[:cut])
                 rows = rows[cut:]
