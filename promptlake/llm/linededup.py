@@ -7,8 +7,9 @@ away.  Chunks of two lines or more are counted by hash over all documents.  Of t
 that occur again the bytes are compared with the first occurrence (smallest id, then
 place); only chunks with equal bytes are removed, the first stays.
 
-Hashes alone are shuffled for the count; then the chunks that have a repeated hash,
-and once the documents, to cut.
+Hashes alone are shuffled for the count; then the bytes of chunks that have a repeated
+hash (of all multi-line chunks if there are too many such hashes to broadcast), and
+once the documents, to cut.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ from pyspark.sql import functions as F
 from .common import checkpointed, text_of
 
 DIVISOR = 3
+#: Up to so many repeated hashes the chunks that have them are found without shuffling chunks.
+BROADCAST_ROWS = 500_000
 
 
 def _cuts(lines: str, hashes: str, divisor: int) -> Column:
@@ -48,6 +51,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     place = F.struct("doc_id", "name", F.col("c.k").alias("k"))
     counted = multi.select(F.xxhash64("c.text").alias("h"), place.alias("place")).groupBy("h").agg(F.min("place").alias("first"), F.max("place").alias("last"))
     again = checkpointed(counted.filter("not (first <=> last)").select("h", "first"))
+    # small enough to send to every task (some 60 bytes a row), or joined by a shuffle
+    if again.count() <= BROADCAST_ROWS:
+        again = F.broadcast(again)
     # occurrences of repeated hashes, with their bytes
     seen = multi.select(F.xxhash64("c.text").alias("h"), place.alias("place"), F.col("c.text").alias("bytes")).join(again, "h")
     seen = checkpointed(seen.select("h", "place", "bytes", F.col("place").eqNullSafe(F.col("first")).alias("is_first")))

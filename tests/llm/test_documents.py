@@ -269,7 +269,9 @@ def lines_brute(rows):
     return ordered(out)
 
 
-def test_lines(docs, rows, empty):
+@pytest.mark.parametrize("most", [500_000, 0])
+def test_lines(docs, rows, empty, most, monkeypatch):
+    monkeypatch.setattr(linededup, "BROADCAST_ROWS", most)
     out = linededup.dedup_lines(docs)
     want = lines_brute(rows)
     assert collected(out, *out.columns) == want
