@@ -47,7 +47,7 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = linededup.dedup_lines(table(spark, sf_dir, "documents"))
+    out = linededup.dedup_passages(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_chunks", "n_removed_chunks", "n_removed_lines", F.sha2("kept", 256).alias("kept_sha256"))
 
 

@@ -8,7 +8,7 @@ from collections import Counter, defaultdict
 import pytest
 import xxhash
 
-from promptlake.llm import jaccard, linededup, mixing, quality, sharding, suffix, winnow
+from promptlake.llm import jaccard, linededup, mixing, quality, queries, sharding, suffix, winnow
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -281,6 +281,57 @@ def test_lines(docs, rows, empty, most, monkeypatch):
     assert linededup.dedup_lines(empty).count() == 0
 
 
+def passages_brute(rows):
+    name = lambda t: (lambda v: v - (1 << 64) if v >> 63 else v)(xxhash.xxh64_intdigest((t or "").encode(), 42))
+    place = lambda r, k: (r[0] is not None, r[0] or 0, name(r[1]), k)
+    first = {}
+    for r in rows:
+        lines = (r[1] or "").split("\n")
+        for k, x in enumerate(zip(lines, lines[1:])):
+            first[x] = min(first.get(x, place(r, k)), place(r, k))
+    out = []
+    for r in rows:
+        lines, gone = (r[1] or "").split("\n"), set()
+        for k, x in enumerate(zip(lines, lines[1:])):
+            if first[x] != place(r, k):
+                gone |= {k + 1} if first[x] == place(r, k - 1) else {k, k + 1}
+        out.append((r[0], len(lines), len(gone), "\n".join(x for k, x in enumerate(lines) if k not in gone)))
+    return ordered(out)
+
+
+@pytest.mark.parametrize("most", [500_000, 0])
+def test_passages(spark, docs, rows, empty, most, monkeypatch):
+    monkeypatch.setattr(linededup, "BROADCAST_ROWS", most)
+    out = linededup.dedup_passages(docs)
+    want = passages_brute(rows)
+    assert collected(out, "doc_id", "n_lines", "n_removed_lines", "kept") == want
+    assert collected(out, "doc_id", "n_lines", "n_chunks") == ordered((r[0], *cut_counts(r[1])) for r in rows)
+    assert all((r["n_removed_chunks"] == r["n_chunks"]) == (r["n_removed_lines"] == r["n_lines"]) for r in out.collect())
+    plan = out._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Pandas" not in plan
+    assert linededup.dedup_passages(empty).count() == 0
+    odd = [(1, "x\nx\nx\nx"), (2, "a\nb\na\nb\na"), (3, "q\na\nb\nr"), (4, "")]
+    out = linededup.dedup_passages(spark.createDataFrame(odd, "doc_id long, text string"))
+    assert collected(out, "doc_id", "n_lines", "n_removed_lines", "kept") == passages_brute(odd) == [(1, 4, 2, "x\nx"), (2, 5, 3, "a\nb"), (3, 4, 2, "q\nr"), (4, 1, 0, "")]
+
+
+def cut_counts(text):
+    lines = (text or "").split("\n")
+    h = [xxhash.xxh64_intdigest(x.encode(), 42) for x in lines]
+    v = [(a << 1) & ((1 << 64) - 1) ^ b for a, b in zip(h, h[1:-1])]
+    return len(lines), 1 + sum((x - (1 << 64) if x >> 63 else x) % 3 == 0 for x in v)
+
+
+def test_line_query_finds_passages(spark, tmp_path):
+    """Passages of two to six lines between lines of their own: the second time all their lines go."""
+    rows = [(2 * n + 40 * j + side, f"before {n} {j} {side}\n" + "\n".join(f"passage {n} {j} line {i}" for i in range(n)) + f"\nafter {n} {j} {side}") for n in range(2, 7) for j in range(20) for side in (0, 1)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = defaultdict(set)
+    for r in queries.op9_line_dedup(spark, str(tmp_path)).collect():
+        got[r["n_lines"], r["doc_id"] % 2].add(r["n_removed_lines"])
+    assert got == {(n + 2, side): {n * side} for n in range(2, 7) for side in (0, 1)}
+
+
 # mixing
 
 
