@@ -80,20 +80,20 @@ def anchors(data: bytes, starts: np.ndarray, stops: np.ndarray, length: int) ->
     return at, h[at]
 
 
-def _pieces(text: bytes, length: int) -> Iterator[tuple[int, bytes]]:
+def _pieces(text: bytes, length: int, piece: int) -> Iterator[tuple[int, bytes]]:
     """A text in parts that share length - 1 bytes, so that each string is in one."""
-    if len(text) <= PIECE:
+    if len(text) <= piece:
         yield 0, text
         return
-    for at in range(0, len(text) - length + 1, PIECE - length + 1):
-        yield at, text[at : at + PIECE]
+    for at in range(0, len(text) - length + 1, piece - length + 1):
+        yield at, text[at : at + piece]
 
 
 _PACKED = ["part", "packed"]
 
 
-def _find_anchors(n_parts: int, length: int):
-    """Packed anchors by range of their hash."""
+def _find_anchors(n_parts: int, length: int, piece_size: int):
+    """Packed anchors by range of their hash; texts of over ``piece_size`` bytes are searched in parts."""
     before, after = length - LEAD, length
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,21 +116,22 @@ def _find_anchors(n_parts: int, length: int):
                 rows.append((p, b"".join(x.tobytes() for x in (head, name[own], size[own], lead[s], reach[s], pos[s].astype(np.uint32), index.astype(np.uint32)))))
             return pa.RecordBatch.from_arrays([pa.array([p for p, _ in rows], pa.int32()), pa.array([x for _, x in rows], pa.binary())], _PACKED)
 
-        def add(held: list[tuple[int, int, bytes]]) -> int:
-            """Anchors of parts (text, place in it, bytes)."""
-            data = b"".join(x for *_, x in held)
-            lens = np.array([len(x) for *_, x in held], dtype=np.int64)
+        def add(held: list[tuple[int, int, bytes, bytes]]) -> int:
+            """Anchors of parts (text, place in it, bytes, bytes of the whole text)."""
+            data = b"".join(x for _, _, x, _ in held)
+            lens = np.array([len(x) for _, _, x, _ in held], dtype=np.int64)
             stops = np.cumsum(lens)
             starts = stops - lens
             at, lead = anchors(data, starts, stops, length)
             if not len(at):
                 return 0
             which = np.searchsorted(stops, at, side="right")
-            doc, offset = np.array([d for d, _, _ in held])[which], np.array([o for _, o, _ in held])[which]
-            a, b = np.maximum(at - before, starts[which]), np.minimum(at + after, stops[which])
-            view = memoryview(data)
-            reach = np.fromiter((xxhash.xxh3_64_intdigest(view[x:y], seed) for x, y, seed in zip(a.tolist(), b.tolist(), (at - a).tolist(), strict=True)), dtype=np.uint64, count=len(at))
-            got.append((lead, reach, doc, at - starts[which] + offset))
+            doc, pos = np.array([d for d, *_ in held])[which], at - starts[which] + np.array([o for _, o, *_ in held])[which]
+            # in the whole text: parts that share an anchor must say the same of it
+            a, b = np.maximum(pos - before, 0), np.minimum(pos + after, np.array([len(t) for *_, t in held])[which])
+            views = [memoryview(t) for *_, t in held]
+            reach = np.fromiter((xxhash.xxh3_64_intdigest(views[w][x:y], seed) for w, x, y, seed in zip(which.tolist(), a.tolist(), b.tolist(), (pos - a).tolist(), strict=True)), dtype=np.uint64, count=len(at))
+            got.append((lead, reach, doc, pos))
             return len(at)
 
         for batch in batches:
@@ -139,10 +140,10 @@ def _find_anchors(n_parts: int, length: int):
                 text = text.encode()
                 if len(text) < length:
                     continue
-                for at, piece in _pieces(text, length):
-                    held.append((len(names), at, piece))
+                for at, piece in _pieces(text, length, piece_size):
+                    held.append((len(names), at, piece, text))
                     size += len(piece)
-                    if size >= PIECE // 4:
+                    if size >= piece_size // 4:
                         # names are appended below, after the last part of a text
                         total += add(held)
                         held, size = [], 0
@@ -181,9 +182,10 @@ def _twins(hot: int):
             return
         lead, reach, name, size, pos = (np.concatenate(x) for x in zip(*parts, strict=True))
         parts.clear()
-        order = np.lexsort((pos, name, reach, lead))
+        order = np.lexsort((pos, size, name, reach, lead))
         lead, reach, name, size, pos = lead[order], reach[order], name[order], size[order], pos[order]
-        new = np.r_[True, (lead[1:] != lead[:-1]) | (reach[1:] != reach[:-1]) | (name[1:] != name[:-1]) | (pos[1:] != pos[:-1])]
+        # copies of a text and parts of one that share an anchor have the same lead and reach
+        new = np.r_[True, (lead[1:] != lead[:-1]) | (reach[1:] != reach[:-1]) | (name[1:] != name[:-1]) | (size[1:] != size[:-1]) | (pos[1:] != pos[:-1])]
         lead, reach, name, size, pos = lead[new], reach[new], name[new], size[new], pos[new]
         new_lead = np.r_[True, lead[1:] != lead[:-1]]
         new_reach = new_lead | np.r_[True, reach[1:] != reach[:-1]]
@@ -365,7 +367,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     own = docs.select(F.col(id_col).alias("doc_id"), text.alias("text")).withColumn("name", F.xxhash64("text")).withColumn("n_bytes", F.octet_length("text").cast("long"))
     base = checkpointed(own.select("doc_id", "name", "n_bytes", F.sha2("text", 256).alias("sha")))
     # anchors that aren't alone
-    packed = own.filter(F.col("n_bytes") >= length).select("name", "text").mapInArrow(_find_anchors(4 * parts, length), "part int, packed binary")
+    packed = own.filter(F.col("n_bytes") >= length).select("name", "text").mapInArrow(_find_anchors(4 * parts, length, PIECE), "part int, packed binary")
     shared = checkpointed(packed.repartition(parts, "part").mapInArrow(_twins(hot), "name long, n_bytes long, pos long, kind int"))
     # the texts that have such anchors, one row of each, in the shared folder
     first = base.groupBy("name", "n_bytes").agg(F.min("doc_id").alias("rep"))

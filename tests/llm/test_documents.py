@@ -119,6 +119,28 @@ def test_suffix_pieces(spark, monkeypatch):
     assert collected(out.drop("spans"), *out.columns[:-1]) == repeats_brute(rows, 200)
 
 
+def test_suffix_borders(spark, monkeypatch):
+    """Nothing goes at the borders of the parts of a long text but what is repeated."""
+    import random
+
+    monkeypatch.setattr(suffix, "PIECE", 900)
+    r = random.Random(6)
+    noise = lambda n: "".join(r.choice("abcdefgh ") for _ in range(n))
+    p = noise(300)
+    rows = [(1, noise(5000)), (2, noise(650) + p + noise(2000)), (3, noise(1700) + p + noise(777)), (4, "é" * 20 + noise(3000)), (5, noise(899)), (6, noise(901))]
+    for _ in range(2):
+        out = suffix.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+        assert collected(out.drop("spans"), *out.columns[:-1]) == repeats_brute(rows, 200)
+        assert {x["doc_id"]: x["n_removed"] for x in out.collect()} == {i: 300 if i in (2, 3) else 0 for i in range(1, 7)}
+        monkeypatch.setattr(suffix, "PIECE", 1234)
+    find = suffix._find_anchors(4, 200, 900)  # the parts of one text, in this process
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_arrays([pa.array([7]), pa.array([rows[0][1]])], ["name", "text"])
+    packed = pa.Table.from_batches(list(find(iter([batch])))).to_batches()
+    assert not list(suffix._twins(10)(iter(packed)))
+
+
 def test_multikey_order():
     import numpy as np
 
