@@ -13,8 +13,12 @@ few pages and its presentations vary:
 Branches of low importance on their host are removed from every page.  Roles that
 are never the article (menus, headers, footers, sidebars, notices, adverts, forms,
 scripts, reader comments), by tag, class, id or role, are removed on hosts of any
-size; that also serves hosts with too few pages for a tree.  Where a page has
-article or main elements, its text is what is left of them.
+size; that also serves hosts with too few pages for a tree.  A name alone is a weak
+sign: branches that a name marks are taken back if they hold most of the page in
+article elements, its main element, or (names of layout) most of its text; names are
+ignored where nothing else is left.  Of a page with article or main elements the text
+is what is left of them, with what main has before the articles, if that is half of
+the page's text at least.
 
 Two scans of the pages: one for the counts (aggregated in the tasks, so that one row
 a host, node and text is shuffled), one that parses again and removes branches.
@@ -58,6 +62,8 @@ _NOISE_ROLES = frozenset("navigation banner contentinfo complementary search for
 _NOISE_NAMES = frozenset(
     "nav navbar navigation menu menus masthead topbar footer sidebar side aside notice notices cookie cookies consent gdpr banner banners ad ads adv advert adverts advertisement advertising adsense sponsor sponsored sponsors promo promos promotion form forms newsletter subscribe subscription signup login comment comments commentlist discussion disqus replies reply respond related recommended share sharing social breadcrumb breadcrumbs pagination pager popup modal overlay toolbar widget widgets skip paywall".split()
 )
+#: Those that layouts also have: they mark no article element.
+_LAYOUT_NAMES = frozenset("sidebar side widget widgets form forms social promo promos skip paywall".split())
 _PLAIN = frozenset("p h1 h2 h3 h4 h5 h6 li ul ol blockquote pre b i em strong a span br code dl dt dd table tr td th tbody thead tfoot figure figcaption sub sup u s q cite small mark time hgroup".split())
 _MAIN = frozenset(("article", "main"))
 _WORD = re.compile(r"[a-z]+")
@@ -65,12 +71,63 @@ _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
 class _Frame:
-    __slots__ = ("tag", "path", "noise", "main", "kids", "counted", "block")
+    """An open element; ``named`` are those, itself included, that a name marks, ``holders`` the article and main ones."""
 
-    def __init__(self, tag: str, path: int, noise: bool, main: str, counted: bool):
+    __slots__ = ("tag", "path", "noise", "main", "kids", "counted", "block", "layout", "named", "holders")
+
+    def __init__(self, tag: str, path: int, noise: bool, main: str, counted: bool, top: "_Frame | None" = None, mark: str = ""):
         self.tag, self.path, self.noise, self.main, self.counted = tag, path, noise, main, counted
         self.kids: list[str] = []
         self.block = tag in _BLOCK
+        self.layout = mark == "layout"
+        self.named: tuple[_Frame, ...] = (*(top.named if top else ()), *((self,) if mark else ()))
+        self.holders: tuple[_Frame, ...] = (*(top.holders if top else ()), *((self,) if tag in _MAIN else ()))
+
+
+#: A block of text: its parts (text, elements that a name marks around it) and the article and main elements around it.
+_Said = tuple[list[tuple[str, tuple[_Frame, ...]]], tuple[_Frame, ...]]
+
+
+def _taken_back(blocks: list[_Said]) -> set[_Frame]:
+    """The elements that names mark, but that hold the article."""
+    plain, held, inside = 0, Counter(), Counter()
+    for parts, holders in blocks:
+        for text, named in parts:
+            n = len(text)
+            if not named:
+                plain += n
+                continue
+            inside[named] += n
+            outer = next((h for h in holders if len(h.named) == len(named)), None)
+            if outer:
+                held[named, outer.tag == "main"] += n
+    taken: set[_Frame] = set()
+    clear = any(holders and not named and text.strip() for parts, holders in blocks for text, named in parts)
+    # a main element is the page's own; articles are if they are more than what is left (beside another article, only layouts hold them)
+    for (named, main), n in held.items():
+        if main or (n > plain and n == max(held.values()) and (not clear or all(f.layout for f in named))):
+            taken.update(named)
+    if not taken and inside and not clear:
+        named, n = max(inside.items(), key=lambda x: x[1])
+        if n > plain and all(f.layout for f in named):
+            taken.update(named)
+    return taken
+
+
+def _chosen(blocks: list[_Said], names: bool) -> str:
+    """The text of articles with what main has before them, of main, or of the body: the first with half of what is left."""
+    taken = _taken_back(blocks) if names else None
+    left: list[tuple[str, bool, bool]] = []
+    for parts, holders in blocks:
+        text = " ".join("".join(t for t, named in parts if taken is None or not named or taken.issuperset(named)).split())
+        if text:
+            left.append((text, any(h.tag == "article" for h in holders), any(h.tag == "main" for h in holders)))
+    first = next((i for i, x in enumerate(left) if x[1]), -1)
+    all_ = sum(len(x[0]) for x in left)
+    for some in ([x[0] for i, x in enumerate(left) if x[1] or x[2] and i < first], [x[0] for x in left if x[1] or x[2]]):
+        if some and 2 * sum(map(len, some)) >= all_:
+            return "\n".join(some)
+    return "\n".join(x[0] for x in left)
 
 
 class Parser:
@@ -78,13 +135,13 @@ class Parser:
 
     def __init__(self):
         self.paths: dict[tuple[int, str], int] = {}
-        self.labels: dict[tuple[str, str], tuple[str, bool, bool]] = {}
+        self.labels: dict[tuple[str, str], tuple[str, bool, bool, str, bool]] = {}
 
-    def _label(self, tag: str, attrs: str) -> tuple[str, bool, bool]:
-        """The label of an element, whether its role is never the article, and whether it is a header."""
+    def _label(self, tag: str, attrs: str) -> tuple[str, bool, bool, str, bool]:
+        """The label of an element, whether its role is never the article, whether it is a header, how its names mark it, and whether they call it a header."""
         got = self.labels.get((tag, attrs))
         if got is None:
-            names, noise, header = [], tag in _NOISE_TAGS, tag == "header"
+            names, noise, header, marks, named_header = [], tag in _NOISE_TAGS, tag == "header", set(), False
             for m in _ATTR.finditer(attrs) if attrs else ():
                 key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
                 if key == "role":
@@ -98,9 +155,9 @@ class Parser:
                     names += sorted(f"{key}={v}" for v in value.split())
                     if tag not in ("html", "body", "main"):
                         parts = _WORD.findall(_CAMEL.sub(" ", value).lower())
-                        noise |= not _NOISE_NAMES.isdisjoint(parts)
-                        header |= "header" in parts
-            got = " ".join([tag, *names]), noise, header
+                        marks |= _NOISE_NAMES.intersection(parts) - (_LAYOUT_NAMES if tag == "article" else set())
+                        named_header |= "header" in parts
+            got = " ".join([tag, *names]), noise, header, "layout" if marks and marks <= _LAYOUT_NAMES else "role" if marks else "", named_header
             if len(self.labels) > 50_000:
                 self.labels.clear()
             self.labels[tag, attrs] = got
@@ -114,17 +171,20 @@ class Parser:
             got = self.paths[parent, label] = xxhash.xxh3_64_intdigest(f"{parent} {label}") >> 1
         return got
 
-    def parse(self, page: str, low: frozenset[int] | set[int] = frozenset(), counts: dict | None = None) -> str:
-        """The main text of a page without the branches ``low``; ``counts`` gets (path, kind, feature)."""
+    def parse(self, page: str, low: frozenset[int] | set[int] = frozenset(), counts: dict | None = None, names: bool = True) -> str:
+        """The main text of a page without the branches ``low`` and, with ``names``, those that names mark; ``counts`` gets (path, kind, feature)."""
         stack = [_Frame("#root", 0, False, "", False)]
-        blocks: dict[str, list[str]] = {"": [], "main": [], "article": []}
+        blocks: list[_Said] = []
         held: list[str] = []
+        marked: list[tuple[_Frame, ...]] = []
         frames_seen: list[_Frame] = []
 
         def end_block() -> None:
             if held:
                 text = " ".join("".join(held).split())
+                parts = list(zip(held, marked, strict=True)) if any(marked) else [(text, ())]
                 held.clear()
+                marked.clear()
                 if text:
                     top = stack[-1]
                     if counts is not None:
@@ -133,7 +193,7 @@ class Parser:
                             if f.counted:
                                 counts[f.path, 1, feature] = 1
                     if not top.noise:
-                        blocks[top.main].append(text)
+                        blocks.append((parts, top.holders))
 
         def pop_to(depth: int) -> None:
             if any(f.block for f in stack[depth:]):
@@ -143,6 +203,7 @@ class Parser:
         def say(text: str) -> None:
             if text and (counts is not None or not stack[-1].noise):
                 held.append(html_lib.unescape(text) if "&" in text else text)
+                marked.append(stack[-1].named)
 
         at, size = 0, len(page)
         while at < size:
@@ -196,16 +257,18 @@ class Parser:
             if len(stack) >= MAX_DEPTH:
                 continue
             top = stack[-1]
-            label, noise, header = self._label(tag, attrs)
+            label, noise, header, mark, named_header = self._label(tag, attrs)
             path = self._path(top.path, label)
             noise |= header and not top.main  # an article's own header has its title
+            if named_header and not top.main:
+                mark = mark or "role"
             main = "article" if tag == "article" or top.main == "article" else "main" if tag == "main" or top.main == "main" else ""
             counted = not (tag in ("html", "body", "main", "article") or (top.main and label == tag and tag in _PLAIN))
             if counted and path in low:
                 noise = True
             if top.counted and len(top.kids) < 256:
                 top.kids.append(label)
-            frame = _Frame(tag, path, noise or top.noise, main if not noise else top.main, counted)
+            frame = _Frame(tag, path, noise or top.noise, main if not noise else top.main, counted, top, mark)
             if counts is not None and counted:
                 frames_seen.append(frame)
             stack.append(frame)
@@ -213,7 +276,8 @@ class Parser:
         if counts is not None:
             for f in frames_seen:
                 counts[f.path, 0, xxhash.xxh3_64_intdigest("\n".join(f.kids)) >> 1] = 1
-        return "\n".join(blocks["article"] or blocks["main"] or blocks[""])
+            return ""
+        return _chosen(blocks, names)
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -269,7 +333,9 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = []
         for page, low in zip(b.column("html").to_pylist(), b.column("low").to_pylist(), strict=True):
             text = parser.parse(page, frozenset(low or ()))
-            texts.append(text if text or not low else parser.parse(page))
+            if not text and low:
+                text = parser.parse(page)
+            texts.append(text or parser.parse(page, names=False))
         yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
 
@@ -277,8 +343,9 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     """page_id, url, text and n_chars (code points) for each row of ``pages``.
 
     Null html is an empty page; a null url counts to the host without a name; a page
-    of which the tree would leave nothing is taken by its roles alone; repeated rows
-    each get a row; an empty table gives an empty result.
+    of which the tree would leave nothing is taken by its roles alone, and one of which
+    names would leave nothing without them; repeated rows each get a row; an empty table
+    gives an empty result.
     """
     own = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), text_of(html_col).alias("html"), host_of(F.col(url_col)).alias("host"))
     tree = style_tree(own.select("host", "html"))

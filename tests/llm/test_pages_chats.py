@@ -31,6 +31,28 @@ def test_extraction(spark):
     assert html_sst.extract(d.limit(0)).count() == 0
 
 
+LONG = "Long words of the article itself, more than anything around it has to say."
+
+
+@pytest.mark.parametrize("body, want", [
+    (f'<h2>Site</h2><div class="page has-sidebar"><article><h1>T</h1><p>{LONG}</article><div class="sidebar">other</div></div>', f"T\n{LONG}"),
+    (f'<h2>Site</h2><div class="has-related"><main><p>{LONG}</main></div>', LONG),
+    (f'<h2>Site</h2><div class="widget-text"><p>{LONG}</div><div class="comments">nice</div>', f"Site\n{LONG}"),
+    (f'<h2>Site</h2><article class="social-science"><p>{LONG} <span class="share">Share</span></article><article class="comment">nice</article>', LONG),
+    (f'<main><h1>Title</h1><p>Lead</p><article><p>{LONG}</article><p>After</main>', f"Title\nLead\n{LONG}"),
+    (f'<main><article>Teaser</article><p>{LONG}</main>', f"Teaser\n{LONG}"),
+    (f'<div class="related">{LONG}</div>', LONG),
+    (f'<div><p>{LONG}</div><section class="comments"><article>nice</article></section><div class="ad">Buy</div><div class="page-header">Site</div>', LONG),
+    (f'<article><p>{LONG}</article><div class="related"><article>{LONG}{LONG}</article></div>', LONG),
+    (f'<main><p>{LONG}</p><article class="comment">{LONG}{LONG}</article></main>', LONG),
+])
+def test_names_do_not_take_the_article(body, want):
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_pydict({"page_id": [1], "url": ["u"], "html": [f"<html><body>{body}</body></html>"], "low": pa.array([None], pa.list_(pa.int64()))})
+    assert next(html_sst._extract(iter([batch]))).column("text").to_pylist() == [want]
+
+
 def test_style_tree_removes_repeated_branches(spark):
     """Without article elements or telling names: what all pages of a host share goes, what differs stays."""
     body = "<div class=b{q}><div class=top><span>Menu one</span><span>two</span></div><div class=c><p>Own words {i}</p><p>more of {i}</p></div><div class=z><p>Always the same line</p></div></div>"
