@@ -42,6 +42,7 @@ GAMMA = 0.9
 THRESHOLD = 0.3
 #: A host needs so many pages for its tree to speak.
 MIN_PAGES = 5
+#: Deeper elements have their roles, but are no nodes of the tree (texts times depth would be counted).
 MAX_DEPTH = 256
 
 _TOKEN = re.compile(
@@ -80,8 +81,13 @@ class _Frame:
         self.kids: list[str] = []
         self.block = tag in _BLOCK
         self.layout = mark == "layout"
-        self.named: tuple[_Frame, ...] = (*(top.named if top else ()), *((self,) if mark else ()))
-        self.holders: tuple[_Frame, ...] = (*(top.holders if top else ()), *((self,) if tag in _MAIN else ()))
+        # one in so many others adds nothing but memory
+        self.named: tuple[_Frame, ...] = top.named if top else ()
+        self.holders: tuple[_Frame, ...] = top.holders if top else ()
+        if mark and len(self.named) < MAX_DEPTH:
+            self.named = (*self.named, self)
+        if tag in _MAIN and len(self.holders) < MAX_DEPTH:
+            self.holders = (*self.holders, self)
 
 
 #: A block of text: its parts (text, elements that a name marks around it) and the article and main elements around it.
@@ -189,7 +195,7 @@ class Parser:
                     top = stack[-1]
                     if counts is not None:
                         feature = xxhash.xxh3_64_intdigest(text) >> 1
-                        for f in stack:
+                        for f in stack[:MAX_DEPTH]:
                             if f.counted:
                                 counts[f.path, 1, feature] = 1
                     if not top.noise:
@@ -254,8 +260,6 @@ class Parser:
                 stop = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
                 at = stop.end() if stop else size
                 continue
-            if len(stack) >= MAX_DEPTH:
-                continue
             top = stack[-1]
             label, noise, header, mark, named_header = self._label(tag, attrs)
             path = self._path(top.path, label)
@@ -263,10 +267,10 @@ class Parser:
             if named_header and not top.main:
                 mark = mark or "role"
             main = "article" if tag == "article" or top.main == "article" else "main" if tag == "main" or top.main == "main" else ""
-            counted = not (tag in ("html", "body", "main", "article") or (top.main and label == tag and tag in _PLAIN))
+            counted = len(stack) < MAX_DEPTH and not (tag in ("html", "body", "main", "article") or (top.main and label == tag and tag in _PLAIN))
             if counted and path in low:
                 noise = True
-            if top.counted and len(top.kids) < 256:
+            if top.counted:
                 top.kids.append(label)
             frame = _Frame(tag, path, noise or top.noise, main if not noise else top.main, counted, top, mark)
             if counts is not None and counted:

@@ -53,6 +53,18 @@ def test_names_do_not_take_the_article(body, want):
     assert next(html_sst._extract(iter([batch]))).column("text").to_pylist() == [want]
 
 
+def test_deep_and_long_pages():
+    deep = 300
+    body = f"<article>{'<div>' * deep}<p>{LONG}</p><nav>menu</nav><div class=comments>nice</div>{'</div>' * deep}<p>end</p></article><div class=ad>Buy</div>"
+    assert html_sst.Parser().parse(body) == f"{LONG}\nend"
+    shapes = set()
+    for last in ("p", "h3"):  # lists that differ after many children
+        counts = {}
+        html_sst.Parser().parse(f"<div class=x>{'<p>a</p>' * 400}<{last}>b</{last}></div>", counts=counts)
+        shapes |= {k for k in counts if k[1] == 0 and k[0] == html_sst.Parser()._path(0, "div class=x")}
+    assert len(shapes) == 2
+
+
 def test_style_tree_removes_repeated_branches(spark):
     """Without article elements or telling names: what all pages of a host share goes, what differs stays."""
     body = "<div class=b{q}><div class=top><span>Menu one</span><span>two</span></div><div class=c><p>Own words {i}</p><p>more of {i}</p></div><div class=z><p>Always the same line</p></div></div>"
