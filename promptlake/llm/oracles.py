@@ -9,30 +9,33 @@ _WORD = r"[^\x20\x09-\x0D]+"
 
 
 def _op1() -> str:
-    buckets = "CASE WHEN v < 128 THEN v ELSE (v >> (length(bin(v)) - 7)) << (length(bin(v)) - 7) END"
-    measures = " UNION ALL ".join(f"SELECT doc_id, lang, source, '{k}' AS m, ({n} * 1000) // greatest({d}, 1) AS v, base_failed FROM base" for k, (n, d, *_) in quality.MEASURES.items())
-    floors = "CASE m " + " ".join(f"WHEN '{k}' THEN {f}" for k, (*_, f) in quality.MEASURES.items()) + " END"
-    both = ", ".join(f"'{k}'" for k, (_, _, side, _) in quality.MEASURES.items() if side == "both")
-    quartiles = ", ".join(f"min(b) FILTER (WHERE cum * 4 >= n * {i}) AS q{i}" for i in (1, 2, 3))
+    bits = quality.BITS
+    buckets = f"CASE WHEN v < {1 << bits} THEN v ELSE (v >> (length(bin(v)) - {bits})) << (length(bin(v)) - {bits}) END"
+    value = {k: f"({n}) // {d}" for k, (n, d, _) in quality.MEASURES.items()}
+    measures = " UNION ALL ".join(f"SELECT doc_id, lang, source, '{k}' AS m, {v} AS v, base_failed FROM base" for k, v in value.items())
+    sides = {side: ", ".join(f"'{k}'" for k, (*_, s) in quality.MEASURES.items() if s == side) for side in ("upper", "lower")}
+    quartiles = ", ".join(f"min(b) FILTER (WHERE cum * 4 >= n * {i}) AS q{i}" for i in (1, 3))
     level = lambda keys: f"""SELECT {keys}, m, max(n) AS n, {quartiles} FROM (SELECT {keys}, m, b, sum(c) OVER (PARTITION BY {keys}, m ORDER BY b) AS cum, sum(c) OVER (PARTITION BY {keys}, m) AS n
         FROM (SELECT {keys}, m, b, sum(c) AS c FROM sketch GROUP BY ALL)) GROUP BY ALL"""
+    drawn = lambda q: f"(o.n::DOUBLE * o.{q}::DOUBLE + {quality.PRIOR}::DOUBLE * p.{q}::DOUBLE) / (o.n::DOUBLE + {quality.PRIOR}::DOUBLE) AS {q}"
+    ratio = " * (CASE WHEN q3 > 0 THEN q1 / q3 ELSE 0::DOUBLE END)" * quality.BELOW
     return f"""WITH docs AS (SELECT row_number() OVER () AS id, doc_id, lang, source, coalesce(text, '') AS text FROM documents),
     words AS (SELECT *, regexp_extract_all(text, '{_WORD}') AS w, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS l FROM docs),
     windows AS (SELECT id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g FROM (SELECT id, w, unnest(range(1, len(w) - 1)) AS i FROM words)),
     again AS (SELECT id, i FROM (SELECT id, i, count(*) OVER (PARTITION BY id, g) AS n FROM windows) WHERE n > 1),
     covered AS (SELECT id, count(DISTINCT p) AS n FROM (SELECT id, i + unnest([0, 1, 2]) AS p FROM again) GROUP BY id),
     base0 AS (SELECT words.id, doc_id, lang, source, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars, len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols,
-        (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(c.n, 0)::BIGINT AS n_repeat_words, len(l)::BIGINT AS n_lines FROM words LEFT JOIN covered c ON words.id = c.id),
+        (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(c.n, 0)::BIGINT AS n_repeat_words, len(l)::BIGINT AS n_lines, len(list_filter(w, lambda x: length(x) <= 3))::BIGINT AS n_short,
+        len(regexp_extract_all(text, '[.,;:!?]'))::BIGINT AS n_punct, len(list_distinct(w))::BIGINT AS n_distinct FROM words LEFT JOIN covered c ON words.id = c.id),
     base AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM base0),
     measured AS ({measures}),
     sketch AS (SELECT lang, source, m, {buckets} AS b, count(*) AS c FROM measured WHERE NOT base_failed GROUP BY ALL),
     own AS ({level('lang, source')}),
     pooled AS ({level('lang')}),
-    fence AS (SELECT o.lang, o.source, o.m, CASE WHEN o.n >= {quality.MIN_GROUP} THEN o.q2 ELSE p.q2 END AS q2,
-        greatest({quality.SPREAD} * CASE WHEN o.n >= {quality.MIN_GROUP} THEN o.q3 - o.q1 ELSE p.q3 - p.q1 END, {floors.replace('CASE m', 'CASE o.m')}) AS half
-        FROM own o JOIN pooled p ON o.lang IS NOT DISTINCT FROM p.lang AND o.m = p.m),
-    judged AS (SELECT base.id, bool_and(v <= f.q2 + f.half AND (f.m NOT IN ({both}) OR v >= f.q2 - f.half)) AS inside
-        FROM (SELECT id, lang, source, unnest([{', '.join(f"{{'m': '{k}', 'v': ({n} * 1000) // greatest({d}, 1)}}" for k, (n, d, *_) in quality.MEASURES.items())}], recursive := true) FROM base) base
+    drawn AS (SELECT o.lang, o.source, o.m, {drawn('q1')}, {drawn('q3')} FROM own o JOIN pooled p ON o.lang IS NOT DISTINCT FROM p.lang AND o.m = p.m),
+    fence AS (SELECT lang, source, m, CASE WHEN q3 > q1 THEN q1{ratio} ELSE 0::DOUBLE END AS low, CASE WHEN q3 > q1 THEN q3 + {quality.ABOVE}::DOUBLE * (q3 - q1) ELSE 'Infinity'::DOUBLE END AS high FROM drawn),
+    judged AS (SELECT base.id, bool_and((f.m IN ({sides['lower']}) OR v::DOUBLE <= f.high) AND (f.m IN ({sides['upper']}) OR v::DOUBLE >= f.low)) AS inside
+        FROM (SELECT id, lang, source, unnest([{', '.join(f"{{'m': '{k}', 'v': {v}}}" for k, v in value.items())}], recursive := true) FROM base) base
         JOIN fence f ON base.lang IS NOT DISTINCT FROM f.lang AND base.source IS NOT DISTINCT FROM f.source AND base.m = f.m GROUP BY base.id)
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, coalesce(NOT base_failed AND inside, false) AS kept FROM base LEFT JOIN judged USING (id)"""
 

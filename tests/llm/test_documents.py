@@ -29,52 +29,105 @@ def base_measures(text):
     lines = [x for x in (text or "").split("\n") if WORD.search(x)]
     times = Counter(tuple(w[i : i + 3]) for i in range(len(w) - 2))
     again = {i + k for i in range(len(w) - 2) if times[tuple(w[i : i + 3])] > 1 for k in range(3)}
-    n = len(w)
-    return n, sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text or "")), len(lines) - len(set(lines)), len(again), len(lines)
+    punct = len(re.findall(r"[.,;:!?]", text or ""))
+    return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text or "")), len(lines) - len(set(lines)), len(again), len(lines), sum(len(x) <= 3 for x in w), punct, len(set(w))
+
+
+NAMES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_short", "n_punct", "n_distinct")
 
 
 def bucket(v):
-    by = v.bit_length() - 7
-    return v if v < 128 else v >> by << by
+    by = v.bit_length() - 9
+    return v if v < 512 else v >> by << by
 
 
-def quality_brute(rows):
+def values(b):
+    own = dict(zip(NAMES, b, strict=True)) | {"greatest": max}
+    return {k: eval(f"({n}) // {d}", own) for k, (n, d, _) in quality.MEASURES.items()}
+
+
+def quality_fences(rows):
+    """Base measures, whether they fail, and low and high of each measure by group."""
     base = [base_measures(r[1]) for r in rows]
     failed = [b[0] < 50 or 100 * b[4] > 50 * b[0] for b in base]
-    index = {"n_words": 0, "word_chars": 1, "n_symbols": 2, "n_dup_lines": 3, "n_repeat_words": 4, "n_lines": 5}
-    value = lambda b, k: b[index[quality.MEASURES[k][0]]] * 1000 // max(1, b[index[quality.MEASURES[k][1]]])
     groups = defaultdict(list)
     for r, b, f in zip(rows, base, failed, strict=True):
         if not f:
             for key in ((r[2], r[3]), (r[2],)):
-                groups[key].append(b)
+                groups[key].append(values(b))
+
+    def quartiles(of, k):
+        vs = sorted(bucket(v[k]) for v in of)
+        return [next(v for i, v in enumerate(vs, 1) if i * 4 >= len(vs) * q) for q in (1, 3)]
+
+    limits = {}
+    for key, own in groups.items():
+        if len(key) == 2:
+            for k in quality.MEASURES:
+                n = len(own)
+                q1, q3 = ((n * x + quality.PRIOR * y) / (n + quality.PRIOR) for x, y in zip(quartiles(own, k), quartiles(groups[key[:1]], k), strict=True))
+                low = q1
+                for _ in range(quality.BELOW):
+                    low *= q1 / q3 if q3 else 0
+                limits[(*key, k)] = (low, q3 + quality.ABOVE * (q3 - q1)) if q3 > q1 else (0, float("inf"))
+    return base, failed, limits
+
+
+def quality_brute(rows):
+    base, failed, limits = quality_fences(rows)
 
     def inside(r, b):
-        own = groups[r[2], r[3]]
-        used = own if len(own) >= quality.MIN_GROUP else groups[r[2],]
-        for k, (*_, side, floor) in quality.MEASURES.items():
-            vs = sorted(bucket(value(x, k)) for x in used)
-            q1, q2, q3 = (next(v for i, v in enumerate(vs, 1) if i * 4 >= len(vs) * q) for q in (1, 2, 3))
-            half = max(quality.SPREAD * (q3 - q1), floor)
-            if value(b, k) > q2 + half or side == "both" and value(b, k) < q2 - half:
+        for k, v in values(b).items():
+            low, high = limits[r[2], r[3], k]
+            side = quality.MEASURES[k][2]
+            if side != "lower" and v > high or side != "upper" and v < low:
                 return False
         return True
 
     return ordered((r[0], *b[:5], f, not f and inside(r, b)) for r, b, f in zip(rows, base, failed, strict=True))
 
 
-def test_quality(docs, rows, empty, monkeypatch):
-    monkeypatch.setattr(quality, "MIN_GROUP", 10)
+def test_quality(spark, docs, rows, empty):
+    import random
+
+    r = random.Random(8)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(r.randint(2, 7)))
+    junk = [(3000 + i, " ".join(word() + "###" for _ in range(80)), "en", "hot", 0, "", "", "") for i in range(3)]
+    rows = rows + junk
+    docs = docs.unionByName(spark.createDataFrame(junk, docs.schema))
     out = quality.quality_rules(docs)
     want = quality_brute(rows)
     assert collected(out, *out.columns) == want
-    assert {True, False} == {x[-1] for x in want}
+    assert {(True, False), (False, True), (False, False)} == {x[-2:] for x in want}
     kept = quality.keep_good(docs)
     assert kept.columns == docs.columns
     assert Counter(r["doc_id"] for r in kept.collect()) == Counter(x[0] for x in want if x[-1])
     assert quality.quality_rules(empty).count() == 0 and quality.keep_good(empty).count() == 0
 
 
+def test_quality_by_shuffle_and_with_clashing_names(docs, rows, monkeypatch):
+    monkeypatch.setattr(quality, "BROADCAST_GROUPS", 0)
+    clash = docs.withColumnsRenamed({"size": "kept", "name": "fence", "t": "own_lang"}).selectExpr("*", "'x' AS base_failed", "'y' AS q", "'z' AS own_source", "'v' AS __v")
+    kept = quality.keep_good(clash)
+    assert kept.columns == clash.columns
+    got = kept.collect()
+    assert Counter(r["doc_id"] for r in got) == Counter(x[0] for x in quality_brute(rows) if x[-1])
+    assert got and all(r["kept"] == r["fence"] == "clash" and r["q"] == "y" for r in got)
+
+
+def test_quality_thresholds_follow_the_source(spark):
+    """The same text is fine for one source and not for another; no number but the sketches' says so."""
+    import random
+
+    r = random.Random(9)
+    text = lambda share, n=120: " ".join("".join(r.choice("abcdefgh") for _ in range(r.randint(2, 8))) + ("#" if r.random() < share else "") for _ in range(n))
+    rows = [(i, text(0.0 if i % 2 else 0.3), "en", "prose" if i % 2 else "code") for i in range(800)]
+    probe = text(0.3)
+    rows += [(1000, probe, "en", "prose"), (1001, probe, "en", "code")]
+    kept = {x["doc_id"]: x["kept"] for x in quality.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert not kept[1000] and kept[1001] and sum(kept.values()) > 780
+
+
 def test_quality_runs_no_python(docs):
     plan = quality.quality_rules(docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan
