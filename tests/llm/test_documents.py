@@ -459,14 +459,84 @@ def test_sharding(docs, rows, empty):
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
     even, largest = sum(total.values()) / 8, max(r["size"] for r in out)
     assert max(total.values()) <= even + largest
-    both = sharding.with_shards(docs.drop("size"), 8)
-    assert both.count() == len(rows) and both.columns == [*docs.drop("size").columns, "size", "shard", "slot"]
-    assert len({(r["shard"], r["slot"]) for r in both.collect()}) == len(rows)
-    assert sharding.shard(empty, n_shards=8).count() == 0
+    both = sharding.with_shards(docs, 8)
+    assert both.count() == len(rows) and both.columns == [*("doc_size" if c == "size" else c for c in docs.columns), "size", "shard", "slot"]
+    got = both.collect()
+    assert len({(r["shard"], r["slot"]) for r in got}) == len(rows) and all(r["doc_size"] == "clash" for r in got)
+    assert ordered((r["doc_id"], r["size"], r["shard"]) for r in got) == ordered((r["doc_id"], r["size"], r["shard"]) for r in out)
+    assert sharding.shard(empty, n_shards=8).count() == 0 and sharding.with_shards(empty, 8).count() == 0
     by_bytes = sharding.shard(docs, target_bytes=20_000)
     assert by_bytes.select("shard").distinct().count() <= -(-sum(total.values()) // 20_000)
 
 
+def tree_brute(points, weights, shards):
+    """Shard of each point (cells, digit) by the k-d tree, row by row."""
+    out = {}
+
+    def split(some, lo, hi):
+        if hi - lo == 1:
+            out.update({i: lo for i in some})
+            return
+        mid = lo + (hi - lo) // 2
+        if not some:
+            return
+        wide = [(max(points[i][d] for i in some) - min(points[i][d] for i in some), -d) for d in range(3)]
+        d = -max(wide)[1]
+        by = defaultdict(int)
+        for i in some:
+            by[points[i][d]] += weights[i]
+        goal, upto = sum(by.values()) * ((hi - lo) // 2) / (hi - lo), 0
+        for c in sorted(by):
+            if upto + by[c] >= goal:
+                break
+            upto += by[c]
+        digits = defaultdict(int)
+        for i in some:
+            if points[i][d] == c:
+                digits[points[i][3]] += weights[i]
+        best, sums = (goal - upto, -1, -1), upto
+        for g in sorted(digits):
+            sums += digits[g]
+            if (abs(sums - goal), g) < best[:2] or (abs(sums - goal) == best[0] and best[2] < 0):
+                best = (abs(sums - goal), g, g)
+        left = [i for i in some if points[i][d] < c or points[i][d] == c and points[i][3] <= best[2]]
+        split(left, lo, mid)
+        split([i for i in some if i not in set(left)], mid, hi)
+
+    split(list(range(len(points))), 0, shards)
+    return out
+
+
+def test_sharding_tree(spark, docs, monkeypatch):
+    """The distributed tree against one built row by row, on the points of documents."""
+    monkeypatch.setattr(sharding, "BROADCAST_ROWS", 0)  # all joins by shuffle
+    import random
+
+    r = random.Random(7)
+    points = [(r.choice((0, 5, 5, 9)), r.randint(0, 3), r.randint(0, 40), r.randint(0, 99)) for _ in range(300)]
+    weights = [r.randint(1, 60) for _ in points]
+    d = spark.createDataFrame([(w, list(p[:3]), p[3]) for p, w in zip(points, weights, strict=True)], "__size long, at array<int>, digit int").repartition(3)
+    tree = sharding.Tree(11)
+    while sharding._split_level(d, tree):
+        pass
+    from pyspark.sql import functions as F
+
+    got = Counter((tuple(x["at"]), x["digit"], x["__size"], x["s"]) for x in d.withColumn("s", F.get(tree.column(), tree.node())["lo"]).collect())
+    want = tree_brute(points, weights, 11)
+    assert got == Counter((p[:3], p[3], w, want[i]) for i, (p, w) in enumerate(zip(points, weights, strict=True)))
+    out = sharding.shard(docs, n_shards=5)
+    monkeypatch.setattr(sharding, "BROADCAST_ROWS", 100_000)
+    assert collected(out, "doc_id", "size", "shard") == collected(sharding.shard(docs, n_shards=5), "doc_id", "size", "shard")
+
+
+def test_sharding_spreads_equal_rows(spark):
+    d = spark.createDataFrame([(1, "the same text", "en", "a")] * 4000, "doc_id long, text string, lang string, source string").repartition(3)
+    rows = Counter(r["shard"] for r in sharding.shard(d, n_shards=8).collect())
+    assert len(rows) == 8 and max(rows.values()) - min(rows.values()) <= 4
+    plain = sharding.shard(d, n_shards=8)
+    assert collected(plain, "shard", "slot") == collected(sharding.shard(d.repartition(5), n_shards=8), "shard", "slot")
+
+
 def test_sharding_balance(spark):
     import random
 
