@@ -5,12 +5,15 @@ texts a backslash is doubled, and one is put after the first character of every
 control string, this template's and those of other common ones; so no marker can be
 forged, and dropping one backslash before each character restores the text.
 
-Windows: prefix sums of turn tokens, cut every ``stride`` tokens, give each turn its
-window; turns are never cut.  With stride = budget - system - history - longest turn
-no window exceeds the budget unless one turn alone does, which then has a window of
-its own.  A later window begins with the system turn and the last few turns before
-it, as far as the history allowance goes.  Those repeated turns are context: the loss
-mask holds each assistant text once, in the window it belongs to.
+Windows: of the budget, the system turn and the history allowance leave ``room``.
+Prefix sums of turn tokens, cut every ``stride`` tokens, give each turn its window;
+turns are never cut.  A turn of over half the room starts the sums anew, and so does
+the turn after one of over a stride, so that a long turn costs its neighbours nothing.
+With stride = room - longest other turn no window exceeds the budget unless one turn
+alone does, which then has a window of its own.  A later window begins with the system
+turn and the last few turns before it, as far as the history allowance goes.  Those
+repeated turns are context: the loss mask holds each assistant text once, in the window
+it belongs to.
 """
 
 from __future__ import annotations
@@ -46,7 +49,8 @@ def windows(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
 
     Turns go by turn number; equal numbers by role, then text.  Null roles and texts
     are empty, null numbers come first, repeated rows are turns, rows without a
-    conversation form one; an empty table gives an empty result.
+    conversation form one; very long turns are windows of their own; an empty table
+    gives an empty result; other columns don't matter, whatever their names.
     """
     conv = Window.partitionBy("conv_id")
     order = conv.orderBy("turn", "role", "text")
@@ -54,9 +58,12 @@ def windows(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
     t = turns.select(F.col(conv_col).alias("conv_id"), F.col(turn_col).alias("turn"), text_of(role_col).alias("role"), text_of(text_col).alias("text")).withColumn("tokens", _tokens(F.col("text")))
     t = t.withColumn("rn", F.row_number().over(order)).withColumn("is_system", (F.col("rn") == 1) & (F.col("role") == "system"))
     own = F.when(F.col("is_system"), 0).otherwise(F.col("tokens"))
-    stride = F.greatest(F.lit(budget - history_tokens) - F.max(F.col("tokens") - own).over(conv) - F.max(own).over(conv), F.lit(1))
-    t = t.withColumn("upto", F.coalesce(F.sum(own).over(before), F.lit(0))).withColumn("raw", F.floor(F.col("upto") / stride))
-    t = t.withColumn("window", F.dense_rank().over(conv.orderBy("raw")) - 1).withColumn("windows", F.max("window").over(conv) + 1)
+    t = t.withColumn("own", own).withColumn("room", F.greatest(F.lit(budget - history_tokens) - F.max(F.col("tokens") - F.col("own")).over(conv), F.lit(1)))
+    t = t.withColumn("long", 2 * F.col("own") > F.col("room")).withColumn("upto", F.coalesce(F.sum("own").over(before), F.lit(0)))
+    t = t.withColumn("stride", F.greatest(F.col("room") - F.coalesce(F.max(F.when(~F.col("long"), F.col("own"))).over(conv), F.lit(0)), F.lit(1)))
+    anew = F.col("long") | F.coalesce(F.lag("own").over(order) > F.col("stride"), F.lit(False))
+    t = t.withColumn("base", F.coalesce(F.max(F.when(anew, F.col("upto"))).over(order.rowsBetween(Window.unboundedPreceding, 0)), F.lit(0)))
+    t = t.withColumn("window", F.dense_rank().over(conv.orderBy("base", F.floor((F.col("upto") - F.col("base")) / F.col("stride")))) - 1).withColumn("windows", F.max("window").over(conv) + 1)
     # the windows in which a turn is context: all later ones for the system turn, else those that begin soon after it
     later = []
     for d in range(1, history_turns + 1):

@@ -87,9 +87,11 @@ def _op6(probe: str) -> str:
     return f"""WITH turns AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations UNION ALL VALUES (-1, 0, 'user', '{probe}'), (-1, 1, 'assistant', '{probe}')),
     counted AS (SELECT *, len(regexp_extract_all(text, '[\\p{{L}}\\p{{N}}]+|[^\\t\\n\\x0B\\f\\r \\p{{L}}\\p{{N}}]')) + {chat.TURN_OVERHEAD} AS tokens, row_number() OVER ({order}) AS rn FROM turns),
     owned AS (SELECT *, rn = 1 AND role = 'system' AS is_system, CASE WHEN rn = 1 AND role = 'system' THEN 0 ELSE tokens END AS own FROM counted),
-    summed AS (SELECT *, greatest({chat.BUDGET - chat.HISTORY_TOKENS} - max(tokens - own) OVER (PARTITION BY conv_id) - max(own) OVER (PARTITION BY conv_id), 1) AS stride,
-        coalesce(sum(own) OVER ({order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS upto FROM owned),
-    placed AS (SELECT *, dense_rank() OVER (PARTITION BY conv_id ORDER BY upto // stride) - 1 AS win FROM summed),
+    roomed AS (SELECT *, greatest({chat.BUDGET - chat.HISTORY_TOKENS} - max(tokens - own) OVER (PARTITION BY conv_id), 1) AS room,
+        coalesce(sum(own) OVER ({order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS upto, lag(own) OVER ({order}) AS own_before FROM owned),
+    strided AS (SELECT *, greatest(room - coalesce(max(own) FILTER (WHERE 2 * own <= room) OVER (PARTITION BY conv_id), 0), 1) AS stride FROM roomed),
+    based AS (SELECT *, coalesce(max(CASE WHEN 2 * own > room OR own_before > stride THEN upto END) OVER ({order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0) AS base FROM strided),
+    placed AS (SELECT *, dense_rank() OVER (PARTITION BY conv_id ORDER BY base, (upto - base) // stride) - 1 AS win FROM based),
     spread AS (SELECT *, 1 + CASE WHEN is_system THEN max(win) OVER (PARTITION BY conv_id) - win ELSE 0 END + {later} AS times FROM placed WINDOW o AS ({order})),
     parts AS (SELECT *, {marks} + {escaped('role')} + {escaped('text')} AS chars FROM spread)
     SELECT conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY rn)) AS turns_sha256,

@@ -135,6 +135,19 @@ def test_windows_keep_the_budget(spark):
         assert r["formatted"].count("w ") + chat.TURN_OVERHEAD * r["formatted"].count("<|turn|>") <= 90
 
 
+@pytest.mark.parametrize("tokens, most", [(3000, 3), (700, 3), (500, 3)])
+def test_a_long_turn_costs_its_neighbours_nothing(spark, tokens, most):
+    """Forty turns of 13 tokens fill one window; a long one among them makes at most two more."""
+    turns = [(1, i, ("user", "assistant")[i % 2], "w " * (tokens if i == 20 else 9)) for i in range(41)]
+    w = chat.windows(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")).collect()
+    assert len(w) <= most
+    # best without splitting turns: all within the room but what is longer than it
+    total = sum(r["formatted"].count("w ") for r in w)
+    assert total >= tokens + 40 * 9
+    for r in w:
+        assert tokens > 1000 or r["formatted"].count("w ") + chat.TURN_OVERHEAD * r["formatted"].count("<|turn|>") <= chat.BUDGET
+
+
 def test_registered():
     import __spark_entry__ as e
 
