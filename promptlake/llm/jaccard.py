@@ -40,6 +40,8 @@ ORDERS = 3
 #: Tokens of a block, and of what a task packs at once.
 BLOCK_TOKENS = 1 << 16
 FLUSH_TOKENS = 1 << 20
+#: Up to so many copies (some 40 bytes each) are broadcast to drop them; beyond, documents are joined with them by a shuffle.
+BROADCAST_ROWS = 500_000
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], dtype=np.uint64)
 
 
@@ -422,6 +424,27 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id names their component: one document of each group."""
-    gone = jaccard_components(docs, id_col, text_col).filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs[id_col] == gone["__gone"], "left_anti")
+    """One row of ``docs`` for each component, and each row that has no words.
+
+    Rows are named by id and text: of a component the row of the smallest id stays (null
+    is the largest), of several texts of that id the one of the smallest hash, of rows that
+    agree in both any one.  So a text is not lost with another of its id.  Columns may have
+    any names; an empty table stays empty.
+    """
+    own = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    doc, text = (F.col(f"c{docs.columns.index(c)}") for c in (id_col, text_col))
+    # the order of structs is that of their fields
+    name = F.struct(doc.isNull().alias("no_id"), doc.alias("id"), F.xxhash64(text_of(text)).alias("hash"))
+    found = jaccard_components(own.select(name.alias("name"), text.alias("text")), "name", "text").filter("n_shingles > 0")
+    state = found.groupBy("doc_id").agg(F.count("*").alias("rows"), F.first("component_id").alias("first")).filter("rows > 1 or doc_id <> first")
+    state = checkpointed(state.select(F.col("doc_id.id").alias("s_id"), F.col("doc_id.hash").alias("s_hash"), "rows", (F.col("doc_id") != F.col("first")).alias("gone")))
+    sizes = state.agg(F.count("*"), F.count_if(~F.col("gone"))).first()
+    if sizes[0] <= BROADCAST_ROWS:
+        state = F.broadcast(state)
+    same = doc.eqNullSafe(F.col("s_id")) & (F.xxhash64(text_of(text)) == F.col("s_hash"))
+    if not sizes[1]:  # no row stays that has equals
+        return own.join(state, same, "left_anti").toDF(*docs.columns)
+    left = own.join(state, same, "left").filter("gone is null or not gone")
+    # one of each group of equal rows, chosen by an aggregation
+    equal = left.filter("gone is not null").dropDuplicates(["s_id", "s_hash"])
+    return left.filter("gone is null").unionByName(equal).select(*own.columns).toDF(*docs.columns)

@@ -159,37 +159,55 @@ def test_suffix(docs, rows, empty, hot):
     assert suffix.remove_repeats(empty).count() == 0
 
 
-def test_suffix_pieces(spark, monkeypatch):
-    monkeypatch.setattr(suffix, "PIECE", 900)
-    monkeypatch.setattr(suffix, "FLUSH_ANCHORS", 20)
+def test_suffix_pieces(spark):
     import random
 
     r = random.Random(5)
     noise = lambda n: "".join(r.choice("abcdefgh ") for _ in range(n))
     p = noise(450)
     rows = [(i, noise(r.randint(0, 1500)) + p[r.randint(0, 100) : r.randint(250, 450)] + noise(r.randint(0, 1500))) for i in range(12)] + [(20, "z" * 3000), (21, p + "é" * 120 + p)]
-    out = suffix.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+    out = suffix.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), piece=900)
     assert collected(out.drop("spans"), *out.columns[:-1]) == repeats_brute(rows, 200)
 
 
-def test_suffix_borders(spark, monkeypatch):
+def test_suffix_over_the_size_of_a_part(spark):
+    """The end of the first part of a long text is repeated elsewhere, and nothing else of it goes."""
+    import numpy as np
+
+    text = np.random.default_rng(4).integers(97, 123, 4_197_304).astype(np.uint8).tobytes().decode()
+    some = text[suffix.PIECE - 700 : suffix.PIECE]
+    out = suffix.remove_repeats(spark.createDataFrame([(1, text), (2, some), (3, "x" * 10)], "doc_id long, text string"))
+    assert {r["doc_id"]: (r["n_removed"], r["n_spans"]) for r in out.collect()} == {1: (700, 1), 2: (700, 1), 3: (0, 0)}
+
+
+def test_suffix_agreement():
+    import numpy as np
+
+    r = np.random.default_rng(3)
+    strings = r.integers(0, 2, (400, 13)).astype(np.uint8)
+    a = suffix._Agreement(strings)
+    for depth in (0, 1, 5, 9, 13):
+        c = a.classes(depth)
+        assert all((c[i] == c[j]) == (strings[i, :depth] == strings[j, :depth]).all() for i in range(0, 400, 7) for j in range(400))
+    assert all(m == max(next((k for k in range(13) if strings[i, k] != strings[j, k]), 13) for j in range(400) if j != i) for i, m in enumerate(a.most))
+
+
+def test_suffix_borders(spark):
     """Nothing goes at the borders of the parts of a long text but what is repeated."""
     import random
 
-    monkeypatch.setattr(suffix, "PIECE", 900)
     r = random.Random(6)
     noise = lambda n: "".join(r.choice("abcdefgh ") for _ in range(n))
     p = noise(300)
     rows = [(1, noise(5000)), (2, noise(650) + p + noise(2000)), (3, noise(1700) + p + noise(777)), (4, "é" * 20 + noise(3000)), (5, noise(899)), (6, noise(901))]
-    for _ in range(2):
-        out = suffix.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+    for piece in (900, 1234):
+        out = suffix.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), piece=piece)
         assert collected(out.drop("spans"), *out.columns[:-1]) == repeats_brute(rows, 200)
         assert {x["doc_id"]: x["n_removed"] for x in out.collect()} == {i: 300 if i in (2, 3) else 0 for i in range(1, 7)}
-        monkeypatch.setattr(suffix, "PIECE", 1234)
     find = suffix._find_anchors(4, 200, 900)  # the parts of one text, in this process
     import pyarrow as pa
 
-    batch = pa.RecordBatch.from_arrays([pa.array([7]), pa.array([rows[0][1]])], ["name", "text"])
+    batch = pa.RecordBatch.from_arrays([pa.array([7]), pa.array([8]), pa.array([rows[0][1]])], ["name", "check", "text"])
     packed = pa.Table.from_batches(list(find(iter([batch])))).to_batches()
     assert not list(suffix._twins(10)(iter(packed)))
 
@@ -310,9 +328,38 @@ def test_jaccard(spark, docs, rows, empty, block, monkeypatch):
     out = jaccard.jaccard_components(spark.createDataFrame(near, "doc_id long, text string").repartition(3))
     assert collected(out, *out.columns) == components_brute(near)
     assert jaccard.jaccard_components(empty).count() == 0
+
+
+def one_brute(rows):
+    """Rows by (id, text): the first row of each component, and all rows without words."""
+    name = lambda r: (r[0] is None, r[0] or 0, (lambda v: v - (1 << 64) if v >> 63 else v)(xxhash.xxh64_intdigest((r[1] or "").encode(), 42)))
+    names = sorted({name(r) for r in rows})
+    found = components_brute([(names.index(name(r)), r[1]) for r in rows])
+    first = {i: c for i, n, c in found if n}
+    out, seen = [], set()
+    for r in rows:
+        i = names.index(name(r))
+        if i in first and (first[i] != i or i in seen):
+            continue
+        seen.add(i)
+        out.append(r[:2])
+    return ordered(out)
+
+
+@pytest.mark.parametrize("most", [500_000, 0])
+def test_keep_one(spark, docs, rows, empty, most, monkeypatch):
+    monkeypatch.setattr(jaccard, "BROADCAST_ROWS", most)
     kept = jaccard.keep_one(docs)
-    want = components_brute(rows)
-    assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} == {x[0] for x in want if x[0] == x[2]}
+    assert kept.columns == docs.columns and collected(kept, "doc_id", "text") == one_brute(rows)
+    say = lambda x: " ".join(f"{x}{i}" for i in range(12))
+    w, u, x = say("w"), say("u"), say("x")
+    some = [(3, w), (5, w), (5, u), (7, w), (7, w), (None, w), (9, u + " z"), (8, x), (8, x), (None, say("n")), (None, None), (None, None), (4, " "), (4, " ")]
+    clash = spark.createDataFrame([(*r, "a", "b", "c") for r in some], "doc_id long, text string, gone string, rows string, s_id string").repartition(3)
+    kept = jaccard.keep_one(clash)
+    assert kept.columns == clash.columns
+    assert collected(kept, "doc_id", "text") == one_brute(some) == ordered([(3, w), (5, u), (8, x), (None, say("n")), (None, None), (None, None), (4, " "), (4, " ")])
+    assert all(r["gone"] == "a" and r["rows"] == "b" for r in kept.collect())
+    assert jaccard.keep_one(empty).count() == 0
 
 
 # lines
@@ -563,15 +610,15 @@ def test_pipeline(spark, tmp_path, docs, rows):
     assert list(stages)[0] == "quality rules" and len(stages) == 5
     q = stages["quality rules"](spark, d, str(tmp_path))
     left = [r for r in left if r[0] in {x[0] for x in good}]
-    assert ids(q) == {r[0] for r in left} and q.columns == own.columns
+    assert collected(q, "doc_id", "text") == ordered(r[:2] for r in left) and q.columns == own.columns
     j = stages["n-gram Jaccard join"](spark, q, str(tmp_path))
-    first = {x[0] for x in components_brute(left) if x[0] == x[2]}
-    left = [r for r in left if r[0] in first]
-    assert ids(j) == {r[0] for r in left} and j.columns == own.columns
+    assert collected(j, "doc_id", "text") == one_brute(left) and j.columns == own.columns
+    left = [(*r, None, None) for r in one_brute(left)]
     c = stages["benchmark decontamination"](spark, j, str(tmp_path))
     bad = {x[0] for x in leaks_brute([(r[0], r[1]) for r in left], [tuple(b) for b in bench.collect()]) if x[-1]}
     left = [r for r in left if r[0] not in bad]
     assert bad and ids(c) == {r[0] for r in left} and c.columns == own.columns
+    assert collected(c, "doc_id", "text") == ordered(r[:2] for r in left)
     out = corpus_pipeline.run(spark, str(tmp_path))
     assert out.columns == [*own.columns, "size", "shard", "slot"]
     got = out.collect()
