@@ -5,20 +5,21 @@ A byte goes if a string of ``length`` bytes that covers it also starts anywhere
 1. Sampled suffixes.  Only suffixes that start at anchors are sorted: in every string
    of ``length`` bytes, the place of the smallest hash of 32 leading bytes.  Equal
    strings have it at the same offset, so a repeated string shows as two anchors with
-   equal leading bytes.  Texts are named by a hash, so copies are one text; texts with
-   copies lose everything anyway.
+   equal leading bytes.  Texts are named by 124 bits of two hashes, one of them SHA-256,
+   so copies are one text; texts with copies lose everything anyway.
 2. Anchors (hash of the leading bytes, hash of all that strings around the anchor
    reach, place) are packed and shuffled by the first hash.  Anchors alone with their
-   leading bytes go.  Those with a twin in the whole reach are settled.  The others,
-   and one of each kind of twins as a partner, take their bytes along.
+   leading bytes go.  Those with a twin in the whole reach (128 bits of hashes) are
+   settled.  The others, and one of each kind of twins as a partner, take their bytes along.
 3. Buckets.  Spark samples splitters and range-partitions these suffixes by their
-   leading bytes.  A bucket sorts them by a multikey quicksort on eight-byte tokens
-   and compares neighbours; suffixes that agree in their 32 leading bytes never lie
-   in two buckets, so comparisons across a boundary are between different groups.
-   In a group, the strings at each offset are compared by rolling hashes (64 bits,
-   beside the equal leading bytes).
+   leading bytes.  A bucket sorts them by a multikey quicksort on eight-byte tokens, and
+   so the bytes before them, from the anchor backwards.  The common prefixes of
+   neighbours in both orders say which suffixes agree in so many bytes to the right and
+   to the left; two strings are equal if their suffixes agree in both, byte by byte.
+   Splitters fall between different leads (the range of one lead is one bucket), so
+   neighbours across a boundary agree in less than a lead and have no string in common.
 4. A group of more than ``hot`` suffixes isn't sorted in one task: its strings are
-   counted by hash in an aggregation with partial sums.
+   counted by their SHA-256 in an aggregation with partial sums.
 5. Ranges are merged by text and cut out.
 """
 
@@ -90,6 +91,7 @@ def _pieces(text: bytes, length: int, piece: int) -> Iterator[tuple[int, bytes]]
 
 
 _PACKED = ["part", "packed"]
+_HELD = ["name", "check", "text", "places"]
 
 
 def _find_anchors(n_parts: int, length: int, piece_size: int):
@@ -99,6 +101,7 @@ def _find_anchors(n_parts: int, length: int, piece_size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got: list[tuple] = []
         names: list[int] = []
+        checks: list[int] = []
         sizes: list[int] = []
         total = 0
 
@@ -107,13 +110,13 @@ def _find_anchors(n_parts: int, length: int, piece_size: int):
             part = (((lead >> np.uint64(48)) * np.uint64(n_parts)) >> np.uint64(16)).astype(np.int64)
             order = np.argsort(part, kind="stable")
             lead, reach, doc, pos, part = lead[order], reach[order], doc[order], pos[order], part[order]
-            name, size = np.array(names, dtype=np.int64), np.array(sizes, dtype=np.int64)
+            name, check, size = (np.array(x, dtype=np.int64) for x in (names, checks, sizes))
             cuts, rows = np.searchsorted(part, np.arange(n_parts + 1)), []
             for p in np.flatnonzero(np.diff(cuts)).tolist():
                 s = slice(int(cuts[p]), int(cuts[p + 1]))
                 own, index = np.unique(doc[s], return_inverse=True)
                 head = np.array([len(own), s.stop - s.start], dtype=np.int64)
-                rows.append((p, b"".join(x.tobytes() for x in (head, name[own], size[own], lead[s], reach[s], pos[s].astype(np.uint32), index.astype(np.uint32)))))
+                rows.append((p, b"".join(x.tobytes() for x in (head, name[own], check[own], size[own], lead[s], reach[s], pos[s].astype(np.uint32), index.astype(np.uint32)))))
             return pa.RecordBatch.from_arrays([pa.array([p for p, _ in rows], pa.int32()), pa.array([x for _, x in rows], pa.binary())], _PACKED)
 
         def add(held: list[tuple[int, int, bytes, bytes]]) -> int:
@@ -136,7 +139,7 @@ def _find_anchors(n_parts: int, length: int, piece_size: int):
 
         for batch in batches:
             held, size = [], 0
-            for name, text in zip(batch.column("name").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            for name, check, text in zip(*(batch.column(c).to_pylist() for c in ("name", "check", "text")), strict=True):
                 text = text.encode()
                 if len(text) < length:
                     continue
@@ -148,15 +151,16 @@ def _find_anchors(n_parts: int, length: int, piece_size: int):
                         total += add(held)
                         held, size = [], 0
                 names.append(name)
+                checks.append(check)
                 sizes.append(len(text))
                 if total >= FLUSH_ANCHORS and not held:
                     yield flush()
-                    got, names, sizes, total = [], [], [], 0
+                    got, names, checks, sizes, total = [], [], [], [], 0
             if held:
                 total += add(held)
             if total >= FLUSH_ANCHORS:
                 yield flush()
-                got, names, sizes, total = [], [], [], 0
+                got, names, checks, sizes, total = [], [], [], [], 0
         if got:
             yield flush()
 
@@ -164,7 +168,7 @@ def _find_anchors(n_parts: int, length: int, piece_size: int):
 
 
 def _twins(hot: int):
-    """Of the anchors of a hash range, those not alone: name, n_bytes, pos, kind (0 settled, 1 to sort, 2 of a hot group)."""
+    """Of the anchors of a hash range, those not alone: name, check, n_bytes, pos, kind (0 settled, 1 to sort, 2 of a hot group)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = []
@@ -172,21 +176,21 @@ def _twins(hot: int):
             for blob in b.column("packed").to_pylist():
                 k, m = (int(x) for x in np.frombuffer(blob, np.int64, 2))
                 at = 16
-                name, size = np.frombuffer(blob, np.int64, k, at), np.frombuffer(blob, np.int64, k, at + 8 * k)
-                at += 16 * k
+                name, check, size = (np.frombuffer(blob, np.int64, k, at + 8 * k * i) for i in range(3))
+                at += 24 * k
                 lead, reach = np.frombuffer(blob, np.uint64, m, at), np.frombuffer(blob, np.uint64, m, at + 8 * m)
                 at += 16 * m
                 pos, index = np.frombuffer(blob, np.uint32, m, at), np.frombuffer(blob, np.uint32, m, at + 4 * m)
-                parts.append((lead, reach, name[index], size[index], pos))
+                parts.append((lead, reach, name[index], check[index], size[index], pos))
         if not parts:
             return
-        lead, reach, name, size, pos = (np.concatenate(x) for x in zip(*parts, strict=True))
+        lead, reach, name, check, size, pos = (np.concatenate(x) for x in zip(*parts, strict=True))
         parts.clear()
-        order = np.lexsort((pos, size, name, reach, lead))
-        lead, reach, name, size, pos = lead[order], reach[order], name[order], size[order], pos[order]
+        order = np.lexsort((pos, check, name, reach, lead))
+        lead, reach, name, check, size, pos = (x[order] for x in (lead, reach, name, check, size, pos))
         # copies of a text and parts of one that share an anchor have the same lead and reach
-        new = np.r_[True, (lead[1:] != lead[:-1]) | (reach[1:] != reach[:-1]) | (name[1:] != name[:-1]) | (size[1:] != size[:-1]) | (pos[1:] != pos[:-1])]
-        lead, reach, name, size, pos = lead[new], reach[new], name[new], size[new], pos[new]
+        new = np.r_[True, (lead[1:] != lead[:-1]) | (reach[1:] != reach[:-1]) | (name[1:] != name[:-1]) | (check[1:] != check[:-1]) | (pos[1:] != pos[:-1])]
+        lead, reach, name, check, size, pos = (x[new] for x in (lead, reach, name, check, size, pos))
         new_lead = np.r_[True, lead[1:] != lead[:-1]]
         new_reach = new_lead | np.r_[True, reach[1:] != reach[:-1]]
         group, kin = np.cumsum(new_lead) - 1, np.cumsum(new_reach) - 1
@@ -198,25 +202,25 @@ def _twins(hot: int):
             at = np.flatnonzero(which)
             for i in range(0, len(at), 100_000):
                 j = at[i : i + 100_000]
-                yield pa.RecordBatch.from_arrays([pa.array(name[j]), pa.array(size[j]), pa.array(pos[j].astype(np.int64)), pa.array(np.full(len(j), kind, dtype=np.int32))], ["name", "n_bytes", "pos", "kind"])
+                yield pa.RecordBatch.from_arrays([pa.array(name[j]), pa.array(check[j]), pa.array(size[j]), pa.array(pos[j].astype(np.int64)), pa.array(np.full(len(j), kind, dtype=np.int32))], ["name", "check", "n_bytes", "pos", "kind"])
 
     return run
 
 
 def _suffixes(length: int):
-    """Each anchor to sort with its bytes: lead, name, n_bytes, pos, left and right."""
+    """Each anchor to sort with its bytes: lead, name, check, pos, left and right."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["lead", "name", "n_bytes", "pos", "left", "right"]
+        names = ["lead", "name", "check", "pos", "left", "right"]
         types = [pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
         for b in batches:
             rows = []
-            for name, text, places in zip(b.column("name").to_pylist(), b.column("text").to_pylist(), b.column("places").to_pylist(), strict=True):
+            for name, check, text, places in zip(*(b.column(c).to_pylist() for c in _HELD), strict=True):
                 text = text.encode()
                 for p in places:
                     if p["kind"] == 1:
                         q = p["pos"]
-                        rows.append((text[q : q + LEAD], name, len(text), q, text[max(0, q - length + LEAD) : q], text[q : q + length]))
+                        rows.append((text[q : q + LEAD], name, check, q, text[max(0, q - length + LEAD) : q], text[q : q + length]))
                 if len(rows) > 20_000:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
                     rows = []
@@ -227,22 +231,61 @@ def _suffixes(length: int):
 
 
 def _hot_strings(length: int):
-    """Each string around the anchors of hot groups: a hash of 128 bits, and its place."""
+    """Each string around the anchors of hot groups: its digest, and its place."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for name, text, places in zip(b.column("name").to_pylist(), b.column("text").to_pylist(), b.column("places").to_pylist(), strict=True):
+            for name, check, text, places in zip(*(b.column(c).to_pylist() for c in _HELD), strict=True):
                 text = text.encode()
                 at = sorted({s for p in places if p["kind"] == 2 for s in range(max(0, p["pos"] - length + LEAD), min(p["pos"], len(text) - length) + 1)})
-                if at:
-                    digests = b"".join(xxhash.xxh3_128_digest(text[s : s + length]) for s in at)
-                    pair = np.frombuffer(digests, np.int64).reshape(-1, 2)
-                    k = len(at)
-                    yield pa.RecordBatch.from_arrays([pa.array(pair[:, 0].copy()), pa.array(pair[:, 1].copy()), pa.array(np.full(k, name)), pa.array(np.full(k, len(text), dtype=np.int64)), pa.array(at, pa.int64())], ["h1", "h2", "name", "n_bytes", "lo"])
+                if k := len(at):
+                    digests = [hashlib.sha256(text[s : s + length]).digest() for s in at]
+                    yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(np.full(k, name)), pa.array(np.full(k, check)), pa.array(at, pa.int64())], ["digest", "name", "check", "lo"])
 
     return run
 
 
+def multikey_order(tokens: np.ndarray) -> np.ndarray:
+    """The order of rows of tokens: a multikey quicksort in which all runs of a depth are split by their next token at once."""
+    order, run = np.arange(len(tokens)), np.zeros(len(tokens), dtype=np.int64)
+    active = order
+    for depth in range(tokens.shape[1]):
+        if not len(active):
+            break
+        key = tokens[order[active], depth]
+        by = np.lexsort((key, run[active]))
+        order[active] = order[active][by]
+        key, of = key[by], run[active]
+        new = np.r_[True, (of[1:] != of[:-1]) | (key[1:] != key[:-1])]
+        first = np.flatnonzero(new)
+        size = np.diff(np.r_[first, len(active)])
+        run[active] = np.repeat(active[first], size)
+        active = active[np.repeat(size, size) > 1]
+    return order
+
+
+class _Agreement:
+    """Strings of bytes in order: which of them agree in their first bytes."""
+
+    def __init__(self, strings: np.ndarray):
+        width = strings.shape[1]
+        tokens = np.zeros((len(strings), width + -width % 8), dtype=np.uint8)
+        tokens[:, :width] = strings
+        self.order = multikey_order(tokens.view(">u8"))
+        own = strings[self.order]
+        differ = own[1:] != own[:-1]
+        #: The bytes in which each agrees with the one before it in order.
+        self.common = np.where(differ.any(axis=1), differ.argmax(axis=1), width)
+        self.most = np.empty(len(strings), dtype=np.int64)
+        self.most[self.order] = np.maximum(np.r_[0, self.common], np.r_[self.common, 0])
+
+    def classes(self, depth: int) -> np.ndarray:
+        """A number for each string; equal ones agree in ``depth`` bytes."""
+        out = np.empty(len(self.order), dtype=np.int64)
+        out[self.order] = np.cumsum(np.r_[0, self.common < depth])
+        return out
+
+
 def multikey_order(tokens: np.ndarray) -> np.ndarray:
     """The order of rows of tokens: quicksort by the first, then each run of equal ones by the next."""
     order = np.arange(len(tokens))
@@ -261,49 +304,36 @@ def multikey_order(tokens: np.ndarray) -> np.ndarray:
     return order
 
 
-def _repeated(left: list[bytes], right: list[bytes], same: np.ndarray, length: int) -> np.ndarray:
-    """For suffixes in groups (``same`` numbers them), which strings, by bytes before the anchor, occur twice in a group."""
+def _repeated(left: list[bytes], right: list[bytes], length: int) -> np.ndarray:
+    """For suffixes, which strings around their anchor, by bytes before it, occur twice."""
     m, before = len(left), length - LEAD
     ll, rl = np.array([len(x) for x in left]), np.array([len(x) for x in right])
-    buf = np.frombuffer(b"".join(x.rjust(before, b"\0") + y.ljust(length, b"\0") for x, y in zip(left, right, strict=True)), np.uint8).reshape(m, before + length)
+    to_right = _Agreement(np.frombuffer(b"".join(x.ljust(length, b"\0") for x in right), np.uint8).reshape(m, length))
+    to_left = _Agreement(np.frombuffer(b"".join(x[::-1].ljust(before, b"\0") for x in left), np.uint8).reshape(m, before))
     out = np.zeros((m, before + 1), dtype=bool)
-    power, base = np.uint64(1), _MUL[2]
-    h = np.zeros(m, dtype=np.uint64)
-    for i in range(length):  # the string that starts ``before`` bytes ahead of the anchor
-        h = h * base + _TABLE[buf[:, i]]
-        power = np.uint64((int(power) * int(base)) & 0xFFFFFFFFFFFFFFFF) if i < length - 1 else power
-    for s in range(before + 1):
-        a = before - s
-        ok = np.flatnonzero((ll >= a) & (rl >= length - a))
+    for a in range(before + 1):
+        ok = np.flatnonzero((ll >= a) & (rl >= length - a) & (to_left.most >= a) & (to_right.most >= length - a))
         if len(ok) > 1:
-            order = ok[np.lexsort((h[ok], same[ok]))]
-            twin = (h[order][1:] == h[order][:-1]) & (same[order][1:] == same[order][:-1])
-            out[order[1:][twin], a] = out[order[:-1][twin], a] = True
-        if s < before:
-            h = (h - _TABLE[buf[:, s]] * power) * base + _TABLE[buf[:, s + length]]
+            pair = to_left.classes(a)[ok] * m + to_right.classes(length - a)[ok]
+            order = np.argsort(pair)
+            twin = pair[order][1:] == pair[order][:-1]
+            out[ok[order[1:][twin]], a] = out[ok[order[:-1][twin]], a] = True
     return out
 
 
 def _bucket(length: int):
-    """Ranges of starts of repeated strings: name, n_bytes, lo, hi (both included)."""
+    """Ranges of starts of repeated strings: name, check, lo, hi (both included)."""
 
     def solve(rows: list[tuple]) -> pa.RecordBatch:
-        tokens = np.frombuffer(b"".join(r[5].ljust(length + -length % 8, b"\0") for r in rows), ">u8").reshape(len(rows), -1)
-        order = multikey_order(tokens)
-        lead = [rows[i][0] for i in order]
-        same = np.cumsum([0, *(x != y for x, y in zip(lead[1:], lead, strict=False))])
-        order = order[np.bincount(same)[same] > 1]
-        same = same[np.bincount(same)[same] > 1]
         found = []
-        for lo in _chunks(same, 10_000):
-            part = order[lo]
-            out = _repeated([rows[i][4] for i in part], [rows[i][5] for i in part], same[lo], length)
+        for part in _chunks([r[0] for r in rows], 10_000):
+            out = _repeated([r[4] for r in rows[part]], [r[5] for r in rows[part]], length)
             edge = np.diff(np.pad(out.astype(np.int8), ((0, 0), (1, 1))), axis=1)
             for (i, a), (_, b) in zip(np.argwhere(edge == 1).tolist(), np.argwhere(edge == -1).tolist(), strict=True):
-                _, name, n, q, *_ = rows[part[i]]
-                found.append((name, n, q - b + 1, q - a))
+                _, name, check, q, *_ = rows[part.start + i]
+                found.append((name, check, q - b + 1, q - a))
         columns = list(zip(*found, strict=True)) or [[]] * 4
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["name", "n_bytes", "lo", "hi"])
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["name", "check", "lo", "hi"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
@@ -319,23 +349,24 @@ def _bucket(length: int):
     return run
 
 
-def _chunks(same: np.ndarray, size: int) -> Iterator[slice]:
-    """Slices of about ``size`` that don't cut a group."""
+def _chunks(leads: list[bytes], size: int) -> Iterator[slice]:
+    """Slices of about ``size`` that don't cut a group of equal leads."""
     lo = 0
-    while lo < len(same):
-        hi = lo + size
-        hi = len(same) if hi >= len(same) else int(np.searchsorted(same, same[hi - 1], side="right"))
+    while lo < len(leads):
+        hi = min(lo + size, len(leads))
+        while hi < len(leads) and leads[hi] == leads[hi - 1]:
+            hi += 1
         yield slice(lo, hi)
         lo = hi
 
 
 def _cut(length: int):
-    """name, n_bytes, n_removed, n_spans, kept_sha256 and spans of each text with ranges."""
+    """name, check, n_removed, n_spans, kept_sha256 and spans of each text with ranges."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
-            for name, text, ranges in zip(b.column("name").to_pylist(), b.column("text").to_pylist(), b.column("ranges").to_pylist(), strict=True):
+            for name, check, text, ranges in zip(*(b.column(c).to_pylist() for c in ("name", "check", "text", "ranges")), strict=True):
                 text, spans = text.encode(), []
                 for lo, hi in sorted((r["lo"], r["hi"] + length) for r in ranges):
                     if spans and lo <= spans[-1][1]:
@@ -348,49 +379,54 @@ def _cut(length: int):
                     kept.update(text[at:lo])
                     at = hi
                 kept.update(text[at:])
-                out.append((name, len(text), sum(y - x for x, y in spans), len(spans), kept.hexdigest(), [{"start": x, "end": y} for x, y in spans]))
+                out.append((name, check, sum(y - x for x, y in spans), len(spans), kept.hexdigest(), [{"start": x, "end": y} for x, y in spans]))
             types = [pa.int64()] * 4 + [pa.string(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [[]] * 6, types, strict=True)], ["name", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [[]] * 6, types, strict=True)], ["name", "check", "n_removed", "n_spans", "kept_sha256", "spans"])
 
     return run
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, hot: int = HOT) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, hot: int = HOT, piece: int = PIECE) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and spans (byte ranges removed) for each row of ``docs``.
 
-    Null texts are empty, shorter texts than ``length`` keep everything, equal rows are
-    texts of their own (and so lose everything), and an empty table gives an empty result.
+    Null texts are empty, shorter texts than ``length`` keep everything, equal texts are
+    texts of their own (and so lose everything), very long ones are searched in parts of
+    ``piece`` bytes and compared whole, and an empty table gives an empty result.  Other
+    columns don't matter, whatever their names.
     """
     spark = docs.sparkSession
     parts = shuffle_parts(spark)
-    text = text_of(text_col)
-    own = docs.select(F.col(id_col).alias("doc_id"), text.alias("text")).withColumn("name", F.xxhash64("text")).withColumn("n_bytes", F.octet_length("text").cast("long"))
-    base = checkpointed(own.select("doc_id", "name", "n_bytes", F.sha2("text", 256).alias("sha")))
+    sha = F.sha2("text", 256)
+    own = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
+    own = own.withColumns({"name": F.xxhash64("text"), "check": F.conv(F.substring(sha, 1, 15), 16, 10).cast("long"), "n_bytes": F.octet_length("text").cast("long")})
+    base = checkpointed(own.select("doc_id", "name", "check", "n_bytes", sha.alias("sha")))
+    named = lambda prefix: (F.col("name") == F.col(f"{prefix}_name")) & (F.col("check") == F.col(f"{prefix}_check"))
+    called = lambda df, prefix: df.withColumnsRenamed({"name": f"{prefix}_name", "check": f"{prefix}_check"})
     # anchors that aren't alone
-    packed = own.filter(F.col("n_bytes") >= length).select("name", "text").mapInArrow(_find_anchors(4 * parts, length, PIECE), "part int, packed binary")
-    shared = checkpointed(packed.repartition(parts, "part").mapInArrow(_twins(hot), "name long, n_bytes long, pos long, kind int"))
+    packed = own.filter(F.col("n_bytes") >= length).select("name", "check", "text").mapInArrow(_find_anchors(4 * parts, length, piece), "part int, packed binary")
+    shared = checkpointed(packed.repartition(parts, "part").mapInArrow(_twins(hot), "name long, check long, n_bytes long, pos long, kind int"))
     # the texts that have such anchors, one row of each, in the shared folder
-    first = base.groupBy("name", "n_bytes").agg(F.min("doc_id").alias("rep"))
-    wanted = shared.groupBy("name", "n_bytes").agg(F.collect_list(F.struct("pos", "kind")).alias("places")).join(first, ["name", "n_bytes"]).withColumnsRenamed({"name": "w_name", "n_bytes": "w_bytes"})
-    texts = own.join(wanted, (F.col("name") == F.col("w_name")) & (F.col("n_bytes") == F.col("w_bytes")) & F.col("doc_id").eqNullSafe(F.col("rep")))
+    first = base.groupBy("name", "check").agg(F.min("doc_id").alias("rep"))
+    wanted = shared.groupBy("name", "check").agg(F.collect_list(F.struct("pos", "kind")).alias("places")).join(first, ["name", "check"])
+    texts = own.join(called(wanted, "w"), named("w") & F.col("doc_id").eqNullSafe(F.col("rep")))
     folder = scratch(spark, "repeats")
-    texts.select("name", "n_bytes", "text", "places").write.parquet(folder)
+    texts.select("name", "check", "text", "places").write.parquet(folder)
     texts = spark.read.parquet(folder)
     # repeated strings
-    some = lambda kind: texts.filter(F.exists("places", lambda p: p["kind"] == kind)).select("name", "text", "places")
-    sorted_ = some(1).mapInArrow(_suffixes(length), "lead binary, name long, n_bytes long, pos long, left binary, right binary").repartitionByRange(parts, "lead").sortWithinPartitions("lead")
-    ranges = sorted_.mapInArrow(_bucket(length), "name long, n_bytes long, lo long, hi long")
-    strings = some(2).mapInArrow(_hot_strings(length), "h1 long, h2 long, name long, n_bytes long, lo long")
-    place = F.struct("name", "n_bytes", "lo")
-    twice = strings.groupBy("h1", "h2").agg(F.min(place).alias("x"), F.max(place).alias("y")).filter("x <> y").select("h1", "h2")
-    hot_ranges = strings.join(twice, ["h1", "h2"]).select("name", "n_bytes", "lo", F.col("lo").alias("hi"))
-    settled = shared.filter("kind = 0").select("name", "n_bytes", F.greatest(F.col("pos") - (length - LEAD), F.lit(0)).alias("lo"), F.least(F.col("pos"), F.col("n_bytes") - length).alias("hi"))
-    found = ranges.unionByName(hot_ranges).unionByName(settled).groupBy("name", "n_bytes").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
-    cut = texts.select("name", "n_bytes", "text").dropDuplicates(["name", "n_bytes"]).join(found, ["name", "n_bytes"]).select("name", "text", "ranges")
-    cut = cut.mapInArrow(_cut(length), "name long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:long,end:long>>").withColumnsRenamed({"name": "c_name", "n_bytes": "c_bytes"})
+    some = lambda kind: texts.filter(F.exists("places", lambda p: p["kind"] == kind)).select(*_HELD)
+    sorted_ = some(1).mapInArrow(_suffixes(length), "lead binary, name long, check long, pos long, left binary, right binary").repartitionByRange(parts, "lead").sortWithinPartitions("lead")
+    ranges = sorted_.mapInArrow(_bucket(length), "name long, check long, lo long, hi long")
+    strings = some(2).mapInArrow(_hot_strings(length), "digest binary, name long, check long, lo long")
+    place = F.struct("name", "check", "lo")
+    twice = strings.groupBy("digest").agg(F.min(place).alias("x"), F.max(place).alias("y")).filter("x <> y").select("digest")
+    hot_ranges = strings.join(twice, "digest").select("name", "check", "lo", F.col("lo").alias("hi"))
+    settled = shared.filter("kind = 0").select("name", "check", F.greatest(F.col("pos") - (length - LEAD), F.lit(0)).alias("lo"), F.least(F.col("pos"), F.col("n_bytes") - length).alias("hi"))
+    found = ranges.unionByName(hot_ranges).unionByName(settled).groupBy("name", "check").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
+    cut = texts.select("name", "check", "text").dropDuplicates(["name", "check"]).join(found, ["name", "check"]).select("name", "check", "text", "ranges")
+    cut = cut.mapInArrow(_cut(length), "name long, check long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:long,end:long>>")
     # copies lose everything; texts without ranges keep everything
-    copies = base.filter(F.col("n_bytes") >= length).groupBy("name", "n_bytes").agg(F.count("*").alias("rows")).filter("rows > 1").select(F.col("name").alias("d_name"), F.col("n_bytes").alias("d_bytes"))
-    out = base.join(cut, (F.col("name") == F.col("c_name")) & (F.col("n_bytes") == F.col("c_bytes")), "left").join(copies, (F.col("name") == F.col("d_name")) & (F.col("n_bytes") == F.col("d_bytes")), "left")
+    copies = base.filter(F.col("n_bytes") >= length).groupBy("name", "check").agg(F.count("*").alias("rows")).filter("rows > 1").select("name", "check")
+    out = base.join(called(cut, "c"), named("c"), "left").join(called(copies, "d"), named("d"), "left")
     all_ = F.col("d_name").isNotNull()
     return out.select(
         "doc_id", "n_bytes",
