@@ -330,6 +330,27 @@ def test_jaccard(spark, docs, rows, empty, block, monkeypatch):
     assert jaccard.jaccard_components(empty).count() == 0
 
 
+def test_jaccard_orders():
+    """Sets that are near share a prefix token under every order, and the orders' prefixes differ."""
+    import numpy as np
+
+    r = np.random.default_rng(6)
+    overlap = []
+    for _ in range(200):
+        n = int(r.integers(5, 120))
+        base = r.integers(1, 1 << 62, n, dtype=np.uint64)
+        other = base.copy()
+        other[: n // 10] = r.integers(1, 1 << 62, n // 10, dtype=np.uint64)
+        df = {int(t): int(r.integers(2, 250)) for t in np.r_[base, other]}
+        both = [(np.unique(s), np.array([df[int(t)] for t in np.unique(s)], dtype=np.uint8)) for s in (base, other)]
+        for k in range(jaccard.ORDERS):
+            x, y = (set(jaccard._prefix(t, d, n, k).tolist()) for t, d in both)
+            assert x & y
+        first = [set(jaccard._prefix(*both[0], n, k).tolist()) for k in range(jaccard.ORDERS)]
+        overlap.append(len(first[0] & first[1]) / len(first[0]))
+    assert np.mean(overlap) < 0.5
+
+
 def one_brute(rows):
     """Rows by (id, text): the first row of each component, and all rows without words."""
     name = lambda r: (r[0] is None, r[0] or 0, (lambda v: v - (1 << 64) if v >> 63 else v)(xxhash.xxh64_intdigest((r[1] or "").encode(), 42)))
