@@ -1,6 +1,6 @@
 """Main text of web pages by a site style tree.
 
-The DOMs of all pages of a host are merged into one tree: elements with the same
+The DOMs of all pages of a host are merged into one tree: block elements with the same
 labels (tag, classes, id) from the root down are one node.  For each node are counted
 the presentations it takes (sequences of child labels) and the pages that have each
 text below it.  From them come two entropies: of the presentations, and of each
@@ -10,18 +10,24 @@ few pages and its presentations vary:
     importance = (1 - 0.9^l) * presentation + 0.9^l * content, l = number of presentations
     content    = mean over distinct texts of 1 - log(pages with it) / log(pages of the host)
 
-Branches of low importance on their host are removed from every page.  Roles that
-are never the article (menus, headers, footers, sidebars, notices, adverts, forms,
-scripts, reader comments), by tag, class, id or role, are removed on hosts of any
-size; that also serves hosts with too few pages for a tree.  A name alone is a weak
-sign: branches that a name marks are taken back if they hold most of the page in
+The trees of all hosts merge into one as well.  A node's importance on its host is drawn
+towards that of the same node in the merged tree, as if ``PRIOR`` pages of it had been
+seen on the host (a node that no other host has counts as important there): a host with
+few pages is judged mostly by what others do, and none is left out.
+
+Branches of low importance on their host are removed from every page, inside articles
+too.  Roles that are never the article (menus, headers, footers, sidebars, notices,
+adverts, forms, scripts, reader comments), by tag, class, id or role, are removed
+besides: where their texts are as particular as articles are, the tree can't tell them
+apart.  A name alone is a weak sign: branches that a name marks are taken back if they hold most of the page in
 article elements, its main element, or (names of layout) most of its text; names are
 ignored where nothing else is left.  Of a page with article or main elements the text
 is what is left of them, with what main has before the articles, if that is half of
 the page's text at least.
 
 Two scans of the pages: one for the counts (aggregated in the tasks, so that one row
-a host, node and text is shuffled), one that parses again and removes branches.
+a host, node and text is shuffled), one that parses again and removes branches.  The
+hosts' lists of branches go to the tasks by broadcast while they are small.
 """
 
 from __future__ import annotations
@@ -40,8 +46,10 @@ from .common import checkpointed, text_of
 
 GAMMA = 0.9
 THRESHOLD = 0.3
-#: A host needs so many pages for its tree to speak.
-MIN_PAGES = 5
+#: The merged tree counts as much as so many pages of a host.
+PRIOR = 5
+#: Up to so many removed branches (8 bytes each) are broadcast; beyond, pages are joined with them by a shuffle.
+BROADCAST_BRANCHES = 1_000_000
 #: Deeper elements have their roles, but are no nodes of the tree (texts times depth would be counted).
 MAX_DEPTH = 256
 
@@ -65,7 +73,6 @@ _NOISE_NAMES = frozenset(
 )
 #: Those that layouts also have: they mark no article element.
 _LAYOUT_NAMES = frozenset("sidebar side widget widgets form forms social promo promos skip paywall".split())
-_PLAIN = frozenset("p h1 h2 h3 h4 h5 h6 li ul ol blockquote pre b i em strong a span br code dl dt dd table tr td th tbody thead tfoot figure figcaption sub sup u s q cite small mark time hgroup".split())
 _MAIN = frozenset(("article", "main"))
 _WORD = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
@@ -267,7 +274,8 @@ class Parser:
             if named_header and not top.main:
                 mark = mark or "role"
             main = "article" if tag == "article" or top.main == "article" else "main" if tag == "main" or top.main == "main" else ""
-            counted = len(stack) < MAX_DEPTH and not (tag in ("html", "body", "main", "article") or (top.main and label == tag and tag in _PLAIN))
+            # inline elements are part of their block's text
+            counted = block and len(stack) < MAX_DEPTH and tag not in ("html", "body", "main", "article")
             if counted and path in low:
                 noise = True
             if top.counted:
@@ -311,14 +319,10 @@ def host_of(url: Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.\-]*://([^/?#]*)", 1))
 
 
-def style_tree(pages: DataFrame) -> DataFrame:
-    """host, path and importance of each counted node of the hosts of ``pages`` (host, html)."""
-    sums = pages.mapInArrow(_count, "host string, path long, kind long, feature long, pages long").groupBy("host", "path", "kind", "feature").agg(F.sum("pages").alias("pages"))
-    sums = checkpointed(sums)
-    hosts = sums.filter("kind = 2").select(F.col("host").alias("h"), F.col("pages").alias("m")).filter(F.col("m") >= MIN_PAGES)
-    own = sums.filter("kind < 2").join(hosts, F.col("host") == F.col("h"))
-    log_m, k = F.log(F.col("m").cast("double")), F.col("pages").cast("double")
-    nodes = own.groupBy("host", "path").agg(
+def _importance(counts: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys``, seen (pages) and importance of each node from ``counts`` (keys, kind, feature, pages, m: the pages of all)."""
+    log_m, k = F.log(F.greatest(F.col("m"), F.lit(2)).cast("double")), F.col("pages").cast("double")
+    nodes = counts.groupBy(*keys).agg(
         F.max("m").alias("m"),
         F.sum(F.when(F.col("kind") == 0, k)).alias("seen"),
         F.sum(F.when(F.col("kind") == 0, k * F.log(k))).alias("k_log_k"),
@@ -326,9 +330,25 @@ def style_tree(pages: DataFrame) -> DataFrame:
         F.avg(F.when(F.col("kind") == 1, F.greatest(F.lit(0.0), 1 - F.log(k) / log_m))).alias("content"),
     )
     # -sum p log p = log(seen) - sum k log k / seen, in units of log m
-    shown = F.least(F.lit(1.0), (F.log("seen") - F.col("k_log_k") / F.col("seen")) / F.log(F.col("m").cast("double")))
+    shown = F.least(F.lit(1.0), (F.log("seen") - F.col("k_log_k") / F.col("seen")) / log_m)
     weight = F.pow(F.lit(GAMMA), F.col("l"))
-    return nodes.filter(F.col("seen") >= MIN_PAGES).select("host", "path", ((1 - weight) * shown + weight * F.coalesce("content", F.lit(0.0))).alias("importance"))
+    return nodes.select(*keys, "seen", ((1 - weight) * shown + weight * F.coalesce("content", F.lit(0.0))).alias("importance"))
+
+
+def style_tree(pages: DataFrame) -> DataFrame:
+    """host, path and importance of each counted node of the hosts of ``pages`` (host, html)."""
+    sums = pages.mapInArrow(_count, "host string, path long, kind long, feature long, pages long").groupBy("host", "path", "kind", "feature").agg(F.sum("pages").alias("pages"))
+    sums = checkpointed(sums)
+    hosts = sums.filter("kind = 2").select(F.col("host").alias("h"), F.col("pages").alias("m"))
+    counts = sums.filter("kind < 2")
+    own = _importance(counts.join(hosts, F.col("host") == F.col("h")), ["host", "path"])
+    total = hosts.agg(F.sum("m").alias("m"))  # one row
+    merged = _importance(counts.groupBy("path", "kind", "feature").agg(F.sum("pages").alias("pages")).join(F.broadcast(total)), ["path"])
+    shared = own.groupBy("path").agg(F.count("*").alias("hosts")).filter("hosts > 1").select(F.col("path").alias("s_path"))
+    merged = merged.join(shared, F.col("path") == F.col("s_path"), "left_semi").select(F.col("path").alias("m_path"), F.col("importance").alias("elsewhere"))
+    both = own.join(merged, F.col("path") == F.col("m_path"), "left")
+    drawn = (F.col("seen") * F.col("importance") + PRIOR * F.coalesce("elsewhere", F.lit(1.0))) / (F.col("seen") + PRIOR)
+    return both.select("host", "path", drawn.alias("importance"))
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -349,11 +369,14 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     Null html is an empty page; a null url counts to the host without a name; a page
     of which the tree would leave nothing is taken by its roles alone, and one of which
     names would leave nothing without them; repeated rows each get a row; an empty table
-    gives an empty result.
+    gives an empty result; other columns don't matter, whatever their names.  Elements
+    nested deeper than MAX_DEPTH have their roles, but are no nodes of the tree.
     """
     own = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), text_of(html_col).alias("html"), host_of(F.col(url_col)).alias("host"))
     tree = style_tree(own.select("host", "html"))
-    # a table of its own (a few numbers a host): Spark can then split the pages of a large host over several tasks
     low = checkpointed(tree.filter(F.col("importance") < threshold).groupBy(F.col("host").alias("low_host")).agg(F.array_sort(F.collect_list("path")).alias("low")))
+    if low.agg(F.coalesce(F.sum(F.size("low") + 1), F.lit(0))).first()[0] <= BROADCAST_BRANCHES:
+        low = F.broadcast(low)
+    # else a table of its own: Spark can then split the pages of a large host over several tasks
     joined = own.join(low, F.col("host") == F.col("low_host"), "left").select("page_id", "url", "html", "low")
     return joined.mapInArrow(_extract, f"page_id {dict(own.dtypes)['page_id']}, url string, text string, n_chars long")

@@ -69,9 +69,67 @@ def test_style_tree_removes_repeated_branches(spark):
     """Without article elements or telling names: what all pages of a host share goes, what differs stays."""
     body = "<div class=b{q}><div class=top><span>Menu one</span><span>two</span></div><div class=c><p>Own words {i}</p><p>more of {i}</p></div><div class=z><p>Always the same line</p></div></div>"
     rows = [(i, f"http://h{i % 2}.example/{i}", body.format(i=i, q="")) for i in range(20)] + [(50, "http://lone.example/", body.format(i=50, q=""))]
+    d = spark.createDataFrame(rows, "page_id long, url string, html string")
+    said = lambda **how: {r["page_id"]: r["text"] for r in html_sst.extract(d, **how).collect()}
+    out, off = said(), said(threshold=-1.0)
+    # a host of one page is judged by the trees of the others
+    assert all(out[i] == f"Own words {i}\nmore of {i}" for i in (*range(20), 50))
+    assert all(off[i] == f"Menu onetwo\nOwn words {i}\nmore of {i}\nAlways the same line" for i in (*range(20), 50))
+
+
+@pytest.mark.parametrize("most", [1_000_000, 0])
+def test_style_tree_inside_articles(spark, most, monkeypatch):
+    monkeypatch.setattr(html_sst, "BROADCAST_BRANCHES", most)
+    body = "<article><h1>Title {i}</h1><p>Text {i}</p><h6>Read more of this</h6></article>"
+    rows = [(i, f"http://h{i % 3}.example/{i}", body.format(i=i)) for i in range(60)]
     out = {r["page_id"]: r["text"] for r in html_sst.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
-    assert all(out[i] == f"Own words {i}\nmore of {i}" for i in range(20))
-    assert out[50] == "Menu onetwo\nOwn words 50\nmore of 50\nAlways the same line"
+    assert all(out[i] == f"Title {i}\nText {i}" for i in range(60))
+
+
+def importance_brute(pages):
+    """Importance of each node (path of labels) of each host, page by page; pages are lists of (path, presentation, texts below)."""
+    import math
+
+    def tree(some):
+        m = max(2, len({n for n, _ in some}))
+        nodes = defaultdict(lambda: (defaultdict(set), defaultdict(set)))
+        for n, (path, kids, texts) in some:
+            nodes[path][0][kids].add(n)
+            for t in texts:
+                nodes[path][1][t].add(n)
+        out = {}
+        for path, (kids, texts) in nodes.items():
+            seen = sum(map(len, kids.values()))
+            shown = min(1, -sum(len(x) / seen * math.log(len(x) / seen) for x in kids.values()) / math.log(m))
+            content = sum(max(0, 1 - math.log(len(x)) / math.log(m)) for x in texts.values()) / len(texts) if texts else 0
+            w = html_sst.GAMMA ** len(kids)
+            out[path] = seen, (1 - w) * shown + w * content
+        return out
+
+    rows = [(h, n, x) for n, (h, nodes) in enumerate(pages) for x in nodes]
+    merged = tree([(n, x) for _, n, x in rows])
+    own = {h: tree([(n, x) for g, n, x in rows if g == h]) for h in {h for h, *_ in rows}}
+    hosts = Counter(path for t in own.values() for path in t)
+    draw = lambda path, seen, v: (seen * v + html_sst.PRIOR * (merged[path][1] if hosts[path] > 1 else 1)) / (seen + html_sst.PRIOR)
+    return {(h, path): draw(path, *v) for h, t in own.items() for path, v in t.items()}
+
+
+def test_style_tree_brute(spark):
+    import random
+
+    r = random.Random(2)
+    pages, rows = [], []
+    for i in range(40):
+        h, kids = f"h{r.randrange(4)}", r.choice((["i"], ["i", "u"], []))
+        say, menu = f"w{r.randrange(6)}", r.choice(("a", "b"))
+        rows.append((h, f"<div class=x>{say}{''.join(f'<{k}>{k}{say}</{k}>' for k in kids)}</div><section>{menu}</section>" + ("<div class=y>z</div>" if h == "h1" else "")))
+        text = say + "".join(k + say for k in kids)
+        pages.append((h, [("x", " ".join(kids), [text]), ("s", "", [menu])] + ([("y", "", ["z"])] if h == "h1" else [])))
+    parser = html_sst.Parser()
+    path = {"x": parser._path(0, "div class=x"), "s": parser._path(0, "section"), "y": parser._path(0, "div class=y")}
+    want = {(h, path[p]): v for (h, p), v in importance_brute(pages).items()}
+    got = {(t["host"], t["path"]): t["importance"] for t in html_sst.style_tree(spark.createDataFrame(rows, "host string, html string")).collect()}
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(v) for k, v in want.items())
 
 
 def test_archives(spark, tmp_path):
