@@ -10,13 +10,15 @@
    together: by their most frequent token, large groups split by a hash.
 3. Candidates.  Under every order of tokens, two sets with a Jaccard similarity of at
    least t share a token among the first n - ceil(t n) + 1 of each.  The first order
-   goes by frequency, the rarest first; the others by hashes alone (after the tokens of
-   one set only), so that their prefixes are chosen independently.  Two blocks meet if
-   prefixes of theirs share a token under the first order, whose prefixes have the fewest
-   common tokens; in them, a pair is verified if it passes every order's filter, the size
-   filter, and isn't in one component already.
-4. Two rounds.  In the first, a block meets itself and one other for each prefix
-   token: that finds most links of large groups in linear work.  The second takes
+   goes by frequency, the rarest first; the next two by a few bands of frequency and,
+   inside them, by hashes of their own; the last by a hash alone (after the tokens of one
+   set only).  Two blocks meet if prefixes of theirs share a token under each of the
+   first three orders (tokens of very many sets hardly get into those); in them, a pair is
+   verified if it passes the filters of all orders, the size filter, and isn't in one
+   component already.
+4. Two rounds.  In the first, a block meets itself and the first block that has a prefix
+   token, if they share FIRST_ROUND such tokens: that finds most links of large groups
+   in linear work, and leaves chance meetings to the second.  The second takes
    components as blocks and compares what is still in different components.
    Blocks send back only links that join something.
 """
@@ -38,7 +40,9 @@ from .components import components
 
 SHINGLE = 5
 PERCENT = 80
-ORDERS = 3
+#: Orders of tokens, and those of them by which blocks meet.
+ORDERS, BLOCK_ORDERS = 4, 3
+FIRST_ROUND = 32
 #: Tokens of a block, and of what a task packs at once.
 BLOCK_TOKENS = 1 << 16
 FLUSH_TOKENS = 1 << 20
@@ -264,11 +268,21 @@ class Block:
         self.prefix = [[_prefix(t, d, int(n), k) for t, d, n in zip(self.tok, self.df, self.n, strict=True)] for k in range(orders)]
 
 
+#: Frequency classes at which a band of the middle orders begins.
+_BANDS = (4, 16, 64, 200, 208, 224)
+
+
 def _prefix(tok: np.ndarray, df: np.ndarray, n: int, k: int) -> np.ndarray:
     """The shared tokens among the first n - ceil(t n) + 1 under order k; tokens of one set alone come first of all."""
     length = n - -(-PERCENT * n // 100) + 1 - (n - len(tok))
     h = _mixed(tok ^ _ODD[k])
-    return tok[(np.argsort(h) if k else np.lexsort((h, df)))[:length]]
+    if k == 0:
+        order = np.lexsort((h, df))
+    elif k < BLOCK_ORDERS:
+        order = np.lexsort((h, np.digitize(df, _BANDS)))
+    else:
+        order = np.argsort(h)
+    return tok[order[:length]]
 
 
 def _counts(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
@@ -345,13 +359,14 @@ def _between(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _prefix_tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The distinct prefix tokens of a block under the first order; pure: the component if it has only one."""
+    """The distinct prefix tokens of a block under the first orders; pure: the component if it has only one."""
     for b in batches:
         for blk, rows in zip(b["blk"], b["sets"], strict=True):
-            x = Block(rows, 1)
+            x = Block(rows, BLOCK_ORDERS)
             pure = int(x.comp[0]) if (x.comp == x.comp[0]).all() else None
-            t = np.unique(np.concatenate(x.prefix[0]))
-            yield pd.DataFrame({"token": _signed(t), "blk": blk, "pure": pd.Series([pure] * len(t), dtype="Int64")})
+            for k, sets in enumerate(x.prefix):
+                t = np.unique(np.concatenate(sets))
+                yield pd.DataFrame({"ord": k, "token": _signed(t), "blk": blk, "pure": pd.Series([pure] * len(t), dtype="Int64")})
 
 
 def _blocked(sets: DataFrame) -> DataFrame:
@@ -365,19 +380,20 @@ def _blocked(sets: DataFrame) -> DataFrame:
 def _links(sets: DataFrame, all_pairs: bool) -> DataFrame:
     """Joining links within blocks, and between each block and one other for each token or, at last, all that share one."""
     blocks = checkpointed(_blocked(sets))
-    tokens = blocks.mapInPandas(_prefix_tokens, "token long, blk long, pure long")
+    tokens = blocks.mapInPandas(_prefix_tokens, "ord int, token long, blk long, pure long")
     if all_pairs:
         tokens = checkpointed(tokens)
-        groups = tokens.groupBy("token").agg(F.min("blk").alias("lo"), F.max("blk").alias("hi"), F.max(F.col("pure").isNull()).alias("mixed"), F.min("pure").alias("p"), F.max("pure").alias("q"))
-        groups = groups.filter("lo <> hi and (mixed or p <> q)").select("token")
-        t = tokens.join(groups, "token")
+        groups = tokens.groupBy("ord", "token").agg(F.min("blk").alias("lo"), F.max("blk").alias("hi"), F.max(F.col("pure").isNull()).alias("mixed"), F.min("pure").alias("p"), F.max("pure").alias("q"))
+        groups = groups.filter("lo <> hi and (mixed or p <> q)").select("ord", "token")
+        t = tokens.join(groups, ["ord", "token"])
         x, y = t.alias("x"), t.alias("y")
         same = F.coalesce(F.col("x.pure") == F.col("y.pure"), F.lit(False))
-        pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.blk") < F.col("y.blk")) & ~same)
-        pairs = pairs.select(F.col("x.blk").alias("bx"), F.col("y.blk").alias("by")).distinct()
+        pairs = x.join(y, (F.col("x.ord") == F.col("y.ord")) & (F.col("x.token") == F.col("y.token")) & (F.col("x.blk") < F.col("y.blk")) & ~same)
+        pairs = pairs.groupBy(F.col("x.blk").alias("bx"), F.col("y.blk").alias("by")).agg(F.count_distinct(F.col("x.ord")).alias("orders")).filter(F.col("orders") == BLOCK_ORDERS)
     else:
-        hub = tokens.groupBy("token").agg(F.min("blk").alias("bx"), F.max("blk").alias("hi")).filter("bx <> hi").select("token", "bx")
-        pairs = tokens.join(hub, "token").filter("blk <> bx").select("bx", F.col("blk").alias("by")).distinct()
+        first = tokens.filter("ord = 0")
+        hub = first.groupBy("token").agg(F.min("blk").alias("bx"), F.max("blk").alias("hi")).filter("bx <> hi").select("token", "bx")
+        pairs = first.join(hub, "token").filter("blk <> bx").groupBy("bx", F.col("blk").alias("by")).agg(F.count("*").alias("n")).filter(F.col("n") >= FIRST_ROUND)
     met = pairs.select("bx", "by").join(blocks.select(F.col("blk").alias("bx"), F.col("sets").alias("x")), "bx").join(blocks.select(F.col("blk").alias("by"), F.col("sets").alias("y")), "by")
     within = blocks.mapInPandas(_within, _LINKS)
     return checkpointed(within.union(met.select("x", "y").mapInPandas(_between, _LINKS)))
