@@ -20,11 +20,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, from ``spark.checkpoint.dir``.
 
-    Only where the setting is absent (tests, local mode) a temporary folder is set.
+    Only where the setting is absent in local mode (tests) a temporary folder is set.
     """
     where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not where:
         current = spark.sparkContext.getCheckpointDir()
+        if not current and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         where = current or tempfile.mkdtemp(prefix="spark-checkpoint-", dir="/tmp")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(where)
