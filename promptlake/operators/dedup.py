@@ -9,7 +9,7 @@ from ..functions.urls import found_urls, normalize
 
 
 def first_wins(df: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """For each key the whole row that comes first; the map side combines, nothing is sorted (A1)."""
+    """For each key the whole row that comes first; the map side combines (by sorting its keys: rows of texts don't fit a hash aggregate) (A1)."""
     row = F.struct(*df.columns)
     return df.groupBy(F.col(key).alias("_k")).agg(F.min_by(row, F.struct(*order)).alias("_r")).select("_r.*")
 

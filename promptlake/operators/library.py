@@ -61,20 +61,33 @@ def merge(target: DataFrame, batch: DataFrame, order: list[str], now: str | None
     )
 
 
-def load(target_path: str, batch: DataFrame, order: list[str]) -> DataFrame:
-    """Merge into a Parquet table of versions; a reader takes the highest one that is complete.  Returns the counts (L2)."""
+def load(target_path: str, batch: DataFrame, order: list[str], gate: bool = True) -> DataFrame:
+    """Merge into a Parquet table of versions; a reader takes the highest one that is complete.  Returns the counts (L2).
+
+    A batch with a row that lacks mandatory fields is refused before anything is
+    written (V8).  A version is written once; what happened to its rows is in its own
+    column, ``action``, which ``current`` leaves out.
+    """
     spark = batch.sparkSession
+    if gate:
+        batch = checked(batch)
     versions = _versions(spark, target_path)
     if versions:
-        target = spark.read.parquet(f"{target_path}/v={versions[-1]:06d}")
+        target = current(spark, target_path)
     else:
         target = spark.createDataFrame([], batch.drop(*order).schema).withColumns({"updated_at": F.lit(None).cast("timestamp"), "created_at": F.lit(None).cast("timestamp")})
     to = f"{target_path}/v={(versions[-1] if versions else 0) + 1:06d}"
     merged = merge(target, batch, order)
-    merged.write.parquet(f"{to}.all")
-    done = spark.read.parquet(f"{to}.all")
-    done.drop("action").write.parquet(to)
-    return counts(done)
+    merged.write.mode("overwrite").parquet(to)  # what a failed run left there has no _SUCCESS
+    return counts(spark.read.parquet(to))
+
+
+def report(rows: DataFrame, n_failures: int = 20) -> dict:
+    """What a load of ``rows`` would meet: status ok or partial, counts, and the first failures by key (L2)."""
+    judged = violations(rows)
+    n, bad = judged.agg(F.count("*"), F.count_if(F.size("violations") > 0)).first()
+    first = judged.filter(F.size("violations") > 0).orderBy(KEY).limit(n_failures).select(KEY, "violations").collect()
+    return {"status": "partial" if bad else "ok", "n_rows": n, "n_failed": bad, "failures": [(r[KEY], list(r["violations"])) for r in first]}
 
 
 def _versions(spark, path: str) -> list[int]:
@@ -87,7 +100,7 @@ def _versions(spark, path: str) -> list[int]:
 
 def current(spark, path: str) -> DataFrame:
     """The newest version of a table that load writes."""
-    return spark.read.parquet(f"{path}/v={_versions(spark, path)[-1]:06d}")
+    return spark.read.parquet(f"{path}/v={_versions(spark, path)[-1]:06d}").drop("action")
 
 
 def counts(merged: DataFrame) -> DataFrame:

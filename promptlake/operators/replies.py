@@ -83,11 +83,12 @@ def _prompt_facts(p: Column) -> Column:
     return F.struct(counts.alias("counts"), F.when(counts, _prompt_errors(p)).alias("errors"), F.when(counts, F.from_json(F.to_json(p), PROMPT)).alias("typed"))
 
 
-def validate(replies: DataFrame, social_media: str = "instagram") -> tuple[DataFrame, DataFrame]:
-    """Replies (post_id, content_type, raw_reply) to valid posts and failed ones with their errors.
+def judged(replies: DataFrame, social_media: str = "instagram") -> DataFrame:
+    """Replies (post_id, content_type, raw_reply) with their errors (none: valid) and what a valid one says.
 
-    Prompts that are no objects or lack text are left out; any other bad prompt fails
-    its post.  Identity comes from the row, not from the reply.
+    One parse and one pass, for callers that want both kinds.  Prompts that are no
+    objects or lack text are left out; any other bad prompt fails its post.  Identity
+    comes from the row, not from the reply.
     """
     v = F.col("_v")
     r = _once(replies.select("post_id", "content_type", "raw_reply"), _v=whole_json(json_object_in(unfenced(F.coalesce("raw_reply", F.lit(""))))))
@@ -111,12 +112,17 @@ def validate(replies: DataFrame, social_media: str = "instagram") -> tuple[DataF
     defaults = {"extraction_confidence": F.lit("medium"), "extraction_confidence_score": F.lit(50)}
     names = ("prompt_carrousel_page_num", "prompt_title", "prompt_date", *_TEXTS, "prompt_type", *_LISTS, *defaults)
     fill = lambda s: F.struct(*[(F.coalesce(s[k], defaults[k]) if k in defaults else s[k]).alias(k) for k in names])
-    good = r.filter(F.size("errors") == 0).select(
+    return r.select(
         "post_id", F.lit(social_media).alias("prompt_social_media"), "content_type", F.col("_title").alias("carrousel_title"),
-        F.size("_facts").alias("prompt_count_detected"), F.transform("_facts", lambda x: fill(x["typed"])).alias("prompts"),
+        F.size("_facts").alias("prompt_count_detected"), F.transform("_facts", lambda x: fill(x["typed"])).alias("prompts"), "errors", "raw_reply",
     )
+
+
+def validate(replies: DataFrame, social_media: str = "instagram") -> tuple[DataFrame, DataFrame]:
+    """Valid posts, and failed ones with their errors.  Whoever uses both writes ``judged`` first, so that replies are parsed once."""
+    r = judged(replies, social_media)
     failed = r.filter(F.size("errors") > 0).select("post_id", "content_type", "errors", F.substring("raw_reply", 1, 4000).alias("raw_reply"))
-    return good, failed
+    return r.filter(F.size("errors") == 0).drop("errors", "raw_reply"), failed
 
 
 def strict_errors(posts: DataFrame) -> DataFrame:

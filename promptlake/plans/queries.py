@@ -87,6 +87,18 @@ _LINKS_SQL = f"links AS (SELECT page_id, {_LINK} AS link FROM pages)"
 _CANON_SQL = f"WITH {_LINKS_SQL}, {_canonical_sql('links', 'page_id')}"
 
 
+#: Social links over the pages' own paths, and forms in which mail carries them: entities, a wrapper, two wrappers (a value is decoded twice), blanks around.
+_BASE = "CASE WHEN page_id % 2 = 0 THEN concat('https://www.youtube.com/watch?v=', page_id, '&list=L', page_id, '&si=q') ELSE concat('http://x.com', regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1), '/status/', page_id, '?s=20') END"
+_FORMS = ["replace(link, '&', '&amp;')", "concat('https://www.google.com/url?sa=t&url=', url_encode(link))", "concat('https://mail.example/x?link=', url_encode(concat('https://www.facebook.com/l.php?u=', url_encode(url_encode(link)))))", "concat('  ', link, ' ')"]
+
+
+def u2_wrapped_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's link in each form, brought back to its canonical form."""
+    base = _table(spark, sf_dir, "pages").selectExpr("page_id", f"{_BASE} AS link")
+    forms = base.selectExpr("page_id", f"stack(4, {', '.join(f'{i}, {x}' for i, x in enumerate(_FORMS))}) AS (variant, url)")
+    return normalize(forms).select(_P, "variant", "normalized_url", F.array_join("normalization_notes", ",").alias("notes"))
+
+
 def f11_classified_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cl.classify(normalize(_links(spark, sf_dir), "link")).select(_P, "normalized_url", "platform", "status", "filter_reason")
 
@@ -147,9 +159,9 @@ _FOUND_SQL = f"""WITH texts AS (SELECT lpad(page_id::VARCHAR, 12, '0') AS messag
 
 
 def j1_skip_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events of users who have bought nothing; the log is the events of purchases."""
+    """Events of users who have bought nothing, as far as the log says; the log is the events of purchases."""
     e = _table(spark, sf_dir, "events")
-    log = e.filter("event_type = 'purchase' AND user_id % 2 = 0").select("user_id", F.when(F.col("event_id") % 5 == 0, "error").otherwise("ok").alias("status"))
+    log = e.filter("event_type = 'purchase'").select("user_id", F.when(F.col("event_id") % 50 != 0, "error").otherwise("ok").alias("status"))
     return dedup.skip_done(e.select("event_id", "user_id", "event_type"), processed_keys(log, "user_id", retry_errors=True), "user_id")
 
 
@@ -188,8 +200,8 @@ def a9_outcome_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def s5_distinct_slides(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Turns of a conversation up to the first whose role and first letter repeat."""
-    s = _table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("post_id"), (F.col("turn") + 1).alias("slide_index"), F.concat("role", F.substring("text", 1, 1)).alias("content"))
+    """Turns of a conversation up to the first whose role and text (spaces and case aside) repeat."""
+    s = _table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("post_id"), (F.col("turn") + 1).alias("slide_index"), F.concat("role", F.lower(F.trim("text"))).alias("content"))
     return slides.distinct_prefix(s).select("post_id", "slide_index", "signature")
 
 
@@ -224,9 +236,11 @@ def _replies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def v6_valid_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    good, failed = replies.validate(_replies(spark, sf_dir))
-    good = good.select("post_id", F.lit("valid").alias("verdict"), F.col("prompt_count_detected").alias("n_prompts"), F.coalesce(F.get("prompts", F.lit(0))["extraction_confidence"], F.lit("")).alias("confidence"))
-    return good.unionByName(failed.select("post_id", F.lit("failed").alias("verdict"), F.lit(0).alias("n_prompts"), F.lit("").alias("confidence")))
+    valid = F.size("errors") == 0
+    first = F.coalesce(F.get("prompts", F.lit(0))["extraction_confidence"], F.lit(""))
+    return replies.judged(_replies(spark, sf_dir)).select(
+        "post_id", F.when(valid, "valid").otherwise("failed").alias("verdict"), F.when(valid, F.col("prompt_count_detected")).otherwise(0).alias("n_prompts"), F.when(valid, first).otherwise("").alias("confidence")
+    )
 
 
 def e1_flat_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -234,17 +248,21 @@ def e1_flat_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select("prompt_unique_id", F.md5("prompt_text_clean").alias("clean_md5"), "prompt_size_chars", "extraction_confidence", F.array_join("target_engine", ",").alias("target_engine"), "record_status", "model")
 
 
+_FRESH, _BATCH = "length(coalesce(text, '')) % 3 = 0", "length(coalesce(text, '')) % 3 < 2"
+
+
 def _merged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = _table(spark, sf_dir, "documents").select(F.concat("doc_id", F.lit("__p1")).alias("prompt_unique_id"), "doc_id", F.length("text").alias("prompt_size_chars"))
-    old = d.filter("doc_id % 3 = 0").drop("doc_id").withColumns({"record_status": F.lit("old"), "note": F.lit("kept"), "created_at": F.lit("2024-01-01").cast("timestamp"), "updated_at": F.lit("2024-01-01").cast("timestamp")})
-    twice = d.filter("doc_id % 2 = 0").withColumn("seq", F.explode(F.array(F.lit(1), F.lit(2)))).withColumn("record_status", F.concat(F.lit("new"), "seq")).drop("doc_id")
+    d = _table(spark, sf_dir, "documents").select(F.concat("doc_id", F.lit("__p1")).alias("prompt_unique_id"), "doc_id", "source", "text", F.md5("text").alias("text_md5"), F.length("text").alias("prompt_size_chars"))
+    # by the length of its text a document is in the library, in the batch (twice), or in both
+    old = d.filter(f"NOT ({_FRESH})").drop("doc_id", "source", "text").withColumns({"record_status": F.lit("old"), "note": F.lit("kept"), "created_at": F.lit("2024-01-01").cast("timestamp"), "updated_at": F.lit("2024-01-01").cast("timestamp")})
+    twice = d.filter(_BATCH).withColumn("seq", F.explode(F.array(F.lit(1), F.lit(2)))).withColumn("record_status", F.concat(F.lit("new"), "seq")).drop("doc_id", "source", "text")
     return library.merge(old, twice, ["seq"], now="2024-06-01")
 
 
 def l1_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = _merged(spark, sf_dir)
     day = lambda c: F.date_format(c, "yyyy-MM-dd").alias(c)
-    return m.select("prompt_unique_id", "prompt_size_chars", "record_status", F.coalesce("note", F.lit("")).alias("note"), day("created_at"), day("updated_at"), "action")
+    return m.select("prompt_unique_id", "prompt_size_chars", "text_md5", "record_status", F.coalesce("note", F.lit("")).alias("note"), day("created_at"), day("updated_at"), "action")
 
 
 def l2_upsert_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -260,40 +278,45 @@ def v8_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def o2_first_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A throttled run: the ten first links that remain."""
-    return dedup.take_first(_links(spark, sf_dir).filter("page_id % 2 = 1"), ["page_id"], 10)
+    """A throttled run: the ten first of all links."""
+    return dedup.take_first(_links(spark, sf_dir), ["link", "page_id"], 10)
 
 
 def x2_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The conversations as a stream: each conversation once, over a checkpoint."""
     t = f"{sf_dir}/conversations.parque[t]"  # a pattern, for a file or a folder
-    top = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="spark-stream-", dir="/tmp")
+    top = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not top and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    top = top or tempfile.mkdtemp(prefix="spark-stream-", dir="/tmp")
     folder = f"{top.rstrip('/')}/promptlake/stream-{uuid.uuid4().hex}"
     run_once(unseen(stream_of(spark, t, _table(spark, sf_dir, "conversations").schema, "parquet").select("conv_id"), "conv_id"), f"{folder}/out", f"{folder}/checkpoint")
     return spark.read.parquet(f"{folder}/out")
 
 
 QUERIES = {f.__name__: f for f in (
-    a2_group_posts, u10_canonical_urls, f11_classified_urls, a10_platform_counts, u11_normalized_queue, m8_message_urls, m9_url_discovery, j1_skip_processed, s1_post_ids, s5_distinct_slides, s6_slide_names,
+    a2_group_posts, u10_canonical_urls, u2_wrapped_urls, f11_classified_urls, a10_platform_counts, u11_normalized_queue, m8_message_urls, m9_url_discovery, j1_skip_processed, s1_post_ids, s5_distinct_slides, s6_slide_names,
     s14_handoff, a9_outcome_counts, v6_valid_replies, e1_flat_prompts, v8_violations, l1_upsert, l2_upsert_counts, o2_first_links, x2_incremental,
 )}
 
 _VARIANTS_SQL = """forms AS (SELECT page_id, 0 AS variant, url AS link FROM pages UNION ALL SELECT page_id, 1, regexp_replace(url, '^https?', 'http') FROM pages
     UNION ALL SELECT page_id, 2, regexp_replace(url, '#.*$', '') || CASE WHEN url LIKE '%?%' THEN '&' ELSE '?' END || 'utm_source=n' FROM pages UNION ALL SELECT page_id, 3, regexp_replace(url, '[?#].*$', '') || '/' FROM pages)"""
-_MERGE_SQL = """WITH d AS (SELECT doc_id, doc_id || '__p1' AS prompt_unique_id, length(text)::INTEGER AS n FROM documents),
-    m AS (SELECT prompt_unique_id, n AS prompt_size_chars, CASE WHEN doc_id % 2 = 0 THEN 'new2' ELSE 'old' END AS record_status, CASE WHEN doc_id % 3 = 0 THEN 'kept' ELSE '' END AS note,
-        CASE WHEN doc_id % 3 = 0 THEN '2024-01-01' ELSE '2024-06-01' END AS created_at, CASE WHEN doc_id % 2 = 0 THEN '2024-06-01' ELSE '2024-01-01' END AS updated_at,
-        CASE WHEN doc_id % 2 = 0 AND doc_id % 3 = 0 THEN 'updated' WHEN doc_id % 2 = 0 THEN 'inserted' ELSE 'kept' END AS action FROM d WHERE doc_id % 2 = 0 OR doc_id % 3 = 0)"""
+_MERGE_SQL = f"""WITH d AS (SELECT doc_id || '__p1' AS prompt_unique_id, length(text)::INTEGER AS n, md5(text) AS text_md5, NOT ({_FRESH}) AS old, {_BATCH} AS new FROM documents),
+    m AS (SELECT prompt_unique_id, n AS prompt_size_chars, text_md5, CASE WHEN new THEN 'new2' ELSE 'old' END AS record_status, CASE WHEN old THEN 'kept' ELSE '' END AS note,
+        CASE WHEN old THEN '2024-01-01' ELSE '2024-06-01' END AS created_at, CASE WHEN new THEN '2024-06-01' ELSE '2024-01-01' END AS updated_at,
+        CASE WHEN new AND old THEN 'updated' WHEN new THEN 'inserted' ELSE 'kept' END AS action FROM d)"""
 _POST = "text_md5, availability_status, all_ocr_status_ok"
 
 ORACLE_SQL = {
     "u10_canonical_urls": f"{_CANON_SQL} SELECT page_id, normalized_url, notes FROM canon",
+    "u2_wrapped_urls": f"""WITH forms AS (SELECT page_id, unnest(range(4))::INTEGER AS variant, {_BASE} AS link FROM pages), {_canonical_sql('forms', 'page_id, variant')}
+        SELECT page_id, variant, normalized_url, array_to_string(list_concat(CASE WHEN variant = 0 AND contains(link, '&') THEN ['html_entity_decoded'] WHEN variant IN (1, 2) THEN ['wrapped_target_extracted'] ELSE [] END, list_filter([notes], lambda x: x <> '')), ',') AS notes FROM canon""",
     "f11_classified_urls": f"{_classified_sql()} SELECT page_id, normalized_url, platform, CASE WHEN filter_reason LIKE 'accepted%' THEN 'pending' ELSE 'rejected' END AS status, filter_reason FROM judged",
     "a10_platform_counts": f"{_classified_sql()} SELECT CASE WHEN platform IN ('instagram', 'tiktok', 'x', 'youtube') THEN platform ELSE 'unknown' END AS platform, count(*) AS n_urls FROM judged GROUP BY 1",
     "u11_normalized_queue": f"WITH {_VARIANTS_SQL}, {_canonical_sql('forms', 'page_id, variant')} SELECT normalized_url, link AS original_url, page_id, variant, notes, 'pending' AS status FROM canon QUALIFY row_number() OVER (PARTITION BY normalized_url ORDER BY page_id, variant) = 1",
     "m8_message_urls": f"{_FOUND_SQL} SELECT message_id, count(*)::INTEGER AS url_count, string_agg(url, ' ' ORDER BY url) AS urls FROM social GROUP BY message_id",
     "m9_url_discovery": f"{_FOUND_SQL} SELECT url, min(message_id) AS source_message_id, 'pending' AS status FROM social GROUP BY url",
-    "j1_skip_processed": "SELECT event_id, user_id, event_type FROM events WHERE user_id NOT IN (SELECT user_id FROM events WHERE event_type = 'purchase' AND user_id % 2 = 0 AND event_id % 5 <> 0)",
+    "j1_skip_processed": "SELECT event_id, user_id, event_type FROM events WHERE user_id NOT IN (SELECT user_id FROM events WHERE event_type = 'purchase' AND event_id % 50 = 0)",
     "s1_post_ids": f"""WITH {_LINKS_SQL}, s AS (SELECT page_id, string_split(rtrim(link, '/'), '/') AS p FROM links)
         SELECT page_id, p[-1] AS post_id, CASE p[-2] WHEN 'p' THEN 'post' WHEN 'reel' THEN 'reel' WHEN 'reels' THEN 'reel' ELSE 'unknown' END AS content_type FROM s""",
     "a2_group_posts": f"{_POSTS_SQL} SELECT post_id, content_type, slide_total, slide_count_found, slide_order, source_images, md5(combined) AS text_md5, availability_status, all_ocr_status_ok FROM shown",
@@ -301,7 +324,7 @@ ORACLE_SQL = {
         'text_manipulator_agent_handoff_v2' AS producer, 'ready_for_text_manipulator_agent' AS source_post_prep_status FROM shown WHERE availability_status = 'available'""",
     "a9_outcome_counts": f"""{_POSTS_SQL} SELECT count(*) AS input_rows, 0::BIGINT AS skipped_missing_post_id, count(*) FILTER (WHERE availability_status = 'unavailable') AS skipped_unavailable, 0::BIGINT AS skipped_empty_slides,
         count(*) FILTER (WHERE availability_status <> 'unavailable') AS output_rows FROM shown""",
-    "s5_distinct_slides": """WITH s AS (SELECT conv_id AS post_id, turn + 1 AS slide_index, sha256(role || substr(text, 1, 1)) AS signature FROM conversations),
+    "s5_distinct_slides": """WITH s AS (SELECT conv_id AS post_id, turn + 1 AS slide_index, sha256(role || lower(trim(text))) AS signature FROM conversations),
         n AS (SELECT *, row_number() OVER (PARTITION BY post_id, signature ORDER BY slide_index) > 1 AS again FROM s), f AS (SELECT *, min(slide_index) FILTER (WHERE again) OVER (PARTITION BY post_id) AS first FROM n)
         SELECT post_id, slide_index, signature FROM f WHERE (first IS NULL OR slide_index < first) AND slide_index <= 20""",
     "s6_slide_names": """WITH s AS (SELECT *, count(*) OVER (PARTITION BY conv_id) AS total FROM conversations)
@@ -317,6 +340,6 @@ ORACLE_SQL = {
         CASE WHEN doc_id % 5 = 0 THEN 'prompt_type' END, CASE WHEN text IS NULL THEN 'prompt_size_chars' END], lambda x: x IS NOT NULL), ',') AS violations FROM documents""",
     "l1_upsert": f"{_MERGE_SQL} SELECT * FROM m",
     "l2_upsert_counts": f"{_MERGE_SQL} SELECT action, count(*) AS n_rows FROM m WHERE action <> 'kept' GROUP BY action",
-    "o2_first_links": f"WITH {_LINKS_SQL} SELECT page_id, link FROM links WHERE page_id % 2 = 1 ORDER BY page_id LIMIT 10",
+    "o2_first_links": f"WITH {_LINKS_SQL} SELECT page_id, link FROM links ORDER BY link, page_id LIMIT 10",
     "x2_incremental": "SELECT DISTINCT conv_id FROM conversations",
 }
