@@ -195,7 +195,7 @@ def keep_good(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", s
     own = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
     at = {c: f"c{i}" for i, c in enumerate(docs.columns)}
     folder = scratch(docs.sparkSession, "measured")
-    with_base(own, text_of(at[text_col])).write.parquet(folder)
+    with_base(own, text_of(at[text_col])).write.option("compression", "zstd").parquet(folder)
     scored = docs.sparkSession.read.parquet(folder)
     limits = fences(scored, at[lang_col], at[source_col])
     return with_verdict(scored, limits, at[lang_col], at[source_col]).filter("kept").select(*own.columns).toDF(*docs.columns)

@@ -164,7 +164,7 @@ def _split_level(points: DataFrame, tree: Tree) -> bool:
 
 
 def _placed(rows: DataFrame, n_shards: int | None, target_bytes: int | None) -> DataFrame:
-    """``rows`` (with the columns of a point, kept in the shared folder) with shard and slot."""
+    """``rows`` (the columns of a point, kept in the shared folder) with shard and slot."""
     total, n_rows = rows.agg(F.coalesce(F.sum("__size"), F.lit(0)), F.count("*")).first()
     if n_shards is None:
         n_shards = max(1, math.ceil(total / target_bytes))
@@ -182,14 +182,14 @@ def _placed(rows: DataFrame, n_shards: int | None, target_bytes: int | None) ->
         some = some.withColumn("__k", F.lit(0).cast("long")) if numbers is None else some.join(numbers, F.col("__mid") == F.col("k_mid"), "left")
         return some.withColumn("at", F.array("c0", "c1", "c2")).withColumn("digit", hashed("shard", DIGITS))
 
-    points = checkpointed(coordinates(rows.select(*_POINT)).select("__size", "at", "digit"))
+    points = checkpointed(coordinates(rows).select("__size", "at", "digit"))
     tree = Tree(n_shards)
     while _split_level(points, tree):
         pass
     # slots: numbers inside each bucket of a shard, after the rows of the buckets before it
     buckets = max(SLOTS, math.ceil(n_rows / n_shards / SLOT_ROWS))
     shard_of = lambda some: coordinates(some).withColumn("shard", F.get(tree.column(), tree.node())["lo"]).withColumn("bucket", hashed("slot", buckets))
-    counts = shard_of(rows.select(*_POINT)).groupBy("shard", "bucket").agg(F.count("*").alias("n"))
+    counts = shard_of(rows).groupBy("shard", "bucket").agg(F.count("*").alias("n"))
     before = F.coalesce(F.sum("n").over(Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     offsets = counts.select(F.col("shard").alias("o_shard"), F.col("bucket").alias("o_bucket"), before.alias("first"))
     if n_shards * buckets <= BROADCAST_ROWS:  # one row a bucket
@@ -217,15 +217,17 @@ def shard(docs: DataFrame, n_shards: int | None = None, target_bytes: int | None
 def with_shards(docs: DataFrame, n_shards: int, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang") -> DataFrame:
     """The rows of ``docs`` with size, shard and slot, placed as by ``shard``.
 
-    Rows are written to the shared folder with their points; the tree reads those alone,
-    and texts are shuffled once, to where their shard is numbered.  Nulls, equal rows and
+    Rows are written to the shared folder with their points; places are found from those
+    alone, and texts are shuffled once, to meet their place by the number of the row.  Nulls, equal rows and
     empty tables are as in ``shard``; a column of docs that is named as an added one
     (in any case) keeps its place and gets the prefix ``doc_``.
     """
     own = docs.toDF(*[f"x{i}" for i in range(len(docs.columns))])
     at = {c: f"x{i}" for i, c in enumerate(docs.columns)}
     folder = scratch(docs.sparkSession, "points")
-    _with_points(own, at[id_col], at[text_col], at[source_col], at[lang_col]).write.parquet(folder)
-    out = _placed(docs.sparkSession.read.parquet(folder), n_shards, None)
+    _with_points(own, at[id_col], at[text_col], at[source_col], at[lang_col]).write.option("compression", "zstd").parquet(folder)
+    rows = docs.sparkSession.read.parquet(folder)
+    places = _placed(rows.select(*_POINT), n_shards, None).select(F.col("__mid").alias("p_mid"), "shard", "slot")
+    out = rows.join(places, F.col("__mid") == F.col("p_mid"))
     names = [f"doc_{c}" if c.lower() in ("size", "shard", "slot") else c for c in docs.columns]
     return out.select(*own.columns, F.col("__size").alias("size"), "shard", "slot").toDF(*names, "size", "shard", "slot")
