@@ -152,6 +152,13 @@ def test_load(spark, tmp_path):
     assert two["created_at"] == one["created_at"] and two["updated_at"] > one["updated_at"] and library.current(spark, table).count() == 1
     with pytest.raises(ValueError, match="lack"):
         library.checked(batch.withColumn("prompt_type", F.lit("")))
+    bad = batch.withColumn("prompt_type", F.lit(""))
+    with pytest.raises(ValueError, match="lack"):
+        library.load(table, bad, ["prompt_pos"])
+    assert library.current(spark, table).first() == two and "action" not in library.current(spark, table).columns
+    assert library.report(batch) == {"status": "ok", "n_rows": 2, "n_failed": 0, "failures": []}
+    told = library.report(bad, 1)
+    assert told["status"] == "partial" and told["n_failed"] == 2 and told["failures"] == [("P__p1", ["prompt_type"])]
 
 
 def test_jsonl(spark, tmp_path):
