@@ -95,14 +95,20 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 
 def apply_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
-    """The mix itself: each row of ``docs`` as often as the plan repeats it, with its own columns."""
-    numbered = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
-    at = {c: f"c{i}" for i, c in enumerate(docs.columns)}
-    sized = numbered.select(F.col(at[id_col]).alias("doc_id"), F.col(at[source_col]).alias("source"), F.coalesce(n_words(text_of(at[text_col])), F.lit(0)).alias("size"))
-    # rows that agree in these three are drawn as one, as often as all of them together
-    drawn = plan_mix(checkpointed(sized), **how).groupBy("doc_id", "source", "size").agg(F.sum("reps").alias("reps"), F.count("*").alias("rows"))
-    both = numbered.join(drawn, numbered[at[id_col]].eqNullSafe(drawn["doc_id"]) & numbered[at[source_col]].eqNullSafe(drawn["source"]) & (F.coalesce(n_words(text_of(at[text_col])), F.lit(0)) == drawn["size"]))
-    nth = F.row_number().over(Window.partitionBy("doc_id", "source", "size").orderBy(at[text_col]))
-    both = both.withColumn("nth", F.when(F.col("rows") > 1, nth).otherwise(1))
+    """The mix itself: each row of ``docs`` as often as the plan repeats it, with its own columns.
+
+    Rows that agree in id, source and size are drawn as one, as often as all of them
+    together, and share those repetitions in the order of their texts.  Nulls and empty
+    tables are as in ``mix``; columns may have any names.  Texts are shuffled once.
+    """
+    own = [f"c{i}" for i in range(len(docs.columns))]
+    at = dict(zip(docs.columns, own))
+    size = F.coalesce(n_words(text_of(at[text_col])), F.lit(0))
+    # as a struct, a key meets its equal with nulls inside, and join and window take the same partitions
+    key = lambda doc, source, n: F.struct(F.col(doc).alias("doc_id"), F.col(source).alias("source"), n.alias("size"))
+    numbered = docs.toDF(*own).withColumn("key", key(at[id_col], at[source_col], size))
+    drawn = plan_mix(checkpointed(numbered.select("key.*")), **how).groupBy(key("doc_id", "source", F.col("size")).alias("drawn")).agg(F.sum("reps").alias("reps"), F.count("*").alias("rows"))
+    both = numbered.join(drawn, F.col("key") == F.col("drawn"))
+    both = both.withColumn("nth", F.row_number().over(Window.partitionBy("key").orderBy(at[text_col])))
     times = (F.floor(F.col("reps") / F.col("rows")) + (F.col("nth") <= F.col("reps") % F.col("rows")).cast("int")).cast("int")
-    return both.withColumn("time", F.explode(F.array_repeat(F.lit(1), times))).select(*numbered.columns).toDF(*docs.columns)
+    return both.withColumn("time", F.explode(F.array_repeat(F.lit(1), times))).select(*own).toDF(*docs.columns)
