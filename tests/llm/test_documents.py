@@ -512,6 +512,21 @@ def test_mixing(docs, rows, empty):
     assert mixing.mix(empty).count() == 0 and mixing.apply_mix(empty).count() == 0
 
 
+def test_mixing_equal_keys(spark):
+    """Rows that agree in id, source and size, nulls included, share their draws evenly and keep their texts."""
+    rows = [(i, t, s, "mine") for i in (None, 1, 2) for s in (None, "a") for t in ("x y", "y x", "y x", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, key string")
+    mixed, drawn = mixing.apply_mix(docs), mixing.mix(docs)
+    assert mixed.columns == docs.columns
+    got = Counter(tuple(r) for r in mixed.collect())
+    assert set(got) <= set(rows) and {r[3] for r in got} == {"mine"}
+    taken = sum(r["taken"] for r in drawn.collect())
+    assert taken and taken == sum(2 * n for r, n in got.items() if r[1])
+    for i, s in {(r[0], r[2]) for r in rows}:  # one x y, two y x under one key
+        n = [got[i, "x y", s, "mine"], got[i, "y x", s, "mine"]]
+        assert n[0] <= 2 and n[1] <= 4 and abs(n[0] - n[1] / 2) <= 1
+
+
 # sharding
 
 
