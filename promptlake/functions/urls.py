@@ -132,5 +132,6 @@ def canonical(url: Column, social: tuple[str, ...] = SOCIAL_HOSTS, slash: tuple[
 def normalize(queue: DataFrame, column: str = "url", **how) -> DataFrame:
     """``queue`` with normalized_url and normalization_notes."""
     both = unwrap(queue.filter(F.trim(F.coalesce(F.col(column), F.lit(""))) != "").withColumn("_u", F.trim(column)), "_u", hosts=how.get("social", SOCIAL_HOSTS))
-    c = both.withColumn("_c", canonical(F.col("target"), **how))
+    # a generator is computed once; filters on what follows would else repeat the whole expression
+    c = both.select("*", F.explode(F.array(canonical(F.col("target"), **how))).alias("_c"))
     return c.withColumn("normalized_url", F.col("_c.normalized_url")).withColumn("normalization_notes", F.array_distinct(F.concat("target_notes", F.coalesce("_c.notes", F.array(F.lit("unparsable")))))).drop("_u", "_c", "target", "target_notes")

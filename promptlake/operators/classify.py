@@ -6,9 +6,11 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.urls import NETLOC, PATH, QUERY, part
 from ..rules import ASSET_ENDINGS, PLATFORM_HOSTS
+from ..schemas import CLASSIFIED
 
 
 def platform_of(host: Column, platforms: Mapping[str, tuple[str, ...]] = PLATFORM_HOSTS) -> Column:
@@ -61,10 +63,13 @@ def _reasons(platform: Column, host: Column, path: Column, query: Column, asset_
 def classify(queue: DataFrame, column: str = "normalized_url", platforms: Mapping[str, tuple[str, ...]] = PLATFORM_HOSTS, asset_endings: tuple[str, ...] = ASSET_ENDINGS) -> DataFrame:
     """``queue`` with platform, status and filter_reason; blank URLs are rejected first."""
     url = F.coalesce(F.trim(column), F.lit(""))
-    host = F.lower(part(url, NETLOC))
     path = F.when(part(url, PATH) == "", "/").otherwise(F.regexp_replace(part(url, PATH), r";[^/]*$", ""))
-    q = queue.withColumn("platform", F.when(url == "", "unknown").otherwise(platform_of(host, platforms)))
-    q = q.withColumn("filter_reason", F.when(url == "", "rejected_missing_normalized_url").otherwise(_reasons(F.col("platform"), host, path, part(url, QUERY), asset_endings)))
+    # generators are computed once; filters on the verdict would else repeat all that leads to it
+    q = queue.drop("filter_reason").select("*", F.explode(F.array(F.struct(url.alias("url"), F.lower(part(url, NETLOC)).alias("host"), path.alias("path"), part(url, QUERY).alias("query")))).alias("_u"))
+    u, blank = F.col("_u"), F.col("_u.url") == ""
+    q = q.withColumn("platform", F.when(blank, "unknown").otherwise(platform_of(u["host"], platforms)))
+    reason = F.when(blank, "rejected_missing_normalized_url").otherwise(_reasons(F.col("platform"), u["host"], u["path"], u["query"], asset_endings))
+    q = q.select("*", F.explode(F.array(reason)).alias("filter_reason")).drop("_u")
     q = q.withColumn("status", F.when(F.col("filter_reason").startswith("accepted"), "pending").otherwise("rejected"))
     if "normalization_notes" in queue.columns:
         q = q.withColumn("normalization_notes", F.coalesce("normalization_notes", F.array().cast("array<string>")))
@@ -74,3 +79,14 @@ def classify(queue: DataFrame, column: str = "normalized_url", platforms: Mappin
 def platform_counts(classified: DataFrame) -> DataFrame:
     """Rows of each platform (A10)."""
     return classified.groupBy("platform").agg(F.count("*").alias("n_urls"))
+
+
+def output_rows(classified: DataFrame) -> DataFrame:
+    """The ten columns of the filter's output, whatever else a queue carries."""
+    return classified.select(*StructType.fromDDL(CLASSIFIED).fieldNames())
+
+
+def filter_counts(classified: DataFrame) -> DataFrame:
+    """One row of the filter's counters."""
+    accepted, missing = F.col("status") == "pending", F.col("filter_reason") == "rejected_missing_normalized_url"
+    return classified.agg(F.count("*").alias("input_rows"), F.count_if(accepted).alias("accepted_rows"), F.count_if(~accepted).alias("rejected_rows"), F.count_if(missing).alias("missing_url_rows"))

@@ -42,6 +42,16 @@ def remaining(queue: DataFrame, log: DataFrame | None, key: str, mode: str) -> D
     return queue if mode == "CLEAN" or log is None else skip_done(queue, log, key)
 
 
+def clean(spark: SparkSession, folders: list[str]) -> list[str]:
+    """Delete the tables, files and checkpoints that a run writes, before it starts clean; returns those that were there."""
+    gone = []
+    for folder in folders:
+        where = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        if where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True):
+            gone.append(folder)
+    return gone
+
+
 def run_stages(spark: SparkSession, stages: list[tuple[str, Callable[[], DataFrame | None]]]) -> DataFrame:
     """Stages in order up to the first that fails, as a summary table."""
     rows, failed = [], None

@@ -25,6 +25,15 @@ PATTERNS = ("log in", "aux des", "the be")
 _P = "page_id"
 
 
+def scratch(spark: SparkSession, what: str) -> str:
+    """A new folder name under the one that driver and executors share; in local mode without one, a temporary folder."""
+    top = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not top and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    top = top or tempfile.mkdtemp(prefix="spark-scratch-", dir="/tmp")
+    return f"{top.rstrip('/')}/promptlake/{what}-{uuid.uuid4().hex}"
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -285,11 +294,7 @@ def o2_first_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 def x2_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The conversations as a stream: each conversation once, over a checkpoint."""
     t = f"{sf_dir}/conversations.parque[t]"  # a pattern, for a file or a folder
-    top = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not top and not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-    top = top or tempfile.mkdtemp(prefix="spark-stream-", dir="/tmp")
-    folder = f"{top.rstrip('/')}/promptlake/stream-{uuid.uuid4().hex}"
+    folder = scratch(spark, "stream")
     run_once(unseen(stream_of(spark, t, _table(spark, sf_dir, "conversations").schema, "parquet").select("conv_id"), "conv_id"), f"{folder}/out", f"{folder}/checkpoint")
     return spark.read.parquet(f"{folder}/out")
 

@@ -43,8 +43,9 @@ def read_processed(spark: SparkSession, path: str, schema: StructType | str, key
     return processed_keys(spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path), key)
 
 
-def write(df: DataFrame, path: str, append: bool = False) -> None:
-    """Overwrite (W1) or append (W2), nulls written."""
+def write(df: DataFrame, path: str, append: bool = False, order: tuple[str, ...] = ()) -> None:
+    """Overwrite (W1) or append (W2), nulls written; with ``order`` the part files, by name, are in that order (O1)."""
+    df = df.orderBy(*order) if order else df
     df.write.mode("append" if append else "overwrite").option("ignoreNullFields", "false").json(path)
 
 
