@@ -7,9 +7,12 @@ the items, and each hit is extended word by word against the item: what counts i
 whether whole windows occur, never a hash alone.
 
 Fingerprints and words of the items go to the tasks by broadcast only while the
-items have at most ``max_words`` words (64 MB at most in a task).  Beyond that the items are
-taken in blocks of that many words, each joined with every document, and the hit
-ranges of a document are merged.  Either way no document is shuffled.
+items have at most ``max_words`` words (64 MB at most in a task).  Beyond that Spark joins
+fingerprint rows of documents and items.  A row carries the few words around its gram: a
+window with the gram in it reaches at most five words to the left and ten to the right, so
+comparing these is exact and no item is needed whole.  Rows of documents are made only
+where a bitmap of fixed size over the hashes of all items allows; texts are read once for
+the rows and once for the result.
 """
 
 from __future__ import annotations
@@ -29,6 +32,8 @@ from .common import checkpointed, text_of
 WINDOW = 10
 GRAM = 5
 MAX_WORDS = 2_000_000
+#: Binary logarithm of the bits over the hashes of items: 32 MB.
+BITMAP = 28
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], dtype=np.uint64)
 
@@ -140,17 +145,87 @@ def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def _blocks(benchmark: DataFrame, item_col: str, text_col: str, max_words: int) -> Iterator[list[tuple[str, str | None]]]:
-    """The items, in blocks of at most max_words words (or one item), one block on the driver at a time."""
-    rows, total = [], 0
-    for r in benchmark.select(F.col(item_col).cast("string").alias("i"), F.col(text_col).alias("t")).toLocalIterator():
-        n = len(r["t"] or "") // 2 + 1
-        if rows and total + n > max_words:
-            yield rows
-            rows, total = [], 0
-        rows.append(("" if r["i"] is None else r["i"], r["t"]))
-        total += n
-    yield rows
+def _around(ws: list[str], p: int, n: int) -> tuple[list[str], list[str]]:
+    """The words before p, nearest first, and those from p on that a window with p's gram can reach; n words of a short item."""
+    return ([], ws[p : p + n]) if n else (ws[max(0, p - WINDOW + GRAM) : p][::-1], ws[p : p + WINDOW])
+
+
+_PRINT = pa.schema([("name", pa.string()), ("p", pa.int32()), ("n", pa.int32()), ("h", pa.int64()), ("before", pa.list_(pa.string())), ("after", pa.list_(pa.string()))])
+_PRINT_DDL = "name string, p int, n int, h long, before array<string>, after array<string>"
+
+
+def _print_rows(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(_PRINT)], schema=_PRINT)
+
+
+def _item_prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each kept gram of each item; the whole of an item too short for a window is one gram (n words)."""
+    cache = _Hashes()
+    for b in batches:
+        rows = []
+        for name, text in zip(b.column("name").to_pylist(), b.column("text").to_pylist(), strict=True):
+            ws = words(text)
+            if not ws:
+                continue
+            n = len(ws) if len(ws) < WINDOW else 0
+            g, plain = grams(hashed(ws, cache), n or GRAM), [w.decode() for w in ws]
+            rows += [(name, p, n, int(g[p].view(np.int64)), *_around(plain, p, n)) for p in ([0] if n else winnowed(g, WINDOW - GRAM + 1).tolist())]
+        yield _print_rows(rows)
+
+
+def _doc_prints(bitmap, lengths: list[int]):
+    """Rows as those of items, where the bitmap has the hash: of kept grams, and of all grams of the lengths of short items."""
+
+    def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits, cache = bitmap.value, _Hashes()
+        for b in batches:
+            rows = []
+            for name, text in zip(b.column("name").to_pylist(), b.column("text").to_pylist(), strict=True):
+                ws = words(text)
+                h = hashed(ws, cache)
+                for n in (0, *lengths):
+                    g = grams(h, n or GRAM)
+                    at = np.arange(len(g)) if n else winnowed(g, WINDOW - GRAM + 1)
+                    k = g[at] >> np.uint64(64 - BITMAP)
+                    known = at[(bits[k >> np.uint64(6)] >> (k & np.uint64(63))) & np.uint64(1) == 1]
+                    for p in known.tolist():
+                        reach = [w.decode() for w in ws[max(0, p - WINDOW) : p + WINDOW]]
+                        rows.append((name, p, n, int(g[p].view(np.int64)), *_around(reach, min(p, WINDOW), n)))
+                if len(rows) > 50_000:
+                    yield _print_rows(rows)
+                    rows = []
+            yield _print_rows(rows)
+
+    return prints
+
+
+def _bitmap(prints: DataFrame) -> np.ndarray:
+    """2**BITMAP bits, set where a hash of ``prints`` begins so; its size doesn't depend on them."""
+    k = F.shiftrightunsigned("h", 64 - BITMAP)
+    words_ = prints.select(F.shiftright(k, 6).alias("w"), F.expr(f"shiftleft(1L, cast(shiftrightunsigned(h, {64 - BITMAP}) & 63 AS int))").alias("bit")).groupBy("w").agg(F.bit_or("bit").alias("bits")).toArrow()
+    out = np.zeros(1 << (BITMAP - 6), dtype=np.uint64)
+    out[words_.column("w").to_numpy()] = words_.column("bits").to_numpy().view(np.uint64)
+    return out
+
+
+def _shared(x, y):
+    """How many words two lists begin with in common."""
+    first = F.array_position(F.zip_with(x, y, lambda u, v: F.coalesce(u == v, F.lit(False))), False)
+    return F.when(first == 0, F.size(x)).otherwise(first - 1).cast("int")
+
+
+def joined_hits(own: DataFrame, text_col: str, items: DataFrame) -> DataFrame:
+    """name (SHA-256 of a text), b_items and b_spans of each text in which windows of ``items`` (name, text) occur."""
+    spark = own.sparkSession
+    prints = checkpointed(items.mapInArrow(_item_prints, _PRINT_DDL))
+    lengths = sorted(r["n"] for r in prints.filter("n > 0").select("n").distinct().collect())  # nine at most
+    texts = own.select(F.sha2(text_col, 256).alias("name"), F.col(text_col).alias("text"))
+    mine = texts.mapInArrow(_doc_prints(spark.sparkContext.broadcast(_bitmap(prints)), lengths), _PRINT_DDL).dropDuplicates(["name", "p", "n"]).alias("d")
+    theirs = prints.select("name", "n", "h", "before", "after").distinct().alias("i")
+    both = mine.join(theirs, (F.col("d.h") == F.col("i.h")) & (F.col("d.n") == F.col("i.n")))
+    both = both.select("d.name", "d.p", "d.n", F.col("i.name").alias("item"), _shared(F.col("d.before"), F.col("i.before")).alias("a"), _shared(F.col("d.after"), F.col("i.after")).alias("b"))
+    hits = both.filter(F.when(F.col("n") > 0, F.col("b") >= F.col("n")).otherwise(F.col("a") + F.col("b") >= WINDOW))
+    return hits.groupBy("name").agg(F.collect_set("item").alias("b_items"), F.collect_set(F.struct((F.col("p") - F.col("a")).alias("start"), (F.col("p") + F.col("b")).alias("end"))).alias("b_spans"))
 
 
 def _digest(items: set[str]) -> str:
@@ -184,15 +259,13 @@ def matched(own: DataFrame, text_col: str, benchmark: DataFrame, item_col: str,
     spark = own.sparkSession
     columns = ", ".join(f"`{k}` {v}" for k, v in own.dtypes)
     fields = f"n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, spans {_SPANS}"
-    blocks = _blocks(benchmark, item_col, item_text_col, max_words)
-    first = next(blocks)
-    second = next(blocks, None)
-    if second is None:
-        return own.mapInArrow(_matcher(spark.sparkContext.broadcast(Items(first)), text_col), f"{columns}, {fields}")
-    # several blocks: each adds its items and ranges to the rows
-    found = own.withColumns({"b_items": F.array().cast("array<string>"), "b_spans": F.array().cast(_SPANS)})
-    for rows in (x for source in ((first, second), blocks) for x in source):
-        found = checkpointed(found.mapInArrow(_adder(spark.sparkContext.broadcast(Items(rows)), text_col), f"{columns}, b_items array<string>, b_spans {_SPANS}"))
+    items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("name"), F.col(item_text_col).alias("text"))
+    n_words = items.agg(F.sum(F.floor(F.coalesce(F.length("text"), F.lit(0)) / 2) + 1)).first()[0] or 0  # at most so many
+    if n_words <= max_words:
+        block = Items([(r["name"], r["text"]) for r in items.toLocalIterator()])
+        return own.mapInArrow(_matcher(spark.sparkContext.broadcast(block), text_col), f"{columns}, {fields}")
+    hits = joined_hits(own, text_col, items)
+    found = own.withColumn("b_name", F.sha2(text_col, 256)).join(hits, F.col("b_name") == hits["name"], "left").select(*own.columns, "b_items", "b_spans")
     return found.mapInArrow(_finish(text_col), f"{columns}, {fields}")
 
 
@@ -225,27 +298,11 @@ def _matcher(items, text_col: str):
     return match
 
 
-def _adder(items, text_col: str):
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, cache = items.value, _Hashes()
-        for b in batches:
-            names, spans = b.column("b_items").to_pylist(), b.column("b_spans").to_pylist()
-            for i, text in enumerate(b.column(text_col).to_pylist()):
-                ws = words(text)
-                r, f = block.hits(ws, hashed(ws, cache))
-                names[i] = sorted({*names[i], *f})
-                spans[i] = [{"start": x, "end": y} for x, y in merged([*((s["start"], s["end"]) for s in spans[i]), *r])]
-            columns = [c for c in b.schema.names if c not in ("b_items", "b_spans")]
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in columns), pa.array(names, pa.list_(pa.string())), pa.array(spans, _SPAN)], [*columns, "b_items", "b_spans"])
-
-    return add
-
-
 def _finish(text_col: str):
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             columns = [c for c in b.schema.names if c not in ("b_items", "b_spans")]
-            ranges = [[(s["start"], s["end"]) for s in x] for x in b.column("b_spans").to_pylist()]
-            yield _with_result(b, columns, [len(words(t)) for t in b.column(text_col).to_pylist()], ranges, [set(x) for x in b.column("b_items").to_pylist()])
+            ranges = [[(s["start"], s["end"]) for s in x or ()] for x in b.column("b_spans").to_pylist()]
+            yield _with_result(b, columns, [len(words(t)) for t in b.column(text_col).to_pylist()], ranges, [set(x or ()) for x in b.column("b_items").to_pylist()])
 
     return finish

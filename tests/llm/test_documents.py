@@ -267,6 +267,13 @@ def test_winnowing(spark, rows, max_words):
     assert winnow.decontaminate(d.limit(0), b).count() == 0
 
 
+def test_winnowing_by_broadcast_and_by_join(spark):
+    d, b = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "benchmark"))
+    rows = lambda n: sorted(map(tuple, winnow.decontaminate(d, b, max_words=n).drop("spans").collect()))
+    assert rows(0) == rows(2_000_000)
+    assert any(r[-1] for r in rows(0))
+
+
 def test_winnowing_guarantee():
     import numpy as np
 
