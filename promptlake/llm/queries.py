@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, html_sst, jaccard, linededup, mixing, quality, sharding, suffix, warc, winnow
+from . import chat, html_sst, jaccard, linededup, mixing, negatives, quality, repair, sharding, suffix, tokens, warc, winnow
 from .common import checkpointed, scratch, table
 from .oracles import ORACLE_SQL, PROBE  # noqa: F401
 
@@ -55,5 +55,19 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), n_shards=40)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_html_extraction, op3_suffix_dedup, op4_warc, op5_decontamination, op6_chat_format, op7_mixing, op8_jaccard_join, op9_line_dedup, op10_sharding)}
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repairs(repair.damaged(table(spark, sf_dir, "conversations")))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.hard_negatives(negatives.relabelled(table(spark, sf_dir, "embeddings")))
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return tokens.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_html_extraction, op3_suffix_dedup, op4_warc, op5_decontamination, op6_chat_format, op7_mixing, op8_jaccard_join, op9_line_dedup, op10_sharding, op11_conversation_repair, op12_hard_negatives, op13_token_counts)}
 
