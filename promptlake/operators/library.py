@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.text import int_or
 from ..rules import MANDATORY
+from ..sources import keyed
 
 KEY = "prompt_unique_id"
 
@@ -61,25 +63,30 @@ def merge(target: DataFrame, batch: DataFrame, order: list[str], now: str | None
     )
 
 
-def load(target_path: str, batch: DataFrame, order: list[str], gate: bool = True) -> DataFrame:
-    """Merge into a Parquet table of versions; a reader takes the highest one that is complete.  Returns the counts (L2).
+def load(target_path: str, batch: DataFrame, order: list[str], gate: bool = True, buckets: int = keyed.BUCKETS, stream: str | None = None, batch_id: int | None = None) -> DataFrame:
+    """Merge into a table of hash buckets, of which only those of the batch's keys are rewritten (L1).  Returns the counts (L2).
 
     A batch with a row that lacks mandatory fields is refused before anything is
-    written (V8).  A version is written once; what happened to its rows is in its own
-    column, ``action``, which ``current`` leaves out.
+    written (V8).  Counts are taken while rows are written.  A batch of a stream that was
+    committed before changes nothing (X3); one whose version another writer has committed
+    meanwhile raises ``keyed.Conflict`` and may be loaded again.
     """
     spark = batch.sparkSession
     if gate:
         batch = checked(batch)
-    versions = _versions(spark, target_path)
-    if versions:
-        target = current(spark, target_path)
-    else:
-        target = spark.createDataFrame([], batch.drop(*order).schema).withColumns({"updated_at": F.lit(None).cast("timestamp"), "created_at": F.lit(None).cast("timestamp")})
-    to = f"{target_path}/v={(versions[-1] if versions else 0) + 1:06d}"
-    merged = merge(target, batch, order)
-    merged.write.mode("overwrite").parquet(to)  # what a failed run left there has no _SUCCESS
-    return counts(spark.read.parquet(to))
+    seen = Observation()
+    actions = [F.count_if(F.col("action") == a).alias(a) for a in ("inserted", "updated")]
+
+    def merged(target: DataFrame, rows: DataFrame) -> DataFrame:
+        # observed before what happened to a row is left out
+        return merge(target, rows, order).observe(seen, *actions).drop("action")
+
+    def empty() -> StructType:
+        return batch.drop(*order).withColumns({"updated_at": F.lit(None).cast("timestamp"), "created_at": F.lit(None).cast("timestamp")}).schema
+
+    done = keyed.change(spark, target_path, batch, KEY, merged, empty, buckets, stream, batch_id)
+    found = [(a, n) for a, n in seen.get.items() if n] if done else []
+    return spark.createDataFrame(found, "action string, n_rows long")
 
 
 def report(rows: DataFrame, n_failures: int = 20) -> dict:
@@ -90,17 +97,9 @@ def report(rows: DataFrame, n_failures: int = 20) -> dict:
     return {"status": "partial" if bad else "ok", "n_rows": n, "n_failed": bad, "failures": [(r[KEY], list(r["violations"])) for r in first]}
 
 
-def _versions(spark, path: str) -> list[int]:
-    """Numbers of the versions with a _SUCCESS mark, through Hadoop's file systems."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    store = where.getFileSystem(spark._jsc.hadoopConfiguration())
-    found = store.globStatus(spark._jvm.org.apache.hadoop.fs.Path(path + "/v=??????/_SUCCESS")) or []
-    return sorted(int(f.getPath().getParent().getName()[2:]) for f in found)
-
-
-def current(spark, path: str) -> DataFrame:
+def current(spark: SparkSession, path: str) -> DataFrame:
     """The newest version of a table that load writes."""
-    return spark.read.parquet(f"{path}/v={_versions(spark, path)[-1]:06d}").drop("action")
+    return keyed.read(spark, path)
 
 
 def counts(merged: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ from ..schemas import CLASSIFIED
 from ..sources import jsonl, media
 from ..streaming.incremental import load_stream, stream_of
 from .pipeline import MODES, remaining, run_stages
-from .queries import _LINK, _POSTS_SQL, PATTERNS, _classified_sql, _links, _slides, _table, scratch
+from .queries import _BATCH, _FRESH, _LINK, _POSTS_SQL, PATTERNS, _classified_sql, _links, _slides, _table, scratch
 
 _TURN = "conv_id long, turn int, role string, text string"
 
@@ -157,6 +157,19 @@ def x3_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.select("prompt_unique_id", F.md5("prompt_text_original").alias("text_md5"), "prompt_size_chars", "record_status", "model", (F.col("updated_at") > F.col("created_at")).alias("moved"))
 
 
+def l1_two_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads into one table of buckets: by the length of its text a document comes with the first, the second (twice), or both (L1)."""
+    folder, d = scratch(spark, "keyed"), _table(spark, sf_dir, "documents")
+    text = "coalesce(nullif(text, ''), '-')"
+    rows = d.selectExpr("concat(doc_id, '__p1') AS prompt_unique_id", f"{text} AS prompt_text_original", f"{text} AS prompt_text_clean", "'Learning_Aid' AS prompt_type", "array('all_models') AS target_engine", "array('chat') AS output_modality",
+                        "length(coalesce(text, '')) AS prompt_size_chars", "'' AS model", "text")
+    library.load(folder, rows.filter(f"NOT ({_FRESH})").drop("text").withColumns({"record_status": F.lit("old"), "note": F.lit("kept"), "seq": F.lit(0)}), ["seq"])
+    twice = rows.filter(_BATCH).drop("text").withColumn("seq", F.explode(F.array(F.lit(1), F.lit(2)))).withColumn("record_status", F.concat(F.lit("new"), "seq"))
+    library.load(folder, twice, ["seq"])
+    moved = (F.col("updated_at") > F.col("created_at")).alias("moved")
+    return library.current(spark, folder).select("prompt_unique_id", F.md5("prompt_text_original").alias("text_md5"), "prompt_size_chars", "record_status", F.coalesce("note", F.lit("")).alias("note"), "model", moved)
+
+
 def x4_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stages over all links up to one that fails."""
     judged = cl.classify(normalize(_links(spark, sf_dir), "link"))
@@ -165,7 +178,7 @@ def x4_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    r1_jsonl_round_trip, r3_lenient_lines, w3_ready_rejected, w4_platform_queues, w6_filter_counts, m1_mail_parts, s7_image_texts, v1_user_prompts, v7_strict_errors, v9_model_calls, x1_modes, x3_reload, x4_run_summary,
+    r1_jsonl_round_trip, r3_lenient_lines, w3_ready_rejected, w4_platform_queues, w6_filter_counts, m1_mail_parts, s7_image_texts, v1_user_prompts, v7_strict_errors, v9_model_calls, x1_modes, l1_two_loads, x3_reload, x4_run_summary,
 )}
 
 _STATUS = "CASE WHEN filter_reason LIKE 'accepted%' THEN 'pending' ELSE 'rejected' END"
@@ -192,6 +205,8 @@ ORACLE_SQL = {
     "v9_model_calls": """SELECT doc_id::VARCHAR AS post_id, CASE WHEN length(coalesce(text, '')) > 2000 THEN '' ELSE md5(coalesce(text, '')) END AS raw_reply, CASE WHEN length(coalesce(text, '')) > 2000 THEN 'too long' ELSE '' END AS call_error,
         'semantic_extraction_agent::digest' AS semantic_producer, true AS timed FROM documents""",
     "x1_modes": "SELECT 'CLEAN' AS mode, event_id, user_id FROM events UNION ALL SELECT 'INCREMENTAL', event_id, user_id FROM events WHERE user_id NOT IN (SELECT user_id FROM events WHERE event_type = 'purchase')",
+    "l1_two_loads": f"""SELECT doc_id || '__p1' AS prompt_unique_id, md5(coalesce(nullif(text, ''), '-')) AS text_md5, length(coalesce(text, ''))::INTEGER AS prompt_size_chars, CASE WHEN {_BATCH} THEN 'new2' ELSE 'old' END AS record_status,
+        CASE WHEN {_FRESH} THEN '' ELSE 'kept' END AS note, 'all_models' AS model, {_BATCH} AND NOT ({_FRESH}) AS moved FROM documents""",
     "x3_reload": "SELECT doc_id || '__p1' AS prompt_unique_id, md5(coalesce(nullif(text, ''), '-')) AS text_md5, length(coalesce(text, ''))::INTEGER AS prompt_size_chars, 'second' AS record_status, 'all_models' AS model, true AS moved FROM documents",
     "x4_run_summary": f"""{_classified_sql()} SELECT 'links' AS stage, 'ok' AS status, count(*) AS n_rows, 'refused' AS failed_stage FROM judged
         UNION ALL SELECT 'accepted', 'ok', count(*), 'refused' FROM judged WHERE filter_reason LIKE 'accepted%' UNION ALL SELECT 'refused', 'failed', NULL, 'refused'""",

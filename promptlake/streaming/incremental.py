@@ -33,9 +33,9 @@ def run_once(rows: DataFrame, out: str, checkpoint: str, fmt: str = "parquet") -
 
 
 def load_stream(rows: DataFrame, table: str, checkpoint: str, order: list[str]) -> None:
-    """Micro-batches merged by key; repeating a batch changes no row but its time."""
+    """Micro-batches merged by key; one that comes again after it was committed changes nothing."""
 
-    def each(batch: DataFrame, _: int) -> None:
-        load(table, batch, order)
+    def each(batch: DataFrame, batch_id: int) -> None:
+        load(table, batch, order, stream=checkpoint, batch_id=batch_id)
 
     rows.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
