@@ -9,6 +9,7 @@ import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions.urls import normalize
 from ..operators import classify as cl
@@ -16,6 +17,7 @@ from ..operators import library, replies, slides
 from ..operators.handoff import hand_off, prepare
 from ..schemas import CLASSIFIED
 from ..sources import jsonl, media
+from ..sources.lines import lines_of, splits_of
 from ..streaming.incremental import load_stream, stream_of
 from .pipeline import MODES, remaining, run_stages
 from .queries import _BATCH, _FRESH, _LINK, _POSTS_SQL, PATTERNS, _classified_sql, _links, _slides, _table, scratch
@@ -45,6 +47,20 @@ def r3_lenient_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return good.select(*row("lenient")).unionByName(bad.select(F.lit("quarantine").alias("kind"), "line")).unionByName(jsonl.read_objects(spark, sound, _TURN).select(*row("objects")))
 
 
+def r3_line_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns in order as lines of several files, users' as objects, others' broken: where the quarantine says that each broken one is.
+
+    Files are in order too, so the lines of those before and the number in its file say which of all lines it is.
+    """
+    c, folder = _table(spark, sf_dir, "conversations"), scratch(spark, "numbered")
+    lines = c.selectExpr("conv_id", "turn", f"CASE WHEN role = 'user' THEN to_json(struct(conv_id, turn, role, text)) ELSE {_BAD} END AS line")
+    lines.orderBy("conv_id", "turn").select("line").write.text(folder)
+    _, bad = jsonl.read_lenient(spark, folder, _TURN)
+    sizes = splits_of(lines_of(spark, folder)).groupBy("file").agg(F.sum("n_lines").alias("n"))
+    before = sizes.select("file", F.coalesce(F.sum("n").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))  # a row a file
+    return bad.join(before, "file").select((F.col("before") + F.col("line_number")).alias("place"), "line")
+
+
 def _queue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's link as a normalised queue row, and one without any URL for each page."""
     n = normalize(_links(spark, sf_dir), "link").withColumnRenamed("link", "original_url")
@@ -178,7 +194,7 @@ def x4_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    r1_jsonl_round_trip, r3_lenient_lines, w3_ready_rejected, w4_platform_queues, w6_filter_counts, m1_mail_parts, s7_image_texts, v1_user_prompts, v7_strict_errors, v9_model_calls, x1_modes, l1_two_loads, x3_reload, x4_run_summary,
+    r1_jsonl_round_trip, r3_lenient_lines, r3_line_numbers, w3_ready_rejected, w4_platform_queues, w6_filter_counts, m1_mail_parts, s7_image_texts, v1_user_prompts, v7_strict_errors, v9_model_calls, x1_modes, l1_two_loads, x3_reload, x4_run_summary,
 )}
 
 _STATUS = "CASE WHEN filter_reason LIKE 'accepted%' THEN 'pending' ELSE 'rejected' END"
@@ -190,6 +206,7 @@ ORACLE_SQL = {
     "r1_jsonl_round_trip": "SELECT conv_id, turn, role, md5(text) AS text_md5 FROM conversations",
     "r3_lenient_lines": f"""WITH good AS (SELECT concat_ws(' ', conv_id, turn, role, md5(text)) AS line FROM conversations WHERE role = 'user')
         SELECT 'lenient' AS kind, line FROM good UNION ALL SELECT 'objects', line FROM good UNION ALL SELECT 'quarantine', {_BAD} FROM conversations WHERE role IS DISTINCT FROM 'user'""",
+    "r3_line_numbers": f"SELECT place, line FROM (SELECT row_number() OVER (ORDER BY conv_id, turn) AS place, role, {_BAD} AS line FROM conversations) WHERE role IS DISTINCT FROM 'user'",
     "w3_ready_rejected": f"""{_QUEUE_SQL} SELECT link AS original_url, normalized_url, platform, page_id::VARCHAR AS source_message_id, 's' AS source_subject, '' AS email_datetime, 'q' AS gmail_query, {_STATUS} AS status, filter_reason,
         notes AS normalization_notes, CASE WHEN {_STATUS} = 'pending' THEN 'ready' ELSE 'rejected' END AS file FROM queue""",
     "w4_platform_queues": f"{_classified_sql()} SELECT CASE WHEN platform IN ('instagram', 'tiktok', 'x', 'youtube') THEN platform ELSE 'unknown' END AS queue, page_id, normalized_url FROM judged",

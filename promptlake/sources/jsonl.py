@@ -4,30 +4,56 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
-from ..functions.text import whole_json
+from ..functions.text import strip, whole_json
+from .lines import lines_of, numbered, refuse, splits_of
 
 
-def read_strict(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """Blank lines are skipped; a line that isn't JSON of this schema fails the job."""
+def _fits(value: Column, schema: StructType | str) -> Column:
+    """Whether a line is one JSON object, and nothing more, of this schema."""
+    kind = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    bad = "_not_of_the_schema"
+    read = F.from_json(value, StructType([*kind.fields, StructField(bad, StringType())]), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": bad})
+    return F.coalesce(_is_object(whole_json(value)), F.lit(False)) & read[bad].isNull()
+
+
+def _is_object(v: Column) -> Column:
+    return F.schema_of_variant(v).startswith("OBJECT")
+
+
+def _said(lines: DataFrame) -> DataFrame:
+    return lines.filter(strip(F.col("value")) != "")
+
+
+def read_strict(spark: SparkSession, path: str, schema: StructType | str, numbers: bool = True) -> DataFrame:
+    """Blank lines are skipped; a line that isn't an object of this schema fails.
+
+    It fails here, with file and line number, by a pass that looks for such lines before
+    anything is done with the others.  Without ``numbers`` that pass is left out and the job
+    that reads the line fails, without its number.
+    """
+    if numbers:
+        lines = lines_of(spark, path)
+        refuse(_said(lines).filter(~_fits(F.col("value"), schema)), lines, "not JSON of the schema")
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
 def read_objects(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """As read_strict, but valid JSON that isn't an object is dropped (R2)."""
-    lines = spark.read.text(path).filter(F.trim("value") != "")
-    parsed = lines.withColumn("v", whole_json(F.col("value")))
-    checked = parsed.withColumn("v", F.when(F.col("v").isNull(), F.raise_error(F.concat(F.lit("not JSON: "), F.substring("value", 1, 200))).cast("variant")).otherwise(F.col("v")))
-    objects = checked.filter(F.schema_of_variant("v").startswith("OBJECT"))
+    """As read_strict, but valid JSON that isn't an object is dropped, and fields that don't fit are null (R2)."""
+    lines = lines_of(spark, path)
+    refuse(_said(lines).filter(whole_json(F.col("value")).isNull()), lines, "not JSON")
+    objects = spark.read.text(path).filter(strip(F.col("value")) != "").filter(_is_object(whole_json(F.col("value"))))
     return objects.select(F.from_json("value", schema).alias("r")).select("r.*")
 
 
 def read_lenient(spark: SparkSession, path: str, schema: StructType | str) -> tuple[DataFrame, DataFrame]:
-    """Good rows, and a quarantine of (file, line) for lines that aren't JSON; JSON that isn't an object is dropped."""
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file")).filter(F.trim("value") != "").withColumn("v", whole_json(F.col("value")))
-    good = lines.filter(F.schema_of_variant("v").startswith("OBJECT")).select(F.from_json("value", schema).alias("r")).select("r.*")
-    return good, lines.filter(F.col("v").isNull()).select("file", F.col("value").alias("line"))
+    """Good rows, and a quarantine of (file, line_number, line) for lines that aren't JSON; JSON that isn't an object is dropped."""
+    v = whole_json(F.col("value"))
+    good = spark.read.text(path).filter(strip(F.col("value")) != "").filter(_is_object(v)).select(F.from_json("value", schema).alias("r")).select("r.*")
+    lines = lines_of(spark, path)
+    bad = numbered(_said(lines).filter(v.isNull()), splits_of(lines))
+    return good, bad.select("file", "line_number", F.col("value").alias("line"))
 
 
 def processed_keys(log: DataFrame, key: str, retry_errors: bool = False) -> DataFrame:
