@@ -13,14 +13,14 @@ from pyspark.sql.window import Window
 
 from ..functions.urls import normalize
 from ..operators import classify as cl
-from ..operators import library, replies, slides
+from ..operators import dedup, library, replies, slides
 from ..operators.handoff import hand_off, prepare
 from ..schemas import CLASSIFIED
 from ..sources import jsonl, media
 from ..sources.lines import lines_of, splits_of
 from ..streaming.incremental import load_stream, stream_of
 from .pipeline import MODES, remaining, run_stages
-from .queries import _BATCH, _FRESH, _LINK, _POSTS_SQL, PATTERNS, _classified_sql, _links, _slides, _table, scratch
+from .queries import _BATCH, _FOUND_SQL, _FRESH, _LINK, _POSTS_SQL, _TEXT, PATTERNS, _classified_sql, _links, _slides, _table, scratch
 
 _TURN = "conv_id long, turn int, role string, text string"
 
@@ -94,15 +94,34 @@ def _b64(c: str) -> str:
     return f"base64(encode({c}, 'UTF-8'))"
 
 
-_MAIL = f"""concat('Subject: =?utf-8?b?', {_b64("concat('Página ', page_id)")}, '?=\\nFrom: a@b\\nDate: Mon, 02 Jan 2023 03:04:05 +0200\\nMIME-Version: 1.0\\nContent-Type: multipart/mixed; boundary=B\\n\\n',
-    '--B\\nContent-Type: text/plain; charset=utf-8\\nContent-Transfer-Encoding: base64\\n\\n', {_b64("coalesce(url, '')")}, '\\n--B\\nContent-Type: text/html; charset=utf-8\\nContent-Transfer-Encoding: base64\\n\\n', {_b64("coalesce(html, '')")},
-    '\\n--B\\nContent-Type: text/plain\\nContent-Disposition: attachment\\n\\nnot read\\n--B--\\n')"""
+def _mail(parts: str) -> str:
+    """A line of a box, with a first line and a blank one at its end: a message of the page with the given MIME parts."""
+    return f"""concat('From page Mon Jan  2 03:04:05 2023\\nSubject: =?utf-8?b?', {_b64("concat('Página ', page_id)")}, '?=\\nFrom: a@b\\nDate: Mon, 02 Jan 2023 03:04:05 +0200\\nMIME-Version: 1.0\\nContent-Type: multipart/mixed; boundary=B\\n\\n',
+    {parts}, '--B\\nContent-Type: text/plain\\nContent-Disposition: attachment\\n\\nnot read\\n--B--\\n')"""
+
+
+def _part(kind: str, c: str) -> str:
+    return f"""'--B\\nContent-Type: text/{kind}; charset=utf-8\\nContent-Transfer-Encoding: base64\\n\\n', {_b64(f"coalesce({c}, '')")}, '\\n'"""
+
+
+def _boxes(spark: SparkSession, sf_dir: str, parts: str) -> DataFrame:
+    """Every page as a message, in boxes written by page, read as stored mail."""
+    folder = scratch(spark, "mail")
+    _table(spark, sf_dir, "pages").orderBy("page_id").selectExpr(_mail(parts)).write.text(folder)
+    return media.stored_mail(spark, folder)
 
 
 def m1_mail_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each page as a stored message with its address, its html and an attachment."""
-    files = _table(spark, sf_dir, "pages").selectExpr("cast(page_id AS string) AS path", f"encode({_MAIL}, 'UTF-8') AS content")
-    return media.mail_parts(files).select("message_id", "subject", "from", "email_datetime", "part_ord", F.md5("text").alias("text_md5"))
+    """Each page as a stored message with its address, its html and an attachment, and its place among all."""
+    parts = media.mail_parts(_boxes(spark, sf_dir, f"{_part('plain', 'url')}, {_part('html', 'html')}"))
+    place = F.dense_rank().over(Window.orderBy("message_ord")).alias("place")  # for the comparison: in one task
+    return parts.select("message_ord", "subject", "from", "email_datetime", "part_ord", F.md5("text").alias("text_md5")).select(place, "subject", "from", "email_datetime", "part_ord", "text_md5")
+
+
+def m9_mail_discovery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """URLs found in stored mail, each with the first message in order of the boxes that has it."""
+    queue = dedup.url_queue(dedup.message_urls(media.mail_parts(_boxes(spark, sf_dir, _part("plain", _TEXT)))))
+    return queue.select("url", "source_subject", "email_datetime", "status")
 
 
 def _reader(content: bytes) -> str:
@@ -194,7 +213,7 @@ def x4_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    r1_jsonl_round_trip, r3_lenient_lines, r3_line_numbers, w3_ready_rejected, w4_platform_queues, w6_filter_counts, m1_mail_parts, s7_image_texts, v1_user_prompts, v7_strict_errors, v9_model_calls, x1_modes, l1_two_loads, x3_reload, x4_run_summary,
+    r1_jsonl_round_trip, r3_lenient_lines, r3_line_numbers, w3_ready_rejected, w4_platform_queues, w6_filter_counts, m1_mail_parts, m9_mail_discovery, s7_image_texts, v1_user_prompts, v7_strict_errors, v9_model_calls, x1_modes, l1_two_loads, x3_reload, x4_run_summary,
 )}
 
 _STATUS = "CASE WHEN filter_reason LIKE 'accepted%' THEN 'pending' ELSE 'rejected' END"
@@ -212,8 +231,9 @@ ORACLE_SQL = {
     "w4_platform_queues": f"{_classified_sql()} SELECT CASE WHEN platform IN ('instagram', 'tiktok', 'x', 'youtube') THEN platform ELSE 'unknown' END AS queue, page_id, normalized_url FROM judged",
     "w6_filter_counts": f"""{_QUEUE_SQL} SELECT count(*) AS input_rows, count(*) FILTER ({_STATUS} = 'pending') AS accepted_rows, count(*) FILTER ({_STATUS} <> 'pending') AS rejected_rows,
         count(*) FILTER (filter_reason = 'rejected_missing_normalized_url') AS missing_url_rows FROM queue""",
-    "m1_mail_parts": """SELECT page_id::VARCHAR AS message_id, 'Página ' || page_id AS subject, 'a@b' AS "from", '2023-01-02T01:04:05+00:00' AS email_datetime, 0 AS part_ord, md5(coalesce(url, '')) AS text_md5 FROM pages
-        UNION ALL SELECT page_id::VARCHAR, 'Página ' || page_id, 'a@b', '2023-01-02T01:04:05+00:00', 1, md5(coalesce(html, '')) FROM pages""",
+    "m1_mail_parts": """SELECT place, 'Página ' || page_id AS subject, 'a@b' AS "from", '2023-01-02T01:04:05+00:00' AS email_datetime, part_ord, md5(text) AS text_md5
+        FROM (SELECT row_number() OVER (ORDER BY page_id)::INTEGER AS place, page_id, unnest([coalesce(url, ''), coalesce(html, '')]) AS text, unnest([0, 1]) AS part_ord FROM pages)""",
+    "m9_mail_discovery": f"{_FOUND_SQL} SELECT url, 'Página ' || min(page_id) AS source_subject, '2023-01-02T01:04:05+00:00' AS email_datetime, 'pending' AS status FROM social GROUP BY url",
     "s7_image_texts": """SELECT '/shots/c' || conv_id || '_slide_' || lpad((turn + 1)::VARCHAR, 2, '0') || '_of_99.png' AS source_image, (turn + 1)::INTEGER AS slide_index, 'top_55_percent' AS ocr_region,
         md5(CASE WHEN bad THEN '' ELSE coalesce(text, '') END) AS text_md5, CASE WHEN bad THEN 'error' ELSE 'ok' END AS ocr_status, CASE WHEN bad THEN 'unreadable' ELSE '' END AS error FROM (SELECT *, strlen(coalesce(text, '')) % 5 = 0 AS bad FROM conversations)""",
     "v1_user_prompts": f"{_POSTS_SQL} SELECT true AS framed, post_id, content_type, slide_total, slide_count_found AS n_slides, md5(combined) AS text_md5 FROM shown WHERE availability_status = 'available'",

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import image_facts
 from ..schemas import MAIL_PART
+from .mailbox import StoredMail
 
 
 def screenshots(spark: SparkSession, root: str) -> DataFrame:
@@ -59,23 +60,30 @@ def _texts(message: email.message.Message) -> Iterator[str]:
                 yield raw.decode("utf-8", errors="replace")
 
 
-def mail_parts(files: DataFrame, gmail_query: str = "") -> DataFrame:
-    """Stored messages (path, content) to a row for each text part (R9, M1, M2); unreadable ones are left out."""
+def stored_mail(spark: SparkSession, path: str, stream: bool = False, **options: int) -> DataFrame:
+    """message_id, message_ord and content of the messages of a folder, or of those that come."""
+    spark.dataSource.register(StoredMail)
+    reader = spark.readStream if stream else spark.read
+    return reader.format("stored_mail").options(**options).load(path)
+
+
+def mail_parts(messages: DataFrame, gmail_query: str = "") -> DataFrame:
+    """Stored messages to a row for each text part (R9, M1, M2); unreadable ones are left out."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
-            for path, content in zip(b["path"], b["content"], strict=True):
+            for name, place, content in zip(b["message_id"], b["message_ord"], b["content"], strict=True):
                 try:
                     m = email.message_from_bytes(bytes(content), policy=email.policy.compat32)
                     head = (_header(m.get("Subject")), _header(m.get("From")), m.get("Date") or "")
                     texts = list(_texts(m))
                 except (ValueError, LookupError, UnicodeError):
                     continue
-                rows += [(path, 0, *head, gmail_query, i, t) for i, t in enumerate(texts)]
+                rows += [(name, place, *head, gmail_query, i, t) for i, t in enumerate(texts)]
             yield pd.DataFrame(rows, columns=["message_id", "message_ord", "subject", "from", "email_datetime", "gmail_query", "part_ord", "text"])
 
-    parts = files.select("path", "content").mapInPandas(run, MAIL_PART)
+    parts = messages.select("message_id", "message_ord", "content").mapInPandas(run, MAIL_PART)
     return parts.withColumn("email_datetime", mail_datetime(F.col("email_datetime")))
 
 

@@ -188,7 +188,7 @@ def test_mail_and_images(spark, tmp_path):
         b"Subject: =?utf-8?q?caf=C3=A9?=\nFrom: a@b\nDate: Mon, 02 Jan 2023 03:04:05 +0200\nMIME-Version: 1.0\nContent-Type: multipart/mixed; boundary=B\n\n--B\nContent-Type: text/plain; charset=latin-1\n\nlook https://x.com/a/status/1.\n--B\nContent-Type: text/plain\nContent-Disposition: attachment\n\nhttps://x.com/b/status/2\n--B--\n"
     )
     (tmp_path / "m/2.eml").write_bytes(b"Subject: s\nDate: soon\nContent-Type: application/x-odd\n\nhttps://youtu.be/z")
-    parts = media.mail_parts(spark.read.format("binaryFile").load(str(tmp_path / "m")))
+    parts = media.mail_parts(media.stored_mail(spark, str(tmp_path / "m")))
     rows = sorted((r["subject"], r["email_datetime"], r["text"].strip()) for r in parts.collect())
     assert rows == [("café", "2023-01-02T01:04:05+00:00", "look https://x.com/a/status/1."), ("s", "soon", "https://youtu.be/z")]
     assert {r["normalized_url"]: r["status"] for r in pipeline.discover(parts).collect()} == {"https://x.com/a/status/1": "pending", "https://youtu.be/z": "pending"}
