@@ -7,7 +7,7 @@ the word after it) has a number of tokens of its own, and those add up to the te
 The first tier is a compact table, the most frequent words of a sample of rows and a
 byte for the length of each, broadcast with the model.  The second is a cache in each
 worker: a part that the table lacks is encoded by the library once and remembered until
-the cache is full, then it starts anew.  Neither tier changes a count.  Texts never
+the cache is full, then it begins anew.  Neither tier changes a count.  Texts never
 leave their task; what is shuffled are the counted words of the sample.
 
 A model whose pieces reach across those places, or which rewrites texts, is asked for
@@ -26,7 +26,7 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of
+from .common import checkpointed, text_of
 
 #: Rows (about) whose words fill the table, words in it and characters of each: the bounds of what is broadcast.
 SAMPLE_ROWS, TABLE_WORDS, WORD_CHARS = 20_000, 65_536, 48
@@ -130,8 +130,15 @@ def frequent(docs: DataFrame, model: bytes, text_col: str = "text", sample_rows:
     rows = docs.select(text_of(text_col).alias("text"))
     rows = rows.sample(sample_rows / n, seed=1) if n > sample_rows else rows
     words = rows.mapInPandas(lambda b: _counted(b, bare, table_words), "word string, tokens long, n long")
-    top = words.groupBy("word", "tokens").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(table_words).select("word", "tokens").collect()
-    top = [(w, k) for w, k in top if k < 256]
+    counted = checkpointed(words.groupBy("word", "tokens").agg(F.sum("n").alias("n")).filter("n > 1 and tokens < 256"))
+    # the least number of occurrences with which all words fit in the table, so that the driver gets no more
+    least, room = 2, table_words
+    for n, k in sorted(counted.groupBy("n").agg(F.count("*").alias("k")).collect(), reverse=True):
+        room -= k
+        if room < 0:
+            least = n + 1
+            break
+    top = counted.filter(F.col("n") >= least).select("word", "tokens").collect()
     return Table(model, " ".join(w for w, _ in top), bytes(k for _, k in top), False)
 
 

@@ -51,7 +51,7 @@ def test_very_long_texts(spark, library):
 
 def test_table(docs, model):
     t = tokens.frequent(docs, model, table_words=50)
-    assert len(t.words.split(" ")) == len(t.lengths) == 50 and not t.whole
+    assert 10 < len(t.words.split(" ")) == len(t.lengths) <= 50 and not t.whole
 
 
 def test_models_that_reach_across(model):
