@@ -49,9 +49,13 @@ def int_or(value: Column, default: Column | int) -> Column:
     return F.coalesce(value.cast("string").try_cast("int"), default if isinstance(default, Column) else F.lit(default))
 
 
+#: What counts as white space at the ends of texts.
+WHITE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
 def strip(text: Column) -> Column:
-    """Without white space of any kind at both ends."""
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    """Without white space of any kind at both ends; only the ends are looked at."""
+    return F.btrim(text, F.lit(WHITE))
 
 
 def tidy(text: Column) -> Column:
@@ -64,19 +68,28 @@ def user_prompt(template: str, record: Column, mark: str = "{{HANDOFF_ROW_JSON}}
     return F.replace(F.lit(template), F.lit(mark), F.to_json(record, {"ignoreNullFields": "false"}))
 
 
-def unfenced(reply: Column) -> Column:
+def unfenced(reply: Column, stripped: bool = False) -> Column:
     """A reply without the fence of backticks around it (V2)."""
     fence = r"(?s)^\x60{3}[^\n]*\n(.*)\n\s*\x60{3}\s*$"
-    t = strip(reply)
-    return F.when(t.rlike(fence), F.regexp_extract(t, fence, 1)).otherwise(t)
+    t = reply if stripped else strip(reply)
+    return F.when(t.startswith("`" * 3) & t.rlike(fence), strip(F.regexp_extract(t, fence, 1))).otherwise(t)
 
 
 def json_object_in(text: Column) -> Column:
     """From the first { to the last } (V3)."""
-    return F.regexp_extract(text, r"(?s)\{.*\}", 0)
+    return F.when(text.startswith("{") & text.endswith("}"), text).otherwise(F.regexp_extract(text, r"(?s)\{.*\}", 0))
+
+
+def json_in_list(text: Column) -> Column:
+    """A list of what a text says in JSON, as a variant, else null: the parser alone stops after the first value."""
+    return F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+
+
+def only_value(values: Column) -> Column:
+    """The value of a list of one, else null."""
+    return F.when(F.try_variant_get(values, "$[1]", "variant").isNull(), F.try_variant_get(values, "$[0]", "variant"))
 
 
 def whole_json(text: Column) -> Column:
-    """A text that is one JSON value and nothing more, as a variant, else null (V4); the parser alone stops after the first value."""
-    held = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
-    return F.when(F.try_variant_get(held, "$[1]", "variant").isNull(), F.try_variant_get(held, "$[0]", "variant"))
+    """A text that is one JSON value and nothing more, as a variant, else null (V4)."""
+    return only_value(json_in_list(text))

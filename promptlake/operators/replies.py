@@ -9,19 +9,20 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import json_object_in, strip, unfenced, user_prompt, whole_json
+from ..functions.text import json_in_list, json_object_in, only_value, strip, unfenced, user_prompt
 from ..rules import COMMENT_TAGS, CONFIDENCES, ENGINES, MODALITIES, PROMPT_TYPES
 from ..schemas import PROMPT
 
 #: What of a hand-off record a model sees.
-SHOWN = ("post_id", "prompt_social_media", "content_type", "slide_total", "slide_count_found", "source_images", "slides", "ocr_text_combined_raw")
+SHOWN = ("post_id", "prompt_social_media", "content_type", "slide_total", "slide_count_found", "slides", "ocr_text_combined_raw", "availability_status")
 TOP_KEYS = ("post_id", "prompt_social_media", "content_type", "carrousel_title", "prompt_count_detected", "prompts")
 _TEXTS, _LISTS = ("prompt_text_raw", "prompt_text_clean"), ("target_engine", "output_modality", "comments")
 
 
 def with_prompts(handoff: DataFrame, template: str) -> DataFrame:
-    """The user prompt of each record (V1)."""
-    return handoff.withColumn("user_prompt", user_prompt(template, F.struct(*[c for c in SHOWN if c in handoff.columns])))
+    """The user prompt of each record, with what a model is to see of it; fields that the records lack are null (V1)."""
+    shown = [F.col(c) if c in handoff.columns else F.lit(None).cast("string").alias(c) for c in SHOWN]
+    return handoff.withColumn("user_prompt", user_prompt(template, F.struct(*shown)))
 
 
 def call_model(records: DataFrame, model: Callable[[str], str], tasks: int | None = None, retries: int = 2, wait: float = 0.0) -> DataFrame:
@@ -52,69 +53,92 @@ def _kind(v: Column, path: str) -> Column:
     return F.schema_of_variant(F.try_variant_get(v, path, "variant"))
 
 
-def _prompt_errors(p: Column) -> Column:
-    """What is wrong with a prompt object (V5)."""
-    kind = lambda k: _kind(p, f"$.{k}")
-    text = lambda k: F.coalesce(F.try_variant_get(p, f"$.{k}", "string"), F.lit(""))
+def _once(df: DataFrame, **columns: Column) -> DataFrame:
+    """``df`` with columns that are computed once: the optimizer inlines no generator into what uses them."""
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(k) for k, c in columns.items()]))))
+
+
+_DEFAULTS = {"extraction_confidence": ("medium", "STRING"), "extraction_confidence_score": (50, "BIGINT")}
+_KEYS = ("prompt_carrousel_page_num", "prompt_title", "prompt_date", *_TEXTS, "prompt_type", *_LISTS, *_DEFAULTS)
+_NUMBERS = ("BIGINT", "DOUBLE", "FLOAT")
+
+
+def _looked_at(p: Column) -> Column:
+    """One look at an element of prompts: the type of each field, the two texts, and all fields as they should be."""
+    return F.struct(
+        F.coalesce(F.schema_of_variant(p).startswith("OBJECT"), F.lit(False)).alias("is_object"), F.struct(*[_kind(p, f"$.{k}").alias(k) for k in _KEYS]).alias("kind"),
+        *[F.try_variant_get(p, f"$.{k}", "string").alias(k) for k in _TEXTS], F.try_variant_get(p, "$", PROMPT).alias("typed"),
+    )
+
+
+def _says(x: Column, k: str) -> Column:
+    """Whether a text field says anything: zeros, false, and empty lists and objects don't, other values that are no texts do."""
+    kind, text = x["kind"][k], x[k]
+    number = kind.isin(*_NUMBERS) | kind.startswith("DECIMAL")
+    return F.coalesce(
+        F.when(kind == "STRING", strip(text) != "").when(kind == "BOOLEAN", text == "true").when(number, text.try_cast("double") != 0)
+        .when(kind.startswith("ARRAY"), text.isNull() | (text != "[]")).when(kind.startswith("OBJECT"), kind != "OBJECT<>").otherwise(kind != "VOID"), F.lit(False),
+    )
+
+
+def _prompt_errors(x: Column) -> Column:
+    """What is wrong with a prompt object (V5).  Truth values are whole numbers, as models write them."""
+    kind, typed = (lambda k: x["kind"][k]), x["typed"]
     or_null = lambda k: kind(k).isin("STRING", "VOID")
-    level = F.when(kind("extraction_confidence").isNull(), "medium").when(kind("extraction_confidence") == "STRING", text("extraction_confidence"))
-    score = F.when(kind("extraction_confidence_score").isNull(), 50).when(kind("extraction_confidence_score") == "BIGINT", F.try_variant_get(p, "$.extraction_confidence_score", "long"))
+    whole = lambda k: kind(k).isin("BIGINT", "BOOLEAN") & typed[k].isNotNull()
+    texts = lambda k: kind(k).isin("ARRAY<STRING>", "ARRAY<VOID>") & ~F.exists(typed[k], lambda t: t.isNull())
+    level, score = "extraction_confidence", "extraction_confidence_score"
     checks = [
         *[(or_null(k), f"{k} must be a string or null") for k in ("prompt_title", "prompt_date")],
-        (kind("prompt_carrousel_page_num") == "BIGINT", "prompt_carrousel_page_num must be a whole number"),
-        *[((kind(k) == "STRING") & (strip(text(k)) != ""), f"{k} must be a string with text") for k in _TEXTS],
+        (whole("prompt_carrousel_page_num"), "prompt_carrousel_page_num must be a whole number"),
+        *[((kind(k) == "STRING") & (strip(x[k]) != ""), f"{k} must be a string with text") for k in _TEXTS],
         (kind("prompt_type") == "STRING", "prompt_type must be a string"),
-        *[(kind(k).isin("ARRAY<STRING>", "ARRAY<VOID>"), f"{k} must be a list of strings") for k in _LISTS],
-        (level.isin(list(CONFIDENCES)), "extraction_confidence must be high, medium or low"),
-        (score.between(0, 100), "extraction_confidence_score must be a whole number from 0 to 100"),
+        *[(texts(k), f"{k} must be a list of strings") for k in _LISTS],
+        (kind(level).isNull() | (kind(level) == "STRING") & typed[level].isin(list(CONFIDENCES)), "extraction_confidence must be high, medium or low"),
+        (kind(score).isNull() | whole(score) & typed[score].between(0, 100), "extraction_confidence_score must be a whole number from 0 to 100"),
     ]
     return F.array_compact(F.array(*[F.when(~F.coalesce(ok, F.lit(False)), F.lit(said)) for ok, said in checks]))
 
 
-def _once(df: DataFrame, **columns: Column) -> DataFrame:
-    """``df`` with columns that are computed once: the optimizer inlines no generator into what uses them."""
-    return df.select("*", F.inline(F.array(F.struct(*[c.alias(k) for k, c in columns.items()]))))
-
-
-def _prompt_facts(p: Column) -> Column:
-    """Whether an element is an object with text in both fields, its errors, and its fields with defaults."""
-    text = lambda k: strip(F.coalesce(F.try_variant_get(p, f"$.{k}", "string"), F.lit("")))
-    counts = F.coalesce(F.schema_of_variant(p).startswith("OBJECT"), F.lit(False)) & (text(_TEXTS[0]) != "") & (text(_TEXTS[1]) != "")
-    return F.struct(counts.alias("counts"), F.when(counts, _prompt_errors(p)).alias("errors"), F.when(counts, F.from_json(F.to_json(p), PROMPT)).alias("typed"))
+def _filled(x: Column) -> Column:
+    """The fields of a prompt, with the defaults of those that are missing."""
+    typed = x["typed"]
+    return F.struct(*[(F.coalesce(typed[k], F.lit(_DEFAULTS[k][0])) if k in _DEFAULTS else typed[k]).alias(k) for k in _KEYS])
 
 
 def judged(replies: DataFrame, social_media: str = "instagram") -> DataFrame:
     """Replies (post_id, content_type, raw_reply) with their errors (none: valid) and what a valid one says.
 
-    One parse and one pass, for callers that want both kinds.  Prompts that are no
-    objects or lack text are left out; any other bad prompt fails its post.  Identity
-    comes from the row, not from the reply.
+    One parse and one look at each prompt, for callers that want both kinds.  Prompts that
+    are no objects or say nothing in one of their texts are left out; any other bad prompt
+    fails its post.  Identity comes from the row, not from the reply.
     """
     v = F.col("_v")
-    r = _once(replies.select("post_id", "content_type", "raw_reply"), _v=whole_json(json_object_in(unfenced(F.coalesce("raw_reply", F.lit(""))))))
+    r = _once(replies.select("post_id", "content_type", "raw_reply"), _text=strip(F.coalesce("raw_reply", F.lit(""))))
+    r = _once(r, _json=unfenced(F.col("_text"), stripped=True))
+    r = _once(r, _list=json_in_list(json_object_in(F.col("_json"))))
+    r = _once(r, _v=only_value(F.col("_list")))
     r = _once(
         r,
         _is=F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False)),
         _kinds=F.struct(*[_kind(v, f"$.{k}").alias(k) for k in TOP_KEYS]),
         _title=F.try_variant_get(v, "$.carrousel_title", "string"),
-        _facts=F.filter(F.transform(F.try_variant_get(v, "$.prompts", "array<variant>"), _prompt_facts), lambda x: x["counts"]),
+        _seen=F.transform(F.try_variant_get(v, "$.prompts", "array<variant>"), _looked_at),
     )
+    r = _once(r, _said=F.filter("_seen", lambda x: x["is_object"] & _says(x, _TEXTS[0]) & _says(x, _TEXTS[1])))
     kind = lambda k: F.col(f"_kinds.{k}")
     wrong = lambda k, ok, said: F.when(F.col("_is") & kind(k).isNotNull() & ~ok, F.lit(said))
     top = [
         F.when(~F.col("_is"), F.lit("not a JSON object")),
         *[F.when(F.col("_is") & kind(k).isNull(), F.lit(f"missing key {k}")) for k in TOP_KEYS],
         wrong("carrousel_title", kind("carrousel_title").isin("STRING", "VOID"), "carrousel_title must be a string or null"),
-        wrong("prompt_count_detected", kind("prompt_count_detected") == "BIGINT", "prompt_count_detected must be a whole number"),
+        wrong("prompt_count_detected", kind("prompt_count_detected").isin("BIGINT", "BOOLEAN"), "prompt_count_detected must be a whole number"),
         wrong("prompts", kind("prompts").startswith("ARRAY"), "prompts must be a list"),
     ]
-    r = _once(r, errors=F.concat(F.array_compact(F.array(*top)), F.coalesce(F.flatten(F.transform("_facts", lambda x: x["errors"])), F.array().cast("array<string>"))))
-    defaults = {"extraction_confidence": F.lit("medium"), "extraction_confidence_score": F.lit(50)}
-    names = ("prompt_carrousel_page_num", "prompt_title", "prompt_date", *_TEXTS, "prompt_type", *_LISTS, *defaults)
-    fill = lambda s: F.struct(*[(F.coalesce(s[k], defaults[k]) if k in defaults else s[k]).alias(k) for k in names])
+    r = _once(r, errors=F.concat(F.array_compact(F.array(*top)), F.coalesce(F.flatten(F.transform("_said", _prompt_errors)), F.array().cast("array<string>"))))
     return r.select(
         "post_id", F.lit(social_media).alias("prompt_social_media"), "content_type", F.col("_title").alias("carrousel_title"),
-        F.size("_facts").alias("prompt_count_detected"), F.transform("_facts", lambda x: fill(x["typed"])).alias("prompts"), "errors", "raw_reply",
+        F.size("_said").alias("prompt_count_detected"), F.transform("_said", _filled).alias("prompts"), "errors", "raw_reply",
     )
 
 

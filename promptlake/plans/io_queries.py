@@ -140,13 +140,10 @@ _HEAD, _TAIL = "Read this:\n", "\nand answer."
 
 
 def v1_user_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The prompt of each post, and what a model reads in it (V1)."""
+    """The whole prompt of each post (V1)."""
     records = hand_off(prepare(slides.group_posts(_slides(spark, sf_dir), PATTERNS)))
-    p = replies.with_prompts(records, _HEAD + "{{HANDOFF_ROW_JSON}}" + _TAIL).select("user_prompt")
-    body = F.expr(f"substring(user_prompt, {len(_HEAD) + 1}, length(user_prompt) - {len(_HEAD) + len(_TAIL)})")
-    seen = F.from_json(body, "post_id string, content_type string, slide_total int, slides array<struct<slide_index:int>>, ocr_text_combined_raw string")
-    framed = F.col("user_prompt").startswith(_HEAD) & F.col("user_prompt").endswith(_TAIL)
-    return p.select(framed.alias("framed"), seen.alias("r")).select("framed", "r.post_id", "r.content_type", "r.slide_total", F.size("r.slides").alias("n_slides"), F.md5("r.ocr_text_combined_raw").alias("text_md5"))
+    p = replies.with_prompts(records, _HEAD + "{{HANDOFF_ROW_JSON}}" + _TAIL)
+    return p.select("post_id", F.length("user_prompt").alias("n_chars"), F.md5("user_prompt").alias("prompt_md5"))
 
 
 def v7_strict_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -236,7 +233,11 @@ ORACLE_SQL = {
     "m9_mail_discovery": f"{_FOUND_SQL} SELECT url, 'Página ' || min(page_id) AS source_subject, '2023-01-02T01:04:05+00:00' AS email_datetime, 'pending' AS status FROM social GROUP BY url",
     "s7_image_texts": """SELECT '/shots/c' || conv_id || '_slide_' || lpad((turn + 1)::VARCHAR, 2, '0') || '_of_99.png' AS source_image, (turn + 1)::INTEGER AS slide_index, 'top_55_percent' AS ocr_region,
         md5(CASE WHEN bad THEN '' ELSE coalesce(text, '') END) AS text_md5, CASE WHEN bad THEN 'error' ELSE 'ok' END AS ocr_status, CASE WHEN bad THEN 'unreadable' ELSE '' END AS error FROM (SELECT *, strlen(coalesce(text, '')) % 5 = 0 AS bad FROM conversations)""",
-    "v1_user_prompts": f"{_POSTS_SQL} SELECT true AS framed, post_id, content_type, slide_total, slide_count_found AS n_slides, md5(combined) AS text_md5 FROM shown WHERE availability_status = 'available'",
+    "v1_user_prompts": f"""{_POSTS_SQL}, listed AS (SELECT post_id, list({{'slide_index': (turn + 1)::INTEGER, 'slide_filename': 'slide_' || printf('%02d', turn + 1) || '.png', 'source_image': '/' || conv_id || '/' || turn || '.png', 'ocr_text_raw': t}} ORDER BY turn) AS slides
+            FROM rows WHERE (conv_id + turn) % 97 <> 0 GROUP BY post_id),
+        prompts AS (SELECT post_id, '{_HEAD}' || to_json({{'post_id': post_id, 'prompt_social_media': 'instagram', 'content_type': content_type, 'slide_total': slide_total, 'slide_count_found': slide_count_found, 'slides': slides,
+            'ocr_text_combined_raw': combined, 'availability_status': availability_status}})::VARCHAR || '{_TAIL}' AS p FROM shown JOIN listed USING (post_id) WHERE availability_status = 'available')
+        SELECT post_id, length(p)::INTEGER AS n_chars, md5(p) AS prompt_md5 FROM prompts""",
     "v7_strict_errors": """SELECT doc_id, concat_ws(',', CASE WHEN lang = 'en' THEN NULL ELSE 'prompt_type' END, CASE WHEN source NOT IN ('chat', 'text', 'image', 'video', 'sound', 'music', 'presentation', 'code', 'spreadsheet', 'formula', 'chart', 'report', 'app_code') THEN 'output_modality' END,
         CASE WHEN length(text) > 500 THEN 'target_engine' END, CASE WHEN quality < 1 THEN 'prompt_carrousel_page_num' END) AS strict_errors FROM documents LEFT JOIN labels USING (doc_id)""",
     "v9_model_calls": """SELECT doc_id::VARCHAR AS post_id, CASE WHEN length(coalesce(text, '')) > 2000 THEN '' ELSE md5(coalesce(text, '')) END AS raw_reply, CASE WHEN length(coalesce(text, '')) > 2000 THEN 'too long' ELSE '' END AS call_error,

@@ -225,7 +225,12 @@ def s1_post_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _links(spark, sf_dir).select(_P, post_id_of(F.col("link")).alias("post_id"), content_type_of(F.col("link")).alias("content_type"))
 
 
-_REPLY_KINDS = 8
+#: Replies are damaged by doc_id modulo this: see ``_replies``.
+_REPLY_KINDS = 16
+_RAW, _CLEAN = "@raw@", "@clean@"
+#: What stands in a reply of a kind instead of what would, as JSON.
+_INSTEAD = {8: ('"target_engine":["all_models"]', '"target_engine":[null]'), 9: ('"comments":["PROMPT_EXTRACTED"]', '"comments":["a",null]'), 10: (f'"{_RAW}"', "0"), 11: ('"prompt_carrousel_page_num":1', '"prompt_carrousel_page_num":true'),
+            12: ('"prompt_count_detected":7', '"prompt_count_detected":false'), 13: (f'"{_RAW}"', "false"), 14: (f'"{_CLEAN}"', "5"), 15: ('"prompt_carrousel_page_num":1', '"prompt_carrousel_page_num":1.0')}
 
 
 def _replies(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -233,12 +238,14 @@ def _replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = _table(spark, sf_dir, "documents").join(_table(spark, sf_dir, "labels"), "doc_id", "left")
     kind, text = F.col("doc_id") % _REPLY_KINDS, F.coalesce("text", F.lit(""))
     prompt = F.struct(
-        F.when(kind != 5, F.lit(1)).alias("prompt_carrousel_page_num"), F.when(kind == 5, "1").alias("page_text"), F.lit("t").alias("prompt_title"), F.lit("d").alias("prompt_date"), text.alias("prompt_text_raw"),
-        F.when(kind == 6, " ").otherwise(text).alias("prompt_text_clean"), F.lit("Learning_Aid").alias("prompt_type"), F.array(F.lit("all_models")).alias("target_engine"), F.array(F.lit("chat")).alias("output_modality"),
+        F.when(kind != 5, F.lit(1)).alias("prompt_carrousel_page_num"), F.when(kind == 5, "1").alias("page_text"), F.lit("t").alias("prompt_title"), F.lit("d").alias("prompt_date"),
+        F.when(kind.isin(10, 13), _RAW).otherwise(text).alias("prompt_text_raw"), F.when(kind == 6, " ").when(kind == 14, _CLEAN).otherwise(text).alias("prompt_text_clean"), F.lit("Learning_Aid").alias("prompt_type"), F.array(F.lit("all_models")).alias("target_engine"), F.array(F.lit("chat")).alias("output_modality"),
         F.array(F.lit("PROMPT_EXTRACTED")).alias("comments"), F.when(kind != 7, F.when(F.col("quality") == 1, "high").otherwise("low")).alias("extraction_confidence"), F.when(kind != 7, F.lit(80)).alias("extraction_confidence_score"),
     )
     reply = F.to_json(F.struct(F.lit("other").alias("post_id"), F.lit("instagram").alias("prompt_social_media"), F.lit("post").alias("content_type"), F.when(kind != 4, "c").alias("carrousel_title"), F.lit(7).alias("prompt_count_detected"), F.array(prompt).alias("prompts")))
     reply = F.replace(reply, F.lit('"page_text"'), F.lit('"prompt_carrousel_page_num"'))
+    part = lambda i: F.coalesce(*[F.when(kind == k, F.lit(x[i])) for k, x in _INSTEAD.items()], F.lit('"page_text"'))
+    reply = F.replace(reply, part(0), part(1))
     fence = "`" * 3
     reply = F.when(kind == 1, F.concat(F.lit(f"{fence}json\n"), reply, F.lit(f"\n{fence}"))).when(kind == 2, F.concat(F.lit("Sure! "), reply, F.lit(" hope it helps"))).when(kind == 3, F.lit("no JSON {")).otherwise(reply)
     return d.select(F.col("doc_id").cast("string").alias("post_id"), F.lit("post").alias("content_type"), reply.alias("raw_reply"))
@@ -310,7 +317,8 @@ _MERGE_SQL = f"""WITH d AS (SELECT doc_id || '__p1' AS prompt_unique_id, length(
     m AS (SELECT prompt_unique_id, n AS prompt_size_chars, text_md5, CASE WHEN new THEN 'new2' ELSE 'old' END AS record_status, CASE WHEN old THEN 'kept' ELSE '' END AS note,
         CASE WHEN old THEN '2024-01-01' ELSE '2024-06-01' END AS created_at, CASE WHEN new THEN '2024-06-01' ELSE '2024-01-01' END AS updated_at,
         CASE WHEN new AND old THEN 'updated' WHEN new THEN 'inserted' ELSE 'kept' END AS action FROM d)"""
-_POST = "text_md5, availability_status, all_ocr_status_ok"
+#: Kinds of replies whose prompt is valid.
+_GOOD = (0, 1, 2, 7, 11, 12)
 
 ORACLE_SQL = {
     "u10_canonical_urls": f"{_CANON_SQL} SELECT page_id, normalized_url, notes FROM canon",
@@ -336,11 +344,11 @@ ORACLE_SQL = {
         SELECT conv_id, turn, CASE WHEN turn = 7 THEN 'r' || conv_id ELSE 'c' || conv_id END AS post_id, CASE WHEN turn = 7 THEN 'reel_or_single' ELSE 'post' END AS content_type,
             CASE WHEN turn = 7 THEN 'r' || conv_id || '.png' ELSE printf('c%d_slide_%02d_of_%02d.png', conv_id, turn + 1, total) END AS slide_filename,
             CASE WHEN turn = 7 THEN 1 ELSE (turn + 1)::INTEGER END AS slide_index, CASE WHEN turn = 7 THEN 1 ELSE total::INTEGER END AS slide_total FROM s""",
-    "v6_valid_replies": """SELECT doc_id::VARCHAR AS post_id, CASE WHEN doc_id % 8 IN (3, 4) OR doc_id % 8 = 5 AND t THEN 'failed' ELSE 'valid' END AS verdict, CASE WHEN doc_id % 8 IN (0, 1, 2, 7) AND t THEN 1 ELSE 0 END AS n_prompts,
-        CASE WHEN NOT t THEN '' WHEN doc_id % 8 = 7 THEN 'medium' WHEN doc_id % 8 IN (0, 1, 2) THEN CASE WHEN quality = 1 THEN 'high' ELSE 'low' END ELSE '' END AS confidence
-        FROM (SELECT d.doc_id, quality, regexp_matches(coalesce(text, ''), '[^\\s]') AS t FROM documents d LEFT JOIN labels l USING (doc_id))""",
-    "e1_flat_prompts": """SELECT doc_id || '__p1' AS prompt_unique_id, md5(text) AS clean_md5, length(text)::INTEGER AS prompt_size_chars, CASE WHEN doc_id % 8 = 7 THEN 'medium' WHEN quality = 1 THEN 'high' ELSE 'low' END AS extraction_confidence,
-        'all_models' AS target_engine, 'active' AS record_status, 'all_models' AS model FROM documents LEFT JOIN labels USING (doc_id) WHERE doc_id % 8 IN (0, 1, 2, 7) AND regexp_matches(coalesce(text, ''), '[^\\s]')""",
+    "v6_valid_replies": f"""SELECT doc_id::VARCHAR AS post_id, CASE WHEN kind IN (3, 4) OR kind IN (5, 8, 9, 14, 15) AND t THEN 'failed' ELSE 'valid' END AS verdict, CASE WHEN kind IN {_GOOD} AND t THEN 1 ELSE 0 END AS n_prompts,
+        CASE WHEN kind NOT IN {_GOOD} OR NOT t THEN '' WHEN kind = 7 THEN 'medium' WHEN quality = 1 THEN 'high' ELSE 'low' END AS confidence
+        FROM (SELECT d.doc_id, d.doc_id % {_REPLY_KINDS} AS kind, quality, regexp_matches(coalesce(text, ''), '[^\\s]') AS t FROM documents d LEFT JOIN labels l USING (doc_id))""",
+    "e1_flat_prompts": f"""SELECT doc_id || '__p1' AS prompt_unique_id, md5(text) AS clean_md5, length(text)::INTEGER AS prompt_size_chars, CASE WHEN doc_id % {_REPLY_KINDS} = 7 THEN 'medium' WHEN quality = 1 THEN 'high' ELSE 'low' END AS extraction_confidence,
+        'all_models' AS target_engine, 'active' AS record_status, 'all_models' AS model FROM documents LEFT JOIN labels USING (doc_id) WHERE doc_id % {_REPLY_KINDS} IN {_GOOD} AND regexp_matches(coalesce(text, ''), '[^\\s]')""",
     "v8_violations": """SELECT doc_id || '__p1' AS prompt_unique_id, array_to_string(list_filter([CASE WHEN coalesce(text, '') = '' THEN 'prompt_text_original' END, CASE WHEN doc_id % 7 = 0 OR coalesce(text, '') = '' THEN 'prompt_text_clean' END,
         CASE WHEN doc_id % 5 = 0 THEN 'prompt_type' END, CASE WHEN text IS NULL THEN 'prompt_size_chars' END], lambda x: x IS NOT NULL), ',') AS violations FROM documents""",
     "l1_upsert": f"{_MERGE_SQL} SELECT * FROM m",

@@ -109,7 +109,10 @@ def reply(prompt=None, drop=(), **top):
 REPLIES = {
     "ok": (reply(), 1), "fence": (f"```json\n{reply()}\n```", 1), "prose": (f"Sure! {reply()} hope it helps", 1), "two": (f"{reply()} and {reply()}", None), "no_title": (reply(drop=["carrousel_title"]), None), "none": (reply(prompts=[]), 0),
     "blank": (reply(prompts=[PROMPT | {"prompt_text_clean": " "}, PROMPT, 5]), 1), "defaults": (reply(drop=["extraction_confidence", "extraction_confidence_score"]), 1), "text_score": (reply({"extraction_confidence_score": "80"}), None),
-    "real_score": (reply({"extraction_confidence_score": 80.5}), None), "big_score": (reply({"extraction_confidence_score": 101}), None), "bool_page": (reply({"prompt_carrousel_page_num": True}), None), "null_level": (reply({"extraction_confidence": None}), None),
+    "real_score": (reply({"extraction_confidence_score": 80.5}), None), "big_score": (reply({"extraction_confidence_score": 101}), None), "bool_page": (reply({"prompt_carrousel_page_num": True}), 1), "bool_count": (reply(prompt_count_detected=False), 1), "bool_score": (reply({"extraction_confidence_score": True}), 1), "real_page": (reply({"prompt_carrousel_page_num": 1.0}), None), "big_page": (reply({"prompt_carrousel_page_num": 1 << 40}), None),
+    "null_in_list": (reply({"target_engine": [None]}), None), "null_after": (reply({"comments": ["a", None]}), None), "empty_lists": (reply({"target_engine": [], "comments": [], "output_modality": []}), 1), "list_in_list": (reply({"comments": [["a"]]}), None), "text_for_list": (reply({"comments": "a"}), None), "null_list": (reply({"comments": None}), None),
+    **{f"says_nothing_{i}": (reply({"prompt_text_raw": x}), 0) for i, x in enumerate((0, 0.0, -0.0, False, [], {}, None, "", " \x1f\xa0\u2003\n"))}, **{f"no_text_{i}": (reply({"prompt_text_clean": x}), None) for i, x in enumerate((5, 0.5, True, [0], [None], {"a": None}))}, "missing_text": (reply(drop=["prompt_text_raw"]), 0),
+    "level_list": (reply({"extraction_confidence": ["high"]}), None), "count_text": (reply(prompt_count_detected="1"), None), "prompts_object": (reply(prompts={}), None), "prompts_null": (reply(prompts=None), None), "title_number": (reply(carrousel_title=5), None), "no_braces": ("} {", None), "fenced_prose": (f"```\nSo: {reply()}\n```", 1), "null_level": (reply({"extraction_confidence": None}), None),
     "mixed_list": (reply({"comments": ["a", 1]}), None), "words": ("not JSON", None), "null": (None, None), "list": ("[1]", None),
 }
 
