@@ -10,8 +10,8 @@
    together: by their most frequent token, large groups split by a hash.
 3. Candidates.  Under every order of tokens, two sets with a Jaccard similarity of at
    least t share a token among the first n - ceil(t n) + 1 of each.  The first order
-   goes by frequency, the rarest first; the next two by a few bands of frequency and,
-   inside them, by hashes of their own; the last by a hash alone (after the tokens of one
+   goes by frequency, the rarest first; the next two by hashes of their own, tokens of
+   very many sets after all others; the last by a hash alone (after the tokens of one
    set only).  Two blocks meet if prefixes of theirs share a token under each of the
    first three orders (tokens of very many sets hardly get into those); in them, a pair is
    verified if it passes the filters of all orders, the size filter, and isn't in one
@@ -268,8 +268,8 @@ class Block:
         self.prefix = [[_prefix(t, d, int(n), k) for t, d, n in zip(self.tok, self.df, self.n, strict=True)] for k in range(orders)]
 
 
-#: Frequency classes at which a band of the middle orders begins.
-_BANDS = (4, 16, 64, 200, 208, 224)
+#: Frequency from which a token goes to the second band of the middle orders.
+_COMMON = 128
 
 
 def _prefix(tok: np.ndarray, df: np.ndarray, n: int, k: int) -> np.ndarray:
@@ -279,7 +279,7 @@ def _prefix(tok: np.ndarray, df: np.ndarray, n: int, k: int) -> np.ndarray:
     if k == 0:
         order = np.lexsort((h, df))
     elif k < BLOCK_ORDERS:
-        order = np.lexsort((h, np.digitize(df, _BANDS)))
+        order = np.lexsort((h, df >= _COMMON))
     else:
         order = np.argsort(h)
     return tok[order[:length]]

@@ -337,6 +337,24 @@ def test_jaccard(spark, docs, rows, empty, block, monkeypatch):
     assert jaccard.jaccard_components(empty).count() == 0
 
 
+def test_jaccard_orders_prune():
+    """Of unrelated sets over tokens of widely spread frequencies, far fewer share prefix tokens under all orders than under one."""
+    import numpy as np
+
+    r = np.random.default_rng(7)
+    names = r.integers(1, 1 << 62, 3000, dtype=np.uint64)
+    often = 1 / np.arange(1, 3001) ** 0.7
+    sets = [np.unique(r.choice(names, 60, p=often / often.sum())) for _ in range(250)]
+    held, count = np.unique(np.concatenate(sets), return_counts=True)
+    df = dict(zip(held.tolist(), jaccard.frequency_class(count).tolist(), strict=True))
+    prefixes = [[set(jaccard._prefix(s, np.array([df[int(t)] for t in s], dtype=np.uint8), len(s), k).tolist()) for k in range(jaccard.ORDERS)] for s in sets]
+    pairs = [(x, y) for i, x in enumerate(prefixes) for y in prefixes[:i]]
+    alone = [sum(bool(x[k] & y[k]) for x, y in pairs) for k in range(jaccard.ORDERS)]
+    meeting = sum(all(x[k] & y[k] for k in range(jaccard.BLOCK_ORDERS)) for x, y in pairs)
+    every = sum(all(x[k] & y[k] for k in range(jaccard.ORDERS)) for x, y in pairs)
+    assert every <= meeting < 0.5 * min(alone[: jaccard.BLOCK_ORDERS]) and min(alone) > 100
+
+
 def test_jaccard_orders():
     """Sets that are near share a prefix token under every order, and the orders' prefixes differ."""
     import numpy as np
