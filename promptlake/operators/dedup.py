@@ -38,7 +38,12 @@ def url_queue(messages: DataFrame) -> DataFrame:
     return first.select("url", F.col("message_id").alias("source_message_id"), F.col("subject").alias("source_subject"), "email_datetime", "gmail_query", F.lit("pending").alias("status"), F.struct("message_ord", "message_id", "pos").alias("seq"))
 
 
+def normalized_rows(queue: DataFrame, **how) -> DataFrame:
+    """Every row of a queue with its normalised URL, those without one left out."""
+    n = normalize(queue.withColumnRenamed("url", "original_url"), "original_url", **how).filter(F.coalesce("normalized_url", F.lit("")) != "")
+    return n.withColumn("status", F.lit("pending"))
+
+
 def normalized_queue(queue: DataFrame, order: list[str], **how) -> DataFrame:
     """Normalised URLs, each once, with the first row that leads to it."""
-    n = normalize(queue.withColumnRenamed("url", "original_url"), "original_url", **how).filter(F.coalesce("normalized_url", F.lit("")) != "")
-    return first_wins(n.withColumn("status", F.lit("pending")), "normalized_url", order)
+    return first_wins(normalized_rows(queue, **how), "normalized_url", order)

@@ -16,11 +16,13 @@ from ..operators import classify as cl
 from ..operators import dedup, library, replies, slides
 from ..operators.handoff import hand_off, prepare
 from ..schemas import CLASSIFIED
-from ..sources import jsonl, media
+from ..sources import jsonl, keyed, media
 from ..sources.lines import lines_of, splits_of
+from ..streaming.first_wins import keep_first, use_rocksdb
 from ..streaming.incremental import load_stream, stream_of
 from .pipeline import MODES, remaining, run_stages
-from .queries import _BATCH, _FOUND_SQL, _FRESH, _LINK, _POSTS_SQL, _TEXT, PATTERNS, _classified_sql, _links, _slides, _table, scratch
+from .queries import ORACLE_SQL as _OWN_SQL
+from .queries import _BATCH, _FOUND_SQL, _FRESH, _LINK, _POSTS_SQL, _TEXT, PATTERNS, _classified_sql, _forms, _links, _queue_columns, _slides, _table, scratch
 
 _TURN = "conv_id long, turn int, role string, text string"
 
@@ -177,6 +179,21 @@ def x1_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.unionByName(rest)
 
 
+def u11_queue_over_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The queue of all addresses' forms when later rows come first: three runs of a stream, by form, from the last."""
+    folder, rows = scratch(spark, "runs"), _queue_columns(dedup.normalized_rows(_forms(spark, sf_dir)))
+    setting = "spark.sql.streaming.stateStore.providerClass"
+    old = spark.conf.get(setting)
+    use_rocksdb(spark)
+    try:
+        for run in ("variant = 3", "variant = 2", "variant < 2"):
+            rows.filter(run).write.mode("append").parquet(f"{folder}/in")
+            keep_first(stream_of(spark, f"{folder}/in", rows.schema, "parquet"), f"{folder}/table", f"{folder}/checkpoint", "normalized_url", ["page_id", "variant"], buckets=8)
+    finally:
+        spark.conf.set(setting, old)
+    return keyed.read(spark, f"{folder}/table")
+
+
 def x3_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents loaded by a stream, and all of them again by another."""
     folder, schema = scratch(spark, "reload"), _table(spark, sf_dir, "documents").schema
@@ -195,7 +212,7 @@ def l1_two_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = "coalesce(nullif(text, ''), '-')"
     rows = d.selectExpr("concat(doc_id, '__p1') AS prompt_unique_id", f"{text} AS prompt_text_original", f"{text} AS prompt_text_clean", "'Learning_Aid' AS prompt_type", "array('all_models') AS target_engine", "array('chat') AS output_modality",
                         "length(coalesce(text, '')) AS prompt_size_chars", "'' AS model", "text")
-    library.load(folder, rows.filter(f"NOT ({_FRESH})").drop("text").withColumns({"record_status": F.lit("old"), "note": F.lit("kept"), "seq": F.lit(0)}), ["seq"])
+    library.load(folder, rows.filter(f"NOT ({_FRESH})").drop("text").withColumns({"record_status": F.lit("old"), "note": F.lit("kept"), "seq": F.lit(0)}), ["seq"], buckets=16)
     twice = rows.filter(_BATCH).drop("text").withColumn("seq", F.explode(F.array(F.lit(1), F.lit(2)))).withColumn("record_status", F.concat(F.lit("new"), "seq"))
     library.load(folder, twice, ["seq"])
     moved = (F.col("updated_at") > F.col("created_at")).alias("moved")
@@ -210,7 +227,7 @@ def x4_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    r1_jsonl_round_trip, r3_lenient_lines, r3_line_numbers, w3_ready_rejected, w4_platform_queues, w6_filter_counts, m1_mail_parts, m9_mail_discovery, s7_image_texts, v1_user_prompts, v7_strict_errors, v9_model_calls, x1_modes, l1_two_loads, x3_reload, x4_run_summary,
+    r1_jsonl_round_trip, r3_lenient_lines, r3_line_numbers, w3_ready_rejected, w4_platform_queues, w6_filter_counts, m1_mail_parts, m9_mail_discovery, s7_image_texts, v1_user_prompts, v7_strict_errors, v9_model_calls, x1_modes, l1_two_loads, u11_queue_over_runs, x3_reload, x4_run_summary,
 )}
 
 _STATUS = "CASE WHEN filter_reason LIKE 'accepted%' THEN 'pending' ELSE 'rejected' END"
@@ -245,6 +262,7 @@ ORACLE_SQL = {
     "x1_modes": "SELECT 'CLEAN' AS mode, event_id, user_id FROM events UNION ALL SELECT 'INCREMENTAL', event_id, user_id FROM events WHERE user_id NOT IN (SELECT user_id FROM events WHERE event_type = 'purchase')",
     "l1_two_loads": f"""SELECT doc_id || '__p1' AS prompt_unique_id, md5(coalesce(nullif(text, ''), '-')) AS text_md5, length(coalesce(text, ''))::INTEGER AS prompt_size_chars, CASE WHEN {_BATCH} THEN 'new2' ELSE 'old' END AS record_status,
         CASE WHEN {_FRESH} THEN '' ELSE 'kept' END AS note, 'all_models' AS model, {_BATCH} AND NOT ({_FRESH}) AS moved FROM documents""",
+    "u11_queue_over_runs": _OWN_SQL["u11_normalized_queue"],
     "x3_reload": "SELECT doc_id || '__p1' AS prompt_unique_id, md5(coalesce(nullif(text, ''), '-')) AS text_md5, length(coalesce(text, ''))::INTEGER AS prompt_size_chars, 'second' AS record_status, 'all_models' AS model, true AS moved FROM documents",
     "x4_run_summary": f"""{_classified_sql()} SELECT 'links' AS stage, 'ok' AS status, count(*) AS n_rows, 'refused' AS failed_stage FROM judged
         UNION ALL SELECT 'accepted', 'ok', count(*), 'refused' FROM judged WHERE filter_reason LIKE 'accepted%' UNION ALL SELECT 'refused', 'failed', NULL, 'refused'""",

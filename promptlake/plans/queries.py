@@ -137,12 +137,19 @@ def a10_platform_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cl.platform_counts(c)
 
 
-def u11_normalized_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every page's address in four forms; the first of those that agree stays."""
+def _forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's address in four forms."""
     forms = ["url", "regexp_replace(url, '^https?', 'http')", "concat(regexp_replace(url, '#.*$', ''), CASE WHEN url LIKE '%?%' THEN '&' ELSE '?' END, 'utm_source=n')", "concat(regexp_replace(url, '[?#].*$', ''), '/')"]
-    queue = _table(spark, sf_dir, "pages").selectExpr("page_id", f"stack(4, {', '.join(f'{i}, {x}' for i, x in enumerate(forms))}) AS (variant, url)")
-    out = dedup.normalized_queue(queue, ["page_id", "variant"])
-    return out.select("normalized_url", "original_url", "page_id", "variant", F.array_join("normalization_notes", ",").alias("notes"), "status")
+    return _table(spark, sf_dir, "pages").selectExpr("page_id", f"stack(4, {', '.join(f'{i}, {x}' for i, x in enumerate(forms))}) AS (variant, url)")
+
+
+def _queue_columns(rows: DataFrame) -> DataFrame:
+    return rows.select("normalized_url", "original_url", "page_id", "variant", F.array_join("normalization_notes", ",").alias("notes"), "status")
+
+
+def u11_normalized_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of the forms of all addresses that agree the first stays."""
+    return _queue_columns(dedup.normalized_queue(_forms(spark, sf_dir), ["page_id", "variant"]))
 
 
 def m9_url_discovery(spark: SparkSession, sf_dir: str) -> DataFrame:
