@@ -18,6 +18,7 @@ from ..operators.handoff import hand_off, prepare
 from ..schemas import CLASSIFIED
 from ..sources import jsonl, keyed, media
 from ..sources.lines import lines_of, splits_of
+from ..sources.processed import ProcessedLog
 from ..streaming.first_wins import keep_first, use_rocksdb
 from ..streaming.incremental import load_stream, stream_of
 from .pipeline import MODES, remaining, run_stages
@@ -206,6 +207,20 @@ def x3_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.select("prompt_unique_id", F.md5("prompt_text_original").alias("text_md5"), "prompt_size_chars", "record_status", "model", (F.col("updated_at") > F.col("created_at")).alias("moved"))
 
 
+def j1_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs over one log in buckets: the second has all events, and does those that the first lacked or failed at."""
+    e = _table(spark, sf_dir, "events").select("event_id", "event_type")
+    log, out = ProcessedLog(spark, scratch(spark, "log"), "event_id", "long", buckets=16), []
+    status = F.when(F.col("event_id") % 50 == 0, "error").otherwise("ok").alias("status")
+    for run, queue in enumerate((e.filter("event_id % 3 <> 0"), e)):
+        folder = scratch(spark, "run")
+        log.lacks(queue, retry_errors=True).withColumn("run", F.lit(run)).write.parquet(folder)
+        done = spark.read.parquet(folder)
+        log.append(done.select("event_id", status))
+        out.append(done)
+    return out[0].unionByName(out[1]).select("run", "event_id", "event_type")
+
+
 def l1_two_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two loads into one table of buckets: by the length of its text a document comes with the first, the second (twice), or both (L1)."""
     folder, d = scratch(spark, "keyed"), _table(spark, sf_dir, "documents")
@@ -227,7 +242,7 @@ def x4_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    r1_jsonl_round_trip, r3_lenient_lines, r3_line_numbers, w3_ready_rejected, w4_platform_queues, w6_filter_counts, m1_mail_parts, m9_mail_discovery, s7_image_texts, v1_user_prompts, v7_strict_errors, v9_model_calls, x1_modes, l1_two_loads, u11_queue_over_runs, x3_reload, x4_run_summary,
+    r1_jsonl_round_trip, r3_lenient_lines, r3_line_numbers, w3_ready_rejected, w4_platform_queues, w6_filter_counts, m1_mail_parts, m9_mail_discovery, s7_image_texts, v1_user_prompts, v7_strict_errors, v9_model_calls, x1_modes, j1_two_runs, l1_two_loads, u11_queue_over_runs, x3_reload, x4_run_summary,
 )}
 
 _STATUS = "CASE WHEN filter_reason LIKE 'accepted%' THEN 'pending' ELSE 'rejected' END"
@@ -260,6 +275,7 @@ ORACLE_SQL = {
     "v9_model_calls": """SELECT doc_id::VARCHAR AS post_id, CASE WHEN length(coalesce(text, '')) > 2000 THEN '' ELSE md5(coalesce(text, '')) END AS raw_reply, CASE WHEN length(coalesce(text, '')) > 2000 THEN 'too long' ELSE '' END AS call_error,
         'semantic_extraction_agent::digest' AS semantic_producer, true AS timed FROM documents""",
     "x1_modes": "SELECT 'CLEAN' AS mode, event_id, user_id FROM events UNION ALL SELECT 'INCREMENTAL', event_id, user_id FROM events WHERE user_id NOT IN (SELECT user_id FROM events WHERE event_type = 'purchase')",
+    "j1_two_runs": "SELECT 0 AS run, event_id, event_type FROM events WHERE event_id % 3 <> 0 UNION ALL SELECT 1, event_id, event_type FROM events WHERE event_id % 3 = 0 OR event_id % 50 = 0",
     "l1_two_loads": f"""SELECT doc_id || '__p1' AS prompt_unique_id, md5(coalesce(nullif(text, ''), '-')) AS text_md5, length(coalesce(text, ''))::INTEGER AS prompt_size_chars, CASE WHEN {_BATCH} THEN 'new2' ELSE 'old' END AS record_status,
         CASE WHEN {_FRESH} THEN '' ELSE 'kept' END AS note, 'all_models' AS model, {_BATCH} AND NOT ({_FRESH}) AS moved FROM documents""",
     "u11_queue_over_runs": _OWN_SQL["u11_normalized_queue"],
