@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -81,21 +83,22 @@ def _assembled(rows: DataFrame, run_slides: int) -> DataFrame:
     return g.select("post_id", F.flatten(part("s")).alias("s"), *_FACTS, F.array_join(F.filter(part("text"), lambda t: t != ""), "\n\n").alias("text"), F.array_distinct(F.flatten(part("images"))).alias("images"))
 
 
-def group_posts(rows: DataFrame, patterns: tuple[str, ...] = UNAVAILABLE, latest_only: bool = False, hot_slides: int = HOT_SLIDES, run_slides: int = RUN_SLIDES) -> DataFrame:
+def group_posts(rows: DataFrame, patterns: tuple[str, ...] = UNAVAILABLE, latest_only: bool = False, hot_slides: int = HOT_SLIDES, run_slides: int = RUN_SLIDES, watch: Callable[[DataFrame], DataFrame] = lambda d: d) -> DataFrame:
     """OCR rows to one row a post, slides in order.
 
     Posts of more than ``hot_slides`` slides are put together from runs of them, made by
     many tasks; only the last step has such a post in one task, as its row has.  Which
-    posts those are is counted first, over the posts' names alone.
+    posts those are is counted first, over the posts' names alone; ``watch`` may observe
+    the rows of that pass.
     """
     if latest_only:  # of several readings of an image the last
         last = F.row_number().over(Window.partitionBy("source_image").orderBy(F.desc("processed_at")))
         rows = rows.withColumn("_n", last).filter("_n = 1").drop("_n")
+    hot = without_markers(watch(rows)).groupBy(F.col("post_id").cast("string").alias("post_id")).agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_slides).select("post_id")
     rows = without_markers(rows).withColumn("post_id", F.col("post_id").cast("string"))
-    hot = rows.groupBy("post_id").agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_slides).select("post_id")
     whole = lambda d: _facts(d, "post_id").withColumn("text", _combined("s")).withColumn("images", _images("s"))
     g = whole(rows)
-    if not hot.isEmpty():
+    if hot.count():
         g = whole(rows.join(hot, "post_id", "left_anti")).unionByName(_assembled(rows.join(hot, "post_id", "left_semi"), run_slides))
     g = g.withColumnRenamed("text", "ocr_text_combined_raw")
     return g.select(

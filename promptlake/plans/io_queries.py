@@ -21,9 +21,10 @@ from ..sources.lines import lines_of, splits_of
 from ..sources.processed import ProcessedLog
 from ..streaming.first_wins import keep_first, use_rocksdb
 from ..streaming.incremental import load_stream, stream_of
+from . import counters
 from .pipeline import MODES, remaining, run_stages
 from .queries import ORACLE_SQL as _OWN_SQL
-from .queries import _BATCH, _FOUND_SQL, _FRESH, _LINK, _POSTS_SQL, _TEXT, PATTERNS, _classified_sql, _forms, _links, _queue_columns, _slides, _table, scratch
+from .queries import _BATCH, _FOUND_SQL, _FRESH, _LINK, _POSTS_SQL, _TEXT, _VARIANTS_SQL, _canonical_sql, PATTERNS, _classified_sql, _forms, _links, _queue_columns, _slides, _table, scratch
 
 _TURN = "conv_id long, turn int, role string, text string"
 
@@ -85,6 +86,26 @@ def w6_filter_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cl.filter_counts(cl.classify(_queue(spark, sf_dir)))
 
 
+def w6_stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counters of all stages, each taken while the stage writes (W6, A9): links in four forms and blank ones, posts of all conversations, documents loaded twice."""
+    top, stages = scratch(spark, "counted"), [counters.Stage(n) for n in ("normalise", "filter", "split", "group", "prep", "handoff", "load")]
+    normalise, judge, split, group, prep, hand, load = stages
+    forms = _forms(spark, sf_dir)
+    facts = {"source_message_id": F.col("page_id").cast("string"), "source_subject": F.lit("s"), "email_datetime": F.lit(""), "gmail_query": F.lit("q")}
+    queue = forms.unionByName(forms.filter("variant = 0").withColumns({"url": F.lit(" "), "variant": F.lit(9)})).withColumns(facts)
+    step = lambda name, df, *by: df.write.partitionBy(*by).parquet(f"{top}/{name}") or spark.read.parquet(f"{top}/{name}")
+    urls = step("normalised", counters.normalized(queue, normalise, ["page_id", "variant"]))
+    links = normalize(_links(spark, sf_dir), "link").withColumnRenamed("link", "original_url").withColumns(facts)
+    ready = step("filtered", counters.filtered(urls.select(*links.drop("page_id").columns).unionByName(links.drop("page_id")), judge), "status").filter("status = 'pending'")
+    step("split", counters.split(ready, split, ("instagram", "tiktok", "x", "youtube")), "queue")
+    posts = step("grouped", counters.grouped(_slides(spark, sf_dir), group, patterns=PATTERNS))
+    step("handoff", counters.handed_off(step("prepared", counters.prepared(posts, prep)), hand))
+    d = _table(spark, sf_dir, "documents").select(F.concat("doc_id", F.lit("__p1")).alias(library.KEY), F.length("text").alias("n"), F.lit(0).alias("seq"))
+    library.load(f"{top}/table", d.filter(F.col("n") % 3 == 0), ["seq"], gate=False, buckets=8)
+    counters.loaded(d, load, f"{top}/table", ["seq"])
+    return counters.lines_of(spark, stages)
+
+
 def w4_platform_queues(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A queue for each platform, read back."""
     folder = scratch(spark, "queues")
@@ -242,9 +263,11 @@ def x4_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    r1_jsonl_round_trip, r3_lenient_lines, r3_line_numbers, w3_ready_rejected, w4_platform_queues, w6_filter_counts, m1_mail_parts, m9_mail_discovery, s7_image_texts, v1_user_prompts, v7_strict_errors, v9_model_calls, x1_modes, j1_two_runs, l1_two_loads, u11_queue_over_runs, x3_reload, x4_run_summary,
+    r1_jsonl_round_trip, r3_lenient_lines, r3_line_numbers, w3_ready_rejected, w4_platform_queues, w6_stage_counts, w6_filter_counts, m1_mail_parts, m9_mail_discovery, s7_image_texts, v1_user_prompts, v7_strict_errors, v9_model_calls, x1_modes, j1_two_runs, l1_two_loads, u11_queue_over_runs, x3_reload, x4_run_summary,
 )}
 
+#: Posts as further tables of a statement that has some.
+_AND_POSTS = ", " + _POSTS_SQL.removeprefix("WITH ")
 _STATUS = "CASE WHEN filter_reason LIKE 'accepted%' THEN 'pending' ELSE 'rejected' END"
 _QUEUE_SQL = f"""{_classified_sql()}, queue AS (
     SELECT page_id, link, normalized_url, platform, filter_reason, notes FROM judged JOIN (SELECT page_id, link, notes FROM canon) USING (page_id)
@@ -260,6 +283,18 @@ ORACLE_SQL = {
     "w4_platform_queues": f"{_classified_sql()} SELECT CASE WHEN platform IN ('instagram', 'tiktok', 'x', 'youtube') THEN platform ELSE 'unknown' END AS queue, page_id, normalized_url FROM judged",
     "w6_filter_counts": f"""{_QUEUE_SQL} SELECT count(*) AS input_rows, count(*) FILTER ({_STATUS} = 'pending') AS accepted_rows, count(*) FILTER ({_STATUS} <> 'pending') AS rejected_rows,
         count(*) FILTER (filter_reason = 'rejected_missing_normalized_url') AS missing_url_rows FROM queue""",
+    "w6_stage_counts": f"""{_classified_sql()},
+        n AS (SELECT (SELECT count(*) FROM pages) AS pages, (WITH {_VARIANTS_SQL}, {_canonical_sql("forms", "page_id, variant")} SELECT count(DISTINCT normalized_url) FROM canon) AS urls, count(*) FILTER (filter_reason LIKE 'accepted%') AS ready FROM judged),
+        p AS (SELECT platform, count(*) AS k FROM judged WHERE filter_reason LIKE 'accepted%' GROUP BY platform)"""
+        + _AND_POSTS + """
+        SELECT 'normalise' AS stage, unnest(['input_rows', 'blank_rows', 'normalized_unique_rows']) AS counter, unnest([5 * pages, pages, urls]) AS n FROM n
+        UNION ALL SELECT 'filter', unnest(['input_rows', 'scrape_ready_rows', 'rejected_rows', 'missing_url_rows']), unnest([urls + pages, ready, urls + pages - ready, 0]) FROM n
+        UNION ALL SELECT 'split', 'input_rows', ready FROM n
+        UNION ALL SELECT 'split', 'platform_' || q, coalesce((SELECT sum(k) FROM p WHERE CASE WHEN platform IN ('instagram', 'tiktok', 'x', 'youtube') THEN platform ELSE 'unknown' END = q), 0)::BIGINT FROM (SELECT unnest(['instagram', 'tiktok', 'x', 'youtube', 'unknown']) AS q)
+        UNION ALL SELECT 'group', unnest(['input_rows', 'skipped_non_data_rows', 'skipped_missing_post_id_rows', 'grouped_posts']), unnest([(SELECT count(*) FROM conversations), (SELECT count(*) FROM conversations WHERE (conv_id + turn) % 97 = 0), 0, count(*)]) FROM shown
+        UNION ALL SELECT 'prep', unnest(['input_rows', 'skipped_missing_post_id_rows', 'skipped_unavailable_rows', 'prepared_rows']), unnest([count(*), 0, count(*) FILTER (availability_status <> 'available'), count(*) FILTER (availability_status = 'available')]) FROM shown
+        UNION ALL SELECT 'handoff', unnest(['input_rows', 'posts_skipped_missing_post_id', 'posts_skipped_unavailable', 'posts_skipped_invalid_slides', 'written_rows']), unnest([count(*), 0, 0, 0, count(*)]) FROM shown WHERE availability_status = 'available'
+        UNION ALL SELECT 'load', unnest(['input_rows', 'inserted', 'updated']), unnest([count(*), count(*) FILTER (length(text) % 3 IS DISTINCT FROM 0), count(*) FILTER (length(text) % 3 = 0)]) FROM documents""",
     "m1_mail_parts": """SELECT place, 'Página ' || page_id AS subject, 'a@b' AS "from", '2023-01-02T01:04:05+00:00' AS email_datetime, part_ord, md5(text) AS text_md5
         FROM (SELECT row_number() OVER (ORDER BY page_id)::INTEGER AS place, page_id, unnest([coalesce(url, ''), coalesce(html, '')]) AS text, unnest([0, 1]) AS part_ord FROM pages)""",
     "m9_mail_discovery": f"{_FOUND_SQL} SELECT url, 'Página ' || min(page_id) AS source_subject, '2023-01-02T01:04:05+00:00' AS email_datetime, 'pending' AS status FROM social GROUP BY url",
