@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.text import json_in_list, json_object_in, only_value, strip, unfenced, user_prompt
 from ..rules import COMMENT_TAGS, CONFIDENCES, ENGINES, MODALITIES, PROMPT_TYPES
 from ..schemas import PROMPT
+from ..sources.processed import BucketedLog
 
 #: What of a hand-off record a model sees.
 SHOWN = ("post_id", "prompt_social_media", "content_type", "slide_total", "slide_count_found", "slides", "ocr_text_combined_raw", "availability_status")
@@ -25,27 +26,73 @@ def with_prompts(handoff: DataFrame, template: str) -> DataFrame:
     return handoff.withColumn("user_prompt", user_prompt(template, F.struct(*shown)))
 
 
-def call_model(records: DataFrame, model: Callable[[str], str], tasks: int | None = None, retries: int = 2, wait: float = 0.0) -> DataFrame:
-    """``records`` with raw_reply or call_error, a bounded number of tries each; no failure stops the job (V9)."""
+def _asked(model: Callable[[str], str], retries: int, wait: float) -> Callable[[str], tuple[str | None, str | None, int]]:
+    """A call with a bounded number of tries: the reply, or else the last error, and the tries.  An empty reply is an error."""
 
-    def ask(prompt: str) -> tuple[str | None, str | None]:
+    def ask(prompt: str) -> tuple[str | None, str | None, int]:
         error = None
         for attempt in range(retries + 1):
             try:
-                return model(prompt), None
+                if reply := model(prompt):
+                    return reply, None, attempt + 1
+                error = "empty reply"
             except Exception as e:  # any failure of the given client belongs in the row
                 error = str(e)
-                if attempt < retries and wait:
-                    time.sleep(wait)
-        return None, error
+            if attempt < retries and wait:
+                time.sleep(wait)
+        return None, error, retries + 1
+
+    return ask
+
+
+def call_model(records: DataFrame, model: Callable[[str], str], tasks: int | None = None, retries: int = 2, wait: float = 0.0, keys: tuple[str, ...] = ("post_id", "content_type")) -> DataFrame:
+    """``records`` with raw_reply or call_error and the tries it took; no failure stops the job (V9)."""
+    ask = _asked(model, retries, wait)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             got = [ask(p) for p in b["user_prompt"]]
-            yield b[["post_id", "content_type"]].assign(raw_reply=[g[0] for g in got], call_error=[g[1] for g in got])
+            yield b[list(keys)].assign(raw_reply=[g[0] for g in got], call_error=[g[1] for g in got], tries=[g[2] for g in got])
 
     spread = records.repartition(tasks) if tasks else records
-    return spread.select("post_id", "content_type", "user_prompt").mapInPandas(run, "post_id string, content_type string, raw_reply string, call_error string")
+    kinds = dict(records.dtypes)
+    return spread.select(*keys, "user_prompt").mapInPandas(run, ", ".join(f"{k} {kinds[k]}" for k in keys) + ", raw_reply string, call_error string, tries int")
+
+
+_STORED = "digest string, round int, raw_reply string, call_error string, tries int, valid boolean, asked_at timestamp"
+
+
+def answered(
+    records: DataFrame, model: Callable[[str], str], name: str, store: str, rounds: int = 3, retries: int = 2, wait: float = 0.0, waves: int = 1, tasks: int | None = None, retry_failed: bool = False, buckets: int = 64,
+) -> DataFrame:
+    """``records`` (post_id, content_type, user_prompt) with the last reply to their prompt, from a store of replies (V9).
+
+    A prompt is asked until a reply is valid, in up to ``rounds`` rounds of up to ``retries``
+    + 1 tries each.  Replies are stored under a digest of the model's name and the prompt,
+    judged; what the store has settled isn't asked again, by this run or a later one, and
+    equal prompts are asked once.  A round is written in ``waves``: a run that is killed
+    loses the wave it was at, and goes on from there when it is started again.  With
+    ``retry_failed`` prompts that used up their rounds in earlier runs get new ones.
+    """
+    log = BucketedLog(records.sparkSession, store, "digest", _STORED, buckets)
+    digest = F.sha2(F.concat(F.lit(name), F.lit("\0"), "user_prompt"), 256)
+    own = records.select("post_id", "content_type", digest.alias("digest"))
+    prompts = records.select(digest.alias("digest"), "user_prompt").dropDuplicates(["digest"])
+    first = (log.rows().agg(F.max("round")).first()[0] or 0) if retry_failed else 0
+    for turn in range(first + 1, first + rounds + 1):
+        settled = log.rows().filter(F.col("valid") | (F.col("round") >= turn)).select("digest")
+        need = prompts.join(settled, "digest", "left_anti")
+        for wave in range(waves):
+            part = need.filter(F.pmod(F.xxhash64("digest", F.lit(turn)), F.lit(waves)) == wave)
+            log.insert(_judged_calls(call_model(part, model, tasks, retries, wait, ("digest",)), turn))
+    last = log.rows().groupBy("digest").agg(F.max_by(F.struct("raw_reply", "call_error", "valid"), "round").alias("r"), F.count("*").alias("n_rounds"), F.sum("tries").alias("n_tries"))
+    return own.join(last, "digest", "left").select("post_id", "content_type", "r.raw_reply", "r.call_error", "r.valid", "n_rounds", "n_tries")
+
+
+def _judged_calls(calls: DataFrame, turn: int) -> DataFrame:
+    j = judged(calls.withColumnRenamed("digest", "post_id").withColumn("content_type", F.lit("")), keep=("call_error", "tries"))
+    valid = F.col("call_error").isNull() & (F.size("errors") == 0)
+    return j.select(F.col("post_id").alias("digest"), F.lit(turn).alias("round"), "raw_reply", "call_error", "tries", valid.alias("valid"), F.current_timestamp().alias("asked_at"))
 
 
 def _kind(v: Column, path: str) -> Column:
@@ -106,7 +153,7 @@ def _filled(x: Column) -> Column:
     return F.struct(*[(F.coalesce(typed[k], F.lit(_DEFAULTS[k][0])) if k in _DEFAULTS else typed[k]).alias(k) for k in _KEYS])
 
 
-def judged(replies: DataFrame, social_media: str = "instagram") -> DataFrame:
+def judged(replies: DataFrame, social_media: str = "instagram", keep: tuple[str, ...] = ()) -> DataFrame:
     """Replies (post_id, content_type, raw_reply) with their errors (none: valid) and what a valid one says.
 
     One parse and one look at each prompt, for callers that want both kinds.  Prompts that
@@ -114,7 +161,7 @@ def judged(replies: DataFrame, social_media: str = "instagram") -> DataFrame:
     fails its post.  Identity comes from the row, not from the reply.
     """
     v = F.col("_v")
-    r = _once(replies.select("post_id", "content_type", "raw_reply"), _text=strip(F.coalesce("raw_reply", F.lit(""))))
+    r = _once(replies.select("post_id", "content_type", "raw_reply", *keep), _text=strip(F.coalesce("raw_reply", F.lit(""))))
     r = _once(r, _json=unfenced(F.col("_text"), stripped=True))
     r = _once(r, _list=json_in_list(json_object_in(F.col("_json"))))
     r = _once(r, _v=only_value(F.col("_list")))
@@ -138,7 +185,7 @@ def judged(replies: DataFrame, social_media: str = "instagram") -> DataFrame:
     r = _once(r, errors=F.concat(F.array_compact(F.array(*top)), F.coalesce(F.flatten(F.transform("_said", _prompt_errors)), F.array().cast("array<string>"))))
     return r.select(
         "post_id", F.lit(social_media).alias("prompt_social_media"), "content_type", F.col("_title").alias("carrousel_title"),
-        F.size("_said").alias("prompt_count_detected"), F.transform("_said", _filled).alias("prompts"), "errors", "raw_reply",
+        F.size("_said").alias("prompt_count_detected"), F.transform("_said", _filled).alias("prompts"), "errors", "raw_reply", *keep,
     )
 
 

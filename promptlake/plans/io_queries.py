@@ -193,6 +193,25 @@ def v9_model_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("post_id", F.coalesce("raw_reply", F.lit("")).alias("raw_reply"), F.coalesce("call_error", F.lit("")).alias("call_error"), "semantic_producer", F.col("semantic_extracted_at").isNotNull().alias("timed"))
 
 
+_VALID = '{"post_id": "", "prompt_social_media": "", "content_type": "", "carrousel_title": null, "prompt_count_detected": 0, "prompts": []}'
+
+
+def _moody_model(prompt: str) -> str:
+    """Fails at long prompts, and says nothing of use to every third of the others."""
+    if len(prompt) > 2000:
+        raise ValueError("too long")
+    return _VALID if len(prompt) % 3 else "no JSON"
+
+
+def v9_reply_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document asked about, in up to three rounds of three tries, and all again by a second run that asks nothing (V9)."""
+    d = _table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("post_id"), F.lit("post").alias("content_type"), F.concat(F.lit("Say: "), F.coalesce("text", F.lit(""))).alias("user_prompt"))
+    store = scratch(spark, "replies")
+    replies.answered(d, _moody_model, "moody", store, waves=2, buckets=8)
+    again = replies.answered(d, _model, "moody", store, waves=2, buckets=8)  # would answer with digests, were it asked
+    return again.select("post_id", "n_rounds", "n_tries", "valid", F.coalesce("raw_reply", F.lit("")).alias("raw_reply"), F.coalesce("call_error", F.lit("")).alias("call_error"))
+
+
 def x1_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a clean run and an incremental one have to do; the log is what was bought."""
     e = _table(spark, sf_dir, "events")
@@ -263,7 +282,7 @@ def x4_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    r1_jsonl_round_trip, r3_lenient_lines, r3_line_numbers, w3_ready_rejected, w4_platform_queues, w6_stage_counts, w6_filter_counts, m1_mail_parts, m9_mail_discovery, s7_image_texts, v1_user_prompts, v7_strict_errors, v9_model_calls, x1_modes, j1_two_runs, l1_two_loads, u11_queue_over_runs, x3_reload, x4_run_summary,
+    r1_jsonl_round_trip, r3_lenient_lines, r3_line_numbers, w3_ready_rejected, w4_platform_queues, w6_stage_counts, w6_filter_counts, m1_mail_parts, m9_mail_discovery, s7_image_texts, v1_user_prompts, v7_strict_errors, v9_model_calls, v9_reply_store, x1_modes, j1_two_runs, l1_two_loads, u11_queue_over_runs, x3_reload, x4_run_summary,
 )}
 
 #: Posts as further tables of a statement that has some.
@@ -309,6 +328,8 @@ ORACLE_SQL = {
         CASE WHEN length(text) > 500 THEN 'target_engine' END, CASE WHEN quality < 1 THEN 'prompt_carrousel_page_num' END) AS strict_errors FROM documents LEFT JOIN labels USING (doc_id)""",
     "v9_model_calls": """SELECT doc_id::VARCHAR AS post_id, CASE WHEN length(coalesce(text, '')) > 2000 THEN '' ELSE md5(coalesce(text, '')) END AS raw_reply, CASE WHEN length(coalesce(text, '')) > 2000 THEN 'too long' ELSE '' END AS call_error,
         'semantic_extraction_agent::digest' AS semantic_producer, true AS timed FROM documents""",
+    "v9_reply_store": f"""SELECT post_id, CASE WHEN n > 2000 OR n % 3 = 0 THEN 3 ELSE 1 END::BIGINT AS n_rounds, CASE WHEN n > 2000 THEN 9 WHEN n % 3 = 0 THEN 3 ELSE 1 END::BIGINT AS n_tries, n <= 2000 AND n % 3 <> 0 AS valid,
+        CASE WHEN n > 2000 THEN '' WHEN n % 3 = 0 THEN 'no JSON' ELSE '{_VALID}' END AS raw_reply, CASE WHEN n > 2000 THEN 'too long' ELSE '' END AS call_error FROM (SELECT doc_id::VARCHAR AS post_id, 5 + length(coalesce(text, '')) AS n FROM documents)""",
     "x1_modes": "SELECT 'CLEAN' AS mode, event_id, user_id FROM events UNION ALL SELECT 'INCREMENTAL', event_id, user_id FROM events WHERE user_id NOT IN (SELECT user_id FROM events WHERE event_type = 'purchase')",
     "j1_two_runs": "SELECT 0 AS run, event_id, event_type FROM events WHERE event_id % 3 <> 0 UNION ALL SELECT 1, event_id, event_type FROM events WHERE event_id % 3 = 0 OR event_id % 50 = 0",
     "l1_two_loads": f"""SELECT doc_id || '__p1' AS prompt_unique_id, md5(coalesce(nullif(text, ''), '-')) AS text_md5, length(coalesce(text, ''))::INTEGER AS prompt_size_chars, CASE WHEN {_BATCH} THEN 'new2' ELSE 'old' END AS record_status,

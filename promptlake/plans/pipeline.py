@@ -12,7 +12,7 @@ from ..operators.classify import classify
 from ..operators.dedup import message_urls, normalized_queue, skip_done, url_queue
 from ..operators.handoff import hand_off, prepare
 from ..operators.library import flatten
-from ..operators.replies import call_model, validate, with_prompts
+from ..operators.replies import answered, validate, with_prompts
 from ..operators.slides import group_posts
 
 MODES = ("CLEAN", "INCREMENTAL")
@@ -28,10 +28,9 @@ def posts_to_handoff(ocr_rows: DataFrame) -> DataFrame:
     return hand_off(prepare(group_posts(ocr_rows)))
 
 
-def ask_and_check(handoff: DataFrame, template: str, model: Callable[[str], str], replies_path: str, tasks: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """Replies are written before they are judged, so that judging again asks nothing again."""
-    call_model(with_prompts(handoff, template), model, tasks).write.mode("overwrite").parquet(replies_path)
-    good, failed = validate(handoff.sparkSession.read.parquet(replies_path))
+def ask_and_check(handoff: DataFrame, template: str, model: Callable[[str], str], name: str, store: str, **how) -> tuple[DataFrame, DataFrame]:
+    """Replies are stored before they are judged for good, so that judging again, or running again, asks nothing again."""
+    good, failed = validate(answered(with_prompts(handoff, template), model, name, store, **how))
     return flatten(good), failed
 
 

@@ -18,25 +18,36 @@ from pyspark.sql import functions as F
 BUCKETS = 64
 
 
-class ProcessedLog:
-    """Keys with their status: ok, error, or none."""
+class BucketedLog:
+    """Rows in hash buckets of a key, appended to."""
 
-    def __init__(self, spark: SparkSession, folder: str, key: str, kind: str = "string", buckets: int = BUCKETS):
-        self.spark, self.key, self.kind, self.buckets = spark, key, kind, buckets
-        self.name = f"processed_{hashlib.md5(f'{folder} {key} {buckets}'.encode()).hexdigest()}"
+    def __init__(self, spark: SparkSession, folder: str, key: str, columns: str, buckets: int = BUCKETS):
+        self.spark, self.key, self.buckets = spark, key, buckets
+        self.name = f"log_{hashlib.md5(f'{folder} {key} {columns} {buckets}'.encode()).hexdigest()}"
         where = folder.rstrip("/").replace("'", "\\'")
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name} (`{key}` {kind}, status string) USING parquet LOCATION '{where}' CLUSTERED BY (`{key}`) SORTED BY (`{key}`) INTO {buckets} BUCKETS")
-        self.spark.catalog.refreshTable(self.name)
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name} ({columns}) USING parquet LOCATION '{where}' CLUSTERED BY (`{key}`) SORTED BY (`{key}`) INTO {buckets} BUCKETS")
+        spark.catalog.refreshTable(self.name)
 
     def rows(self) -> DataFrame:
         return self.spark.table(self.name)
 
+    def insert(self, rows: DataFrame) -> None:
+        """Dealt out as buckets are, so that a task writes one."""
+        rows.select(*self.rows().columns).repartition(self.buckets, self.key).write.insertInto(self.name)
+
+
+class ProcessedLog(BucketedLog):
+    """Keys with their status: ok, error, or none."""
+
+    def __init__(self, spark: SparkSession, folder: str, key: str, kind: str = "string", buckets: int = BUCKETS):
+        self.kind = kind
+        super().__init__(spark, folder, key, f"`{key}` {kind}, status string", buckets)
+
     def append(self, rows: DataFrame) -> None:
         """Log ``rows`` (the key, and status if they have one); null keys are no keys."""
         status = F.col("status") if "status" in rows.columns else F.lit("ok")
         news = rows.select(F.col(self.key).cast(self.kind).alias(self.key), status.alias("status")).filter(F.col(self.key).isNotNull())
-        # dealt out as buckets are, so that a task writes one
-        news.distinct().repartition(self.buckets, self.key).write.insertInto(self.name)
+        self.insert(news.distinct())
 
     def done(self, retry_errors: bool = False) -> DataFrame:
         """Keys that are done, repeated as they were logged; failed ones too, unless they are to be retried."""

@@ -1,6 +1,7 @@
 """Golden rows, invariants and order independence of the library's operators."""
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -142,6 +143,50 @@ def test_model_calls(spark):
     assert out["P1"]["call_error"] is None and out["P2"]["raw_reply"] is None and out["P2"]["call_error"] == "down" and tries.value == 4
 
 
+def test_reply_store(spark, tmp_path, monkeypatch):
+    """Asked until valid, at most rounds x tries; never twice for what is settled, by other runs neither; a killed run goes on."""
+    tries = spark.sparkContext.accumulator(0)
+    flag, said = str(tmp_path / "mended"), reply(prompts=[])
+
+    def model(prompt):
+        tries.add(1)
+        kind = prompt[:1]
+        if kind == "e":
+            raise RuntimeError("down")
+        if kind == "m" and not os.path.exists(flag):
+            return "no JSON"
+        return "" if kind == "b" else "no JSON" if kind == "n" else said
+
+    names = [f"{k}{i}" for k in "vvvenbm" for i in range(3)] + ["v0"] * 4
+    d = spark.createDataFrame([(str(i), "post", p) for i, p in enumerate(names)], "post_id string, content_type string, user_prompt string").repartition(3)
+    run = lambda **how: {names[int(r["post_id"])]: r for r in replies.answered(d, model, "m1", str(tmp_path / "store"), buckets=4, **how).collect()}
+    real, seen = replies.BucketedLog.insert, []
+
+    def killed(self, rows):
+        seen.append(1)
+        if len(seen) > 2:
+            raise KeyboardInterrupt
+        real(self, rows)
+
+    with monkeypatch.context() as m:
+        m.setattr(replies.BucketedLog, "insert", killed)
+        with pytest.raises(KeyboardInterrupt):
+            run(waves=4)
+    half = tries.value
+    assert 0 < half
+    out = run(waves=4)
+    # in all: valid ones once, errors and empty replies three tries in each of three rounds, others once in each round
+    assert tries.value == 3 + 3 * 9 + 3 * 9 + 3 * 3 + 3 * 3
+    assert [(out[k]["valid"], out[k]["n_rounds"], out[k]["n_tries"], out[k]["call_error"]) for k in ("v0", "e1", "b1", "n1", "m2")] == [(True, 1, 1, None), (False, 3, 9, "down"), (False, 3, 9, "empty reply"), (False, 3, 3, None), (False, 3, 3, None)]
+    asked = tries.value
+    assert run() == out and tries.value == asked  # a second run asks nothing
+    open(flag, "w").close()
+    new = run(retry_failed=True)
+    assert new["m0"]["valid"] and new["m0"]["n_rounds"] == 4 and tries.value == asked + 3 + 3 * 9 + 3 * 9 + 3 * 3
+    other = replies.answered(d.limit(1), model, "m2", str(tmp_path / "store"), buckets=4)  # another model has its own replies
+    assert other.count() == 1 and tries.value > asked + 66
+
+
 def test_load(spark, tmp_path):
     good, _ = replies.validate(spark.createDataFrame([("P", "post", reply(prompts=[PROMPT | {"prompt_text_raw": "first"}, PROMPT | {"prompt_text_raw": "last"}]))], "post_id string, content_type string, raw_reply string"))
     batch = library.checked(library.flatten(good))
