@@ -38,21 +38,23 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-#: Links of every platform, by page id; the last kind is the page's own address.
+#: A page's whole address as one segment of a path.
+_SLUG = "translate(url, ':/?#[]@!$&()*+,;=%. ', '--------------------')"
+#: Links of every platform around the page's address, by page id; the last kind is the address itself.
 _LINKS = [
-    "concat('http://www.instagram.com//p//', page_id, '?igsh=a&utm_source=b#x')",
-    "concat('https://www.tiktok.com/@u', page_id, '/video/', page_id, '/?lang=en')",
-    "concat('http://X.com:80/u/status/', page_id, '/?s=20')",
-    "concat('https://www.facebook.com/watch/?v=', page_id)",
-    "concat('https://m.youtube.com/watch?v=', page_id, '&t=30s&list=L', page_id)",
-    "concat('https://www.linkedin.com/company/c', page_id, '?trk=z')",
-    "concat('https://www.pinterest.com/pin/', page_id, '/')",
-    "concat('https://youtu.be/', page_id, '?si=1')",
-    "concat('https://x.com/', page_id, '.png')",
-    "concat('https://www.linkedin.com/feed/update/urn', page_id, '?lipi=1')",
-    "concat('https://www.youtube.com/shorts/', page_id, '?feature=share')",
-    "concat('https://www.facebook.com/some.one/posts/', page_id)",
-    "concat('https://www.instagram.com/u', page_id, '/')",
+    f"concat('http://www.instagram.com//p//', {_SLUG}, '?igsh=a&utm_source=b#x')",
+    f"concat('https://www.tiktok.com/@u', page_id, '/video/', {_SLUG}, '/?lang=en')",
+    f"concat('http://X.com:80/', {_SLUG}, '/status/', page_id, '/?s=20')",
+    f"concat('https://www.facebook.com/watch/?v=', {_SLUG})",
+    f"concat('https://m.youtube.com/watch?v=', {_SLUG}, '&t=30s&list=L', page_id)",
+    f"concat('https://www.linkedin.com/company/', {_SLUG}, '?trk=z')",
+    f"concat('https://www.pinterest.com/pin/', {_SLUG}, '/')",
+    f"concat('https://youtu.be/', {_SLUG}, '?si=1')",
+    f"concat('https://x.com/', {_SLUG}, '.png')",
+    f"concat('https://www.linkedin.com/feed/update/', {_SLUG}, '?lipi=1')",
+    f"concat('https://www.youtube.com/shorts/', {_SLUG}, '?feature=share')",
+    f"concat('https://www.facebook.com/some.one/posts/', {_SLUG})",
+    f"concat('https://www.instagram.com/', {_SLUG}, '/')",
     "url",
 ]
 _LINK = "CASE page_id % 14 " + " ".join(f"WHEN {i} THEN {x}" for i, x in enumerate(_LINKS[:-1])) + f" ELSE {_LINKS[-1]} END"
@@ -97,7 +99,7 @@ _CANON_SQL = f"WITH {_LINKS_SQL}, {_canonical_sql('links', 'page_id')}"
 
 
 #: Social links over the pages' own paths, and forms in which mail carries them: entities, a wrapper, two wrappers (a value is decoded twice), blanks around.
-_BASE = "CASE WHEN page_id % 2 = 0 THEN concat('https://www.youtube.com/watch?v=', page_id, '&list=L', page_id, '&si=q') ELSE concat('http://x.com', regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1), '/status/', page_id, '?s=20') END"
+_BASE = f"CASE WHEN page_id % 2 = 0 THEN concat('https://www.youtube.com/watch?v=', {_SLUG}, '&list=L', page_id, '&si=q') ELSE concat('http://x.com', regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1), '/status/', page_id, '?s=20') END"
 _FORMS = ["replace(link, '&', '&amp;')", "concat('https://www.google.com/url?sa=t&url=', url_encode(link))", "concat('https://mail.example/x?link=', url_encode(concat('https://www.facebook.com/l.php?u=', url_encode(url_encode(link)))))", "concat('  ', link, ' ')"]
 
 
@@ -108,6 +110,19 @@ def u2_wrapped_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize(forms).select(_P, "variant", "normalized_url", F.array_join("normalization_notes", ",").alias("notes"))
 
 
+#: Queries with escapes, plus signs, blank and repeated values, names that differ in case, and names that say nothing.
+_QUERIES = ["concat('v=a+b&list=', url_encode(url), '&v=&feature=x&list=c%20d%2b&V=1&utm_source=%C3%A9')", "concat('list=', url_encode(concat(url, ' é')), '&&list=+&v')", "'=x&v=%zz&v=~*'", "concat('a=', url_encode(url), '&b=1&a=2')"]
+
+
+def u7_query_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's address in parameters of a host that keeps some and one that keeps none."""
+    pages = _table(spark, sf_dir, "pages").selectExpr("page_id", f"stack({len(_QUERIES)}, {', '.join(f'{i}, {x}' for i, x in enumerate(_QUERIES))}) AS (form, q)")
+    queue = pages.selectExpr("page_id", "form", "concat('https://www.youtube.com/watch?', q) AS kept", "concat('https://x.com/u?', q) AS none")
+    out = normalize(queue, "kept").select(_P, "form", F.col("normalized_url").alias("kept"), F.array_join("normalization_notes", ",").alias("notes"))
+    none = normalize(queue, "none").select(_P, "form", F.col("normalized_url").alias("none"))
+    return out.join(none, [_P, "form"])
+
+
 def f11_classified_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cl.classify(normalize(_links(spark, sf_dir), "link")).select(_P, "normalized_url", "platform", "status", "filter_reason")
 
@@ -314,7 +329,7 @@ def x2_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    a2_group_posts, u10_canonical_urls, u2_wrapped_urls, f11_classified_urls, a10_platform_counts, u11_normalized_queue, m8_message_urls, m9_url_discovery, j1_skip_processed, s1_post_ids, s5_distinct_slides, s6_slide_names,
+    a2_group_posts, u10_canonical_urls, u7_query_strings, u2_wrapped_urls, f11_classified_urls, a10_platform_counts, u11_normalized_queue, m8_message_urls, m9_url_discovery, j1_skip_processed, s1_post_ids, s5_distinct_slides, s6_slide_names,
     s14_handoff, a9_outcome_counts, v6_valid_replies, e1_flat_prompts, v8_violations, l1_upsert, l2_upsert_counts, o2_first_links, x2_incremental,
 )}
 
@@ -329,6 +344,10 @@ _GOOD = (0, 1, 2, 7, 11, 12)
 
 ORACLE_SQL = {
     "u10_canonical_urls": f"{_CANON_SQL} SELECT page_id, normalized_url, notes FROM canon",
+    "u7_query_strings": """WITH p AS (SELECT page_id, url_encode(url) AS u, url_encode(url || ' é') AS v FROM pages),
+        forms AS (SELECT page_id, unnest([0, 1, 2, 3]) AS form, unnest(['?v=a+b&v=&list=' || u || '&list=c+d%2B', '?list=' || replace(v, '%20', '+') || '&list=+&v=', '?v=%25zz&v=~%2A', '']) AS q,
+            unnest(['drop_param:feature,drop_param:V,drop_param:utm_source,query_normalized', 'query_normalized', 'drop_param:,query_normalized', 'drop_param:a,drop_param:b']) AS notes FROM p)
+        SELECT page_id, form, 'https://www.youtube.com/watch' || q AS kept, notes, 'https://x.com/u' AS none FROM forms""",
     "u2_wrapped_urls": f"""WITH forms AS (SELECT page_id, unnest(range(4))::INTEGER AS variant, {_BASE} AS link FROM pages), {_canonical_sql('forms', 'page_id, variant')}
         SELECT page_id, variant, normalized_url, array_to_string(list_concat(CASE WHEN variant = 0 AND contains(link, '&') THEN ['html_entity_decoded'] WHEN variant IN (1, 2) THEN ['wrapped_target_extracted'] ELSE [] END, list_filter([notes], lambda x: x <> '')), ',') AS notes FROM canon""",
     "f11_classified_urls": f"{_classified_sql()} SELECT page_id, normalized_url, platform, CASE WHEN filter_reason LIKE 'accepted%' THEN 'pending' ELSE 'rejected' END AS status, filter_reason FROM judged",
