@@ -247,8 +247,7 @@ def _hot_strings(length: int):
 
 def multikey_order(tokens: np.ndarray) -> np.ndarray:
     """The order of rows of tokens: a multikey quicksort in which all runs of a depth are split by their next token at once."""
-    order, run = np.arange(len(tokens)), np.zeros(len(tokens), dtype=np.int64)
-    active = order
+    order, active, run = np.arange(len(tokens)), np.arange(len(tokens)), np.zeros(len(tokens), dtype=np.int64)
     for depth in range(tokens.shape[1]):
         if not len(active):
             break
@@ -271,7 +270,7 @@ class _Agreement:
         width = strings.shape[1]
         tokens = np.zeros((len(strings), width + -width % 8), dtype=np.uint8)
         tokens[:, :width] = strings
-        self.order = multikey_order(tokens.view(">u8"))
+        self.order = multikey_order(tokens.view(">u8").astype(np.uint64))
         own = strings[self.order]
         differ = own[1:] != own[:-1]
         #: The bytes in which each agrees with the one before it in order.
@@ -286,24 +285,6 @@ class _Agreement:
         return out
 
 
-def multikey_order(tokens: np.ndarray) -> np.ndarray:
-    """The order of rows of tokens: quicksort by the first, then each run of equal ones by the next."""
-    order = np.arange(len(tokens))
-    runs = [(0, len(tokens), 0)]
-    while runs:
-        lo, hi, depth = runs.pop()
-        if hi - lo < 2 or depth == tokens.shape[1]:
-            continue
-        key = tokens[order[lo:hi], depth]
-        by = np.argsort(key, kind="stable")
-        order[lo:hi] = order[lo:hi][by]
-        key = key[by]
-        cuts = np.flatnonzero(np.r_[True, key[1:] != key[:-1], True]) + lo
-        for i in np.flatnonzero(np.diff(cuts) > 1).tolist():
-            runs.append((int(cuts[i]), int(cuts[i + 1]), depth + 1))
-    return order
-
-
 def _repeated(left: list[bytes], right: list[bytes], length: int) -> np.ndarray:
     """For suffixes, which strings around their anchor, by bytes before it, occur twice."""
     m, before = len(left), length - LEAD
