@@ -43,9 +43,8 @@ def _op1() -> str:
 def _op4() -> str:
     return f"""WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
     d AS (SELECT page_id, octet_length(body)::BIGINT AS payload_bytes, sha256(body) AS payload_digest FROM p),
-    f AS (SELECT *, CASE WHEN payload_bytes >= {MIN_PAYLOAD} THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first FROM d)
-    SELECT page_id, payload_bytes, payload_digest, CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
-        CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to FROM f"""
+    f AS (SELECT *, CASE WHEN payload_bytes >= {MIN_PAYLOAD} THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first, row_number() OVER (PARTITION BY payload_digest ORDER BY page_id NULLS LAST) > 1 AS again FROM d)
+    SELECT page_id, payload_bytes, payload_digest, CASE WHEN first IS NOT NULL AND again THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN again THEN first END AS refers_to FROM f"""
 
 
 def _op7() -> str:

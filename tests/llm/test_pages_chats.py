@@ -143,11 +143,12 @@ def test_archives(spark, tmp_path):
     for i, _, h in rows:
         if i is not None:
             first[h or ""].append(i)
-    want = Counter()
+    want, said = Counter(), set()
     for i, _, h in rows:
         b = (h or "").encode()
         low = min(first[h or ""], default=None) if len(b) >= 100 else None
-        again = low is not None and i != low
+        again = low is not None and (i != low or h in said)  # one of several rows of the smallest id is the response
+        said |= {h} if i == low else set()
         want[i, len(b), hashlib.sha256(b).hexdigest(), "revisit" if again else "response", low if again else None] += 1
     assert got == want
     raw = next((tmp_path / "a").glob("*.warc.zst")).read_bytes()
@@ -155,6 +156,16 @@ def test_archives(spark, tmp_path):
     assert warc.write_archives(d.limit(0), str(tmp_path / "b")) == 0
 
 
+def test_archives_of_named_pages(spark, tmp_path):
+    """Ids that are texts, the same payload many times under one id and several addresses, and a payload larger than an archive."""
+    same, large = "<p>" + "again " * 40, "".join(f"<p>{i}" for i in range(3_000_000))
+    rows = [("b\r\nX-Page: 7", "u", same), ("a: 1", "v", same), ("a: 1", "u", same), *[("a: 1", "u", same)] * 30, ("ä", None, large), ("z", "w", large), (None, "u", same)]
+    d = spark.createDataFrame(rows, "page_id string, url string, html string").repartition(4)
+    assert len(large.encode()) > warc.ARCHIVE_BYTES and warc.write_archives(d, str(tmp_path / "a")) == len(rows)
+    got = Counter((r["page_id"], r["url"], r["record_type"], r["refers_to"]) for r in warc.read_archives(spark, str(tmp_path / "a"), "string").collect())
+    assert got == Counter([("b\r\nX-Page: 7", "u", "revisit", "a: 1"), ("a: 1", "v", "revisit", "a: 1"), ("a: 1", "u", "response", None), *[("a: 1", "u", "revisit", "a: 1")] * 30, ("z", "w", "response", None), ("ä", "", "revisit", "z"), (None, "u", "revisit", "a: 1")])
+
+
 def chat_brute(turns):
     by = defaultdict(list)
     for c, n, role, text in turns:
