@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import html
-from collections.abc import Iterator, Mapping
-from urllib.parse import parse_qs, unquote, urlsplit
+from collections.abc import Callable, Mapping
+from html.entities import html5
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,45 +35,89 @@ def found_urls(text: Column, hosts: tuple[str, ...] = SOCIAL_HOSTS) -> Column:
     return F.array_sort(F.array_distinct(F.filter(cut, lambda u: is_social(host_of(u), hosts))))
 
 
-def _target(url: str, params: tuple[str, ...], hosts: frozenset[str]) -> str | None:
-    """The social URL that a parameter of ``url`` holds, by priority of the parameters."""
-    held = parse_qs(urlsplit(url).query, keep_blank_values=True)
-    values = (unquote(html.unescape(v)) for k in params for v in held.get(k, ()))
-    return next((v for v in values if v.startswith(("http://", "https://")) and urlsplit(v).netloc.lower() in hosts), None)
+def _let(value: Column, what: Callable[[Column], Column]) -> Column:
+    """``what`` of a value that is computed once, and is once in the plan."""
+    return F.get(F.transform(F.array(value), what), F.lit(0))
 
 
-def unwrap(urls: DataFrame, column: str, params: tuple[str, ...] = WRAPPER_PARAMS, hosts: tuple[str, ...] = SOCIAL_HOSTS) -> DataFrame:
-    """``urls`` with columns target and target_notes: entities decoded once, wrappers taken off up to three times.
+def unescaped(text: Column) -> Column:
+    """A text with its HTML character references decoded once, as ``html.unescape`` does.
 
-    Spark has no function for HTML entities, so rows that may have one, or a wrapper,
-    go through Python; the others don't.
+    The names are the standard library's.  A name that ends in ; is looked up whole; any
+    other, or one that isn't known, counts as far as its longest beginning that is a name
+    of old, which needs no ;.
     """
-    known = frozenset(hosts)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            found, notes = [], []
-            for url in b[column]:
-                said = []
-                if (plain := html.unescape(url)) != url:
-                    url, said = plain, ["html_entity_decoded"]
-                try:
-                    for _ in range(3):
-                        inner = _target(url, params, known)
-                        if not inner or inner == url:
-                            break
-                        url = inner
-                        said.append("wrapped_target_extracted")
-                except ValueError:  # brackets that hold no address: U10 rejects such a URL
-                    pass
-                found.append(url)
-                notes.append(said)
-            yield b.assign(target=found, target_notes=notes)
-
-    may = F.col(column).rlike(r"&[#A-Za-z]|[?&](?:" + "|".join(params) + ")=")
-    schema = ", ".join(f"`{k}` {v}" for k, v in urls.dtypes) + ", target string, target_notes array<string>"
-    plain = urls.filter(~F.coalesce(may, F.lit(False))).withColumns({"target": F.col(column), "target_notes": F.array().cast("array<string>")})
-    return plain.unionByName(urls.filter(may).mapInPandas(run, schema))
+    whole = {k: v for k, v in html5.items() if k.endswith(";")}
+    old = {k: v for k, v in html5.items() if not k.endswith(";")}
+    table = lambda names: F.map_from_arrays(F.split(F.lit("\0".join(names)), "\0"), F.split(F.lit("\0".join(names.values())), "\0"))
+    beginning = "^(" + "|".join(sorted(old, key=len, reverse=True)) + ")"
+
+    def named(p: Column) -> Column:
+        short = _let(F.regexp_extract(p, beginning, 1), lambda x: F.when(x != "", F.concat(F.try_element_at(table(old), x), F.substr(p, F.length(x) + 1))))
+        long = _let(F.regexp_extract(p, r"^[^\t\n\f <&#;]{1,32};", 0), lambda x: F.when(x != "", F.concat(F.try_element_at(table(whole), x), F.substr(p, F.length(x) + 1))))
+        return F.coalesce(long, short, F.concat(F.lit("&"), p))
+
+    def decoded(p: Column) -> Column:
+        """What follows an ampersand, with the reference that it begins with resolved."""
+        return _let(F.regexp_extract(p, r"^#([0-9]+|[xX][0-9a-fA-F]+);?", 0), lambda x: F.when(x != "", F.concat(_character(x), F.substr(p, F.length(x) + 1))).otherwise(named(p)))
+
+    parts = lambda x: F.array_join(F.transform(F.split(x, "&", -1), lambda p, i: F.when(i == 0, p).otherwise(decoded(p))), "")
+    return _let(text, lambda x: F.when(x.contains("&"), parts(x)).otherwise(x))
+
+
+def _character(reference: Column) -> Column:
+    """The character of a numeric reference without its ampersand."""
+    too_large, replaced = F.lit(1 << 40), F.map_from_arrays(F.split(F.lit(" ".join(map(str, _REPLACED))), " ").cast("array<long>"), F.split(F.lit("\0".join(_REPLACED.values())), "\0"))
+
+    def number(digits: Column) -> Column:
+        return F.when(digits == "", F.lit(0)).when(F.length(digits) > 7, too_large).otherwise(F.when(reference.rlike("^#[xX]"), F.conv(digits, 16, 10)).otherwise(F.conv(digits, 10, 10)).cast("long"))
+
+    def character(n: Column) -> Column:
+        none = n.between(0x1, 0x8) | n.between(0xE, 0x1F) | n.between(0x7F, 0x9F) | n.between(0xFDD0, 0xFDEF) | (n == 0xB) | ((n >= 0xFFFE) & (F.pmod(n, F.lit(0x10000)) >= 0xFFFE))
+        as_text = F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
+        return F.coalesce(F.try_element_at(replaced, n), F.when(n.between(0xD800, 0xDFFF) | (n > 0x10FFFF), F.lit("\ufffd")).when(none, F.lit("")).otherwise(as_text))
+
+    digits = F.regexp_replace(F.regexp_extract(reference, "^#[xX]?([0-9a-fA-F]+)", 1), "^0+", "")
+    return _let(_let(digits, number), character)
+
+
+#: Numbers of references that stand for other characters (the code page they were written in).
+_REPLACED = {0x00: "\ufffd", 0x0D: "\r"} | {0x80 + i: bytes([0x80 + i]).decode("cp1252", "replace") if i not in (1, 13, 15, 16, 29) else chr(0x80 + i) for i in range(32)}
+
+
+def unquoted(text: Column) -> Column:
+    """Percent escapes decoded as UTF-8; what is no escape stays, plus signs too."""
+    sound = lambda x: F.regexp_replace(F.replace(x, F.lit("+"), F.lit("%2B")), "%(?![0-9A-Fa-f]{2})", "%25")
+    return _let(text, lambda x: F.when(x.contains("%"), F.coalesce(F.try_url_decode(sound(x)), x)).otherwise(x))
+
+
+def _held(url: Column, params: tuple[str, ...], hosts: tuple[str, ...]) -> Column:
+    """The social URL that a parameter of ``url`` holds, by priority of the parameters, else null."""
+    plain = lambda x: unquoted(F.replace(x, F.lit("+"), F.lit(" ")))
+    pair = lambda p: F.struct(plain(F.regexp_extract(p, r"^([^=]*)", 1)).alias("k"), F.regexp_extract(p, r"^[^=]*=?([\s\S]*)$", 1).alias("v"))
+    of = lambda pairs: F.flatten(F.transform(F.array(*[F.lit(k) for k in params]), lambda k: F.transform(F.filter(pairs, lambda p: p["k"] == k), lambda p: p["v"])))
+    host = lambda v: F.lower(part(F.regexp_replace(v, r"[\t\r\n]", ""), NETLOC))
+    social = lambda v: (v.startswith("http://") | v.startswith("https://")) & is_social(host(v), hosts)
+
+    def inside(u: Column) -> Column:
+        values = F.transform(_let(F.transform(F.filter(F.split(part(u, QUERY), "&"), lambda p: p != ""), pair), of), lambda v: unquoted(unescaped(plain(v))))
+        sound = _let(part(u, NETLOC), lambda n: n.contains("[") == n.contains("]"))
+        return F.when(sound, F.get(F.filter(values, social), F.lit(0)))
+
+    return _let(F.regexp_replace(F.regexp_replace(url, r"^[\x00-\x20]+", ""), r"[\t\r\n]", ""), inside)
+
+
+def unwrap(urls: DataFrame, column: str, params: tuple[str, ...] = WRAPPER_PARAMS, hosts: tuple[str, ...] = SOCIAL_HOSTS) -> DataFrame:
+    """``urls`` with columns target and target_notes: entities decoded once, wrappers taken off up to three times."""
+    # each step is computed once, and only on rows that may have something to take off
+    once = lambda d, c, name: d.select("*", F.explode(F.array(c)).alias(name))
+    may = lambda c: c.rlike("[?&](?:" + "|".join(params) + ")=|%")
+    state = lambda url, n: F.struct(url.alias("url"), n.alias("n"))
+    step = lambda was, _: _let(F.coalesce(F.when(may(was["url"]), _held(was["url"], params, hosts)), was["url"]), lambda now: state(now, was["n"] + (now != was["url"]).cast("int")))
+    found = once(urls, F.when(F.col(column).contains("&"), unescaped(F.col(column))).otherwise(F.col(column)), "_plain")
+    found = once(found, F.aggregate(F.sequence(F.lit(1), F.lit(3)), state(F.col("_plain"), F.lit(0)), step), "_bare")
+    notes = F.concat(F.when(F.col("_plain") != F.col(column), F.array(F.lit("html_entity_decoded"))).otherwise(F.array().cast("array<string>")), F.array_repeat(F.lit("wrapped_target_extracted"), F.col("_bare.n")))
+    return found.withColumns({"target": F.col("_bare.url"), "target_notes": notes}).drop("_plain", "_bare")
 
 
 def _decoded(x: Column) -> Column:
