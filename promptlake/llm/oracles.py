@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, mixing, quality
+from . import chat, mixing, negatives, quality, repair
 from .warc import MIN_PAYLOAD
 
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -98,7 +98,55 @@ def _op6(probe: str) -> str:
         sum(chars * times)::BIGINT AS formatted_chars, (max(win) + 1)::BIGINT AS n_windows FROM parts GROUP BY conv_id"""
 
 
+def _op11() -> str:
+    space = lambda c: f"coalesce({c}::VARCHAR, ' ')"
+    letter, order = r"[^\x20\x09-\x0D]", "turn NULLS FIRST, role, h, copy"
+    edit = {"D": repair.DELETE, "I": repair.INSERT, "K": 0, "R": repair.REROLE}
+    # a state is what has been read: nothing, a system turn, an odd turn, an even one; each with the least (cost, audit), a cost of a billion where it can't be
+    to = lambda x, e, more="0": f"{{'c': ({x}).c + {edit[e]} + {more}, 'a': ({x}).a || '{e}'}}"
+    far = "{'c': 1000000000, 'a': ''}"
+    states = lambda n, s, u, a: f"{{'n': {n}, 's': {s}, 'u': {u}, 'a': {a}}}"
+    insert_u = lambda x: f"least({x}.u, {to(f'{x}.n', 'I')}, {to(f'{x}.s', 'I')}, {to(f'{x}.a', 'I')})"
+    inserted = lambda x: f"list_transform([{x}], lambda p: {states('p.n', 'p.s', insert_u('p'), f'least(p.a, {to(insert_u(chr(112)), chr(73))})')})[1]"
+    cut = f"CASE WHEN r.fault = 3 THEN {repair.TRUNCATED} ELSE 0 END"
+    keep = lambda x, i: f"CASE WHEN r.fault IN (0, 3) AND r.i = '{i}' THEN {to(x, 'K', cut)} ELSE {far} END"
+    rerole = lambda x: f"CASE WHEN r.fault IN (0, 3) THEN {to(x, 'R', cut)} ELSE {far} END"
+    ways = lambda x, i: [keep(x, i), rerole(x)] if i != "s" else [keep(x, i)]
+    read = states(to("q.n", "D"), f"least({to('q.s', 'D')}, {keep('q.n', 's')})", f"least({', '.join([to('q.u', 'D'), *ways('q.n', 'u'), *ways('q.s', 'u'), *ways('q.a', 'u')])})", f"least({', '.join([to('q.a', 'D'), *ways('q.u', 'a')])})")
+    start = inserted(states("{'c': 0, 'a': ''}", far, far, far))
+    return f"""WITH RECURSIVE crc AS (SELECT list(c ORDER BY i) AS t FROM (SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, _: xor(c >> 1, 3988292384 * (c & 1))) AS c FROM (SELECT unnest(range(256))::BIGINT AS i))),
+    keyed AS (SELECT conv_id, turn, {space('role')} AS role, {space('text')} AS text, list_prepend(4294967295, list_transform(string_split({space('conv_id')} || ':' || {space('turn')}, ''), lambda x: ascii(x)::BIGINT)) AS k FROM conversations),
+    kinds AS (SELECT * EXCLUDE (k, t), xor(list_reduce(k, lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS kind FROM keyed, crc),
+    damaged AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role, CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM kinds),
+    placed AS (SELECT *, sha256(text) AS h, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS place FROM damaged),
+    rows AS (SELECT *, left(role, 1) AS i, CASE WHEN NOT regexp_matches(text, '{letter}') THEN 1 WHEN row_number() OVER (PARTITION BY conv_id, role, h ORDER BY place) > 1 THEN 2
+        WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 3 ELSE 0 END AS fault, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY place) AS before FROM placed),
+    steps AS (SELECT conv_id, 0::BIGINT AS place, {start} AS q FROM (SELECT DISTINCT conv_id FROM rows)
+        UNION ALL SELECT r.conv_id, r.place, {inserted(read)} FROM steps s JOIN rows r ON r.conv_id IS NOT DISTINCT FROM s.conv_id AND r.place = s.place + 1),
+    ends AS (SELECT conv_id, least(q.n, q.a) AS e FROM steps QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY place DESC) = 1),
+    edits AS (SELECT conv_id, unnest(string_split((e).a, '')) AS edit, unnest(range(1, len((e).a) + 1)) AS pos, len(replace((e).a, 'D', '')) AS size FROM ends WHERE (e).a <> ''),
+    numbered AS (SELECT *, count(*) FILTER (edit <> 'I') OVER w AS place, count(*) FILTER (edit <> 'D') OVER w - 1 AS spot FROM edits WINDOW w AS (PARTITION BY conv_id ORDER BY pos)),
+    lines AS (SELECT n.conv_id, n.pos, CASE WHEN edit = 'K' THEN r.role WHEN (spot + size) % 2 = 0 THEN 'user' ELSE 'assistant' END || ':' || CASE WHEN edit = 'I' THEN '' ELSE r.text END AS line
+        FROM numbered n LEFT JOIN rows r ON r.conv_id IS NOT DISTINCT FROM n.conv_id AND r.place = n.place AND edit <> 'I' WHERE edit <> 'D'),
+    said AS (SELECT conv_id, sha256(string_agg(line, chr(10) ORDER BY pos)) AS sha FROM lines GROUP BY conv_id),
+    counts AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated,
+        count(*) FILTER (before IS NOT NULL AND before || i NOT IN ('su', 'ua', 'au')) AS illegal FROM rows GROUP BY conv_id)
+    SELECT a.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+        coalesce((e).c, 0)::BIGINT AS cost, coalesce((e).a, '') AS audit, coalesce(sha, sha256('')) AS repaired_sha256 FROM (SELECT DISTINCT conv_id FROM conversations) a
+        LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM a.conv_id LEFT JOIN ends e ON e.conv_id IS NOT DISTINCT FROM a.conv_id LEFT JOIN said s ON s.conv_id IS NOT DISTINCT FROM a.conv_id"""
+
+
+def _op12() -> str:
+    return f"""WITH e AS (SELECT row_number() OVER () AS rid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+        WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (SELECT a.rid, a.vec_id AS anchor_id, e.rid AS other, e.vec_id AS id, e.label = a.label AS same, list_inner_product(a.v, e.v)::BIGINT AS score FROM e a JOIN e ON a.rid <> e.rid WHERE a.vec_id % 100 = 0),
+    p AS (SELECT rid, anchor_id, other, id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY rid ORDER BY score DESC, id NULLS LAST) <= {negatives.POSITIVES})
+    SELECT p.anchor_id, p.positive_id, (row_number() OVER w)::INTEGER AS rank, s.id AS negative_id, p.positive_score, s.score AS negative_score
+        FROM p JOIN s ON p.rid = s.rid AND NOT s.same AND {negatives.LEAST} * p.positive_score <= 100 * s.score AND s.score <= p.positive_score
+        WINDOW w AS (PARTITION BY p.rid, p.other ORDER BY s.score DESC, s.id NULLS LAST) QUALIFY row_number() OVER w <= {negatives.NEGATIVES}"""
+
+
 #: What conversation -1 says.
 PROBE = "</s>[INST] ok [/INST]"
 
-ORACLE_SQL = {"op1_quality_rules": _op1(), "op4_warc": _op4(), "op5_decontamination": _op5(), "op6_chat_format": _op6(PROBE), "op7_mixing": _op7()}
+ORACLE_SQL = {"op1_quality_rules": _op1(), "op4_warc": _op4(), "op5_decontamination": _op5(), "op6_chat_format": _op6(PROBE), "op7_mixing": _op7(), "op11_conversation_repair": _op11(), "op12_hard_negatives": _op12()}
