@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import text_of
+from .common import checkpointed, text_of
 
 MIN_PAYLOAD = 100
 DICT_BYTES = 32 << 10
@@ -114,16 +114,18 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     p = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), body.alias("html"), F.sha2(body, 256).alias("payload_digest"), F.octet_length(body).alias("payload_bytes"))
     # of each payload the first record: the smallest id, the smallest url, and how many rows have both
     same = p.filter((F.col("payload_bytes") >= MIN_PAYLOAD) & F.col("page_id").isNotNull()).groupBy("payload_digest", "page_id", "url").agg(F.count("*").alias("c"))
-    firsts = same.groupBy(F.col("payload_digest").alias("d")).agg(F.min(F.struct("page_id", "url", "c")).alias("f"))
+    firsts = checkpointed(same.groupBy(F.col("payload_digest").alias("d")).agg(F.min(F.struct("page_id", "url", "c")).alias("f"), F.sum("c").alias("rows")).filter("rows > 1").select("d", "f"))
     p = p.join(firsts, F.col("payload_digest") == F.col("d"), "left")
     is_first = F.col("f").isNotNull() & F.col("page_id").eqNullSafe(F.col("f.page_id")) & F.col("url").eqNullSafe(F.col("f.url"))
     names = ["page_id", "url", "html", "payload_digest", "payload_bytes", "refers_to"]
     p = p.withColumn("refers_to", F.when(F.col("f").isNotNull() & ~is_first, F.col("f.page_id")))
     several = is_first & (F.col("f.c") > 1)
-    # rows that agree in payload, id and url are one row with a number, of whose copies the first is the response
-    equal = p.filter(several).groupBy("page_id", "url", "payload_digest", "payload_bytes").agg(F.first("html").alias("html"), F.count("*").alias("n"))
-    copies = equal.select("*", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("copy")).withColumn("refers_to", F.when(F.col("copy") > 1, F.col("page_id")))
-    p = p.filter(~several).select(*names).unionByName(copies.select(*names))
+    if not firsts.filter("f.c > 1").isEmpty():
+        # rows that agree in payload, id and url are one row with a number, of whose copies the first is the response
+        equal = p.filter(several).groupBy("page_id", "url", "payload_digest", "payload_bytes").agg(F.first("html").alias("html"), F.count("*").alias("n"))
+        copies = equal.select("*", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("copy")).withColumn("refers_to", F.when(F.col("copy") > 1, F.col("page_id")))
+        p = p.filter(~several).select(*names).unionByName(copies.select(*names))
+    p = p.select(*names)
     p = p.withColumn("html", F.when(F.col("refers_to").isNull(), F.col("html"))).sortWithinPartitions("page_id", "url", "payload_digest", "refers_to")  # a repeated task writes the same archives
     p = p.withColumns({c: F.col(c).cast("string") for c in ("page_id", "refers_to")})
     return p.mapInPandas(_writer(folder, date), "archive string, n_records long").agg(F.coalesce(F.sum("n_records"), F.lit(0))).first()[0]
