@@ -221,5 +221,5 @@ def test_registered():
     import __spark_entry__ as e
 
     names = set(e.queries())
-    assert "pipeline" in names and set(queries.QUERIES) <= names and len([n for n in names if n.startswith("op")]) == 10
+    assert "pipeline" in names and set(queries.QUERIES) <= names and len([n for n in names if n.startswith("op")]) == 13
     assert set(e.oracle_sql()) <= names
