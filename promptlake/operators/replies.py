@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.text import json_in_list, json_object_in, only_value, strip, unfenced, user_prompt
 from ..rules import COMMENT_TAGS, CONFIDENCES, ENGINES, MODALITIES, PROMPT_TYPES
 from ..schemas import PROMPT
-from ..sources.processed import BucketedLog
+from ..sources.processed import BucketedLog, bucketed
 
 #: What of a hand-off record a model sees.
 SHOWN = ("post_id", "prompt_social_media", "content_type", "slide_total", "slide_count_found", "slides", "ocr_text_combined_raw", "availability_status")
@@ -73,18 +73,24 @@ def answered(
     equal prompts are asked once.  A round is written in ``waves``: a run that is killed
     loses the wave it was at, and goes on from there when it is started again.  With
     ``retry_failed`` prompts that used up their rounds in earlier runs get new ones.
+
+    Whether anything is to be asked is seen from the digests.  What is to be asked is dealt
+    out once, into buckets beside the store while the run lasts, from which all waves read;
+    so one run at a time uses a store.
     """
     log = BucketedLog(records.sparkSession, store, "digest", _STORED, buckets)
     digest = F.sha2(F.concat(F.lit(name), F.lit("\0"), "user_prompt"), 256)
     own = records.select("post_id", "content_type", digest.alias("digest"))
-    prompts = records.select(digest.alias("digest"), "user_prompt").dropDuplicates(["digest"])
     first = (log.rows().agg(F.max("round")).first()[0] or 0) if retry_failed else 0
-    for turn in range(first + 1, first + rounds + 1):
-        settled = log.rows().filter(F.col("valid") | (F.col("round") >= turn)).select("digest")
-        need = prompts.join(settled, "digest", "left_anti")
-        for wave in range(waves):
-            part = need.filter(F.pmod(F.xxhash64("digest", F.lit(turn)), F.lit(waves)) == wave)
-            log.insert(_judged_calls(call_model(part, model, tasks, retries, wait, ("digest",)), turn))
+    lacking = lambda rows, turn: rows.join(log.rows().filter(F.col("valid") | (F.col("round") >= turn)).select("digest").hint("shuffle_hash"), "digest", "left_anti")
+    if not lacking(own.select("digest"), first + rounds).isEmpty():
+        prompts = records.select(digest.alias("digest"), "user_prompt").dropDuplicates(["digest"])
+        with bucketed(lacking(prompts, first + rounds), f"{store.rstrip('/')}/_prompts", "digest") as asked:
+            for turn in range(first + 1, first + rounds + 1):
+                need = lacking(asked, turn)
+                for wave in range(waves):
+                    part = need.filter(F.pmod(F.xxhash64("digest", F.lit(turn)), F.lit(waves)) == wave)
+                    log.insert(_judged_calls(call_model(part, model, tasks, retries, wait, ("digest",)), turn))
     last = log.rows().groupBy("digest").agg(F.max_by(F.struct("raw_reply", "call_error", "valid"), "round").alias("r"), F.count("*").alias("n_rounds"), F.sum("tries").alias("n_tries"))
     return own.join(last, "digest", "left").select("post_id", "content_type", "r.raw_reply", "r.call_error", "r.valid", "n_rounds", "n_tries")
 

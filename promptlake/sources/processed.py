@@ -11,6 +11,9 @@ the rows of earlier ones, as the buckets are in the files' names.
 from __future__ import annotations
 
 import hashlib
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +39,23 @@ class BucketedLog:
         rows.select(*self.rows().columns).repartition(self.buckets, self.key).write.insertInto(self.name)
 
 
+@contextmanager
+def bucketed(rows: DataFrame, folder: str, key: str) -> Iterator[DataFrame]:
+    """``rows`` in a folder, in hash buckets of a key, for as long as they are needed: joins by the key deal out the other side alone.
+
+    There are as many buckets as partitions of a shuffle; a folder that a killed run left is replaced.
+    """
+    spark, name = rows.sparkSession, f"rows_{uuid.uuid4().hex}"
+    try:
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        rows.write.format("parquet").bucketBy(n, key).option("path", folder).mode("overwrite").saveAsTable(name)
+        yield spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        where = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 class ProcessedLog(BucketedLog):
     """Keys with their status: ok, error, or none."""
 
