@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -48,19 +50,27 @@ def merge(target: DataFrame, batch: DataFrame, order: list[str], now: str | None
     row are replaced, created_at stays, updated_at moves; columns that the batch
     lacks keep their values.
     """
-    at = F.lit(now).cast("timestamp") if now else F.current_timestamp()
-    fields = [c for c in batch.columns if c not in (*order, "created_at", "updated_at", "action")]
+    fields = _fields(batch, order)
     new = batch.groupBy(KEY).agg(F.max_by(F.struct(*fields), F.struct(*order)).alias("n"))
-    both = target.alias("t").join(new.alias("b"), KEY, "full_outer")
-    given = F.col("b.n").isNotNull()
-    value = lambda c: F.when(given, F.col(f"b.n.{c}")).otherwise(F.col(f"t.{c}")).alias(c) if c in target.columns else F.col(f"b.n.{c}").alias(c)
+    both = target.select(KEY, F.struct(*target.columns).alias("t")).join(new, KEY, "full_outer")
+    return both.select(KEY, *_outcome(target, fields, now))
+
+
+def _fields(batch: DataFrame, order: list[str]) -> list[str]:
+    return [c for c in batch.columns if c not in (*order, "created_at", "updated_at", "action")]
+
+
+def _outcome(target: DataFrame, fields: list[str], now: str | None = None) -> list[Column]:
+    """All but the key of a merged row, from t, the row that was there, and n, the new one."""
+    at = F.lit(now).cast("timestamp") if now else F.current_timestamp()
+    given, was_there = F.col("n").isNotNull(), F.col("t.created_at").isNotNull()
+    value = lambda c: F.when(given, F.col(f"n.{c}")).otherwise(F.col(f"t.{c}")).alias(c) if c in target.columns else F.col(f"n.{c}").alias(c)
     kept = [F.col(f"t.{c}") for c in target.columns if c not in (*fields, "created_at", "updated_at", "action")]
-    was_there = F.col("t.created_at").isNotNull()
-    return both.select(
-        KEY, *[value(c) for c in fields if c != KEY], *kept,
+    return [
+        *[value(c) for c in fields if c != KEY], *kept,
         F.when(given, at).otherwise(F.col("t.updated_at")).alias("updated_at"), F.coalesce("t.created_at", at).alias("created_at"),
         F.when(given & was_there, "updated").when(given, "inserted").otherwise("kept").alias("action"),
-    )
+    ]
 
 
 def load(target_path: str, batch: DataFrame, order: list[str], gate: bool = True, buckets: int = keyed.BUCKETS, stream: str | None = None, batch_id: int | None = None) -> DataFrame:
@@ -77,14 +87,21 @@ def load(target_path: str, batch: DataFrame, order: list[str], gate: bool = True
     seen = Observation()
     actions = [F.count_if(F.col("action") == a).alias(a) for a in ("inserted", "updated")]
 
-    def merged(target: DataFrame, rows: DataFrame) -> DataFrame:
+    fields = _fields(batch, order)
+
+    def merged(target: DataFrame, rows: DataFrame, deal: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        # as merge does it, with both dealt out at once; rows of the table without a key stay as they are
+        alone = F.when(F.col(KEY).isNull(), F.monotonically_increasing_id()).alias("alone")
+        old = target.select(KEY, alone, F.struct(*target.columns).alias("t"))
+        both = deal(old.unionByName(rows.select(KEY, F.struct(*fields).alias("n"), F.struct(*order).alias("o")), allowMissingColumns=True))
+        at_key = both.groupBy(*keyed.PLACE, KEY, "alone").agg(F.first("t", ignorenulls=True).alias("t"), F.max_by("n", "o").alias("n"))
         # observed before what happened to a row is left out
-        return merge(target, rows, order).observe(seen, *actions).drop("action")
+        return at_key.select(*keyed.PLACE, KEY, *_outcome(target, fields)).observe(seen, *actions).drop("action")
 
     def empty() -> StructType:
         return batch.drop(*order).withColumns({"updated_at": F.lit(None).cast("timestamp"), "created_at": F.lit(None).cast("timestamp")}).schema
 
-    done = keyed.change(spark, target_path, batch, KEY, merged, empty, buckets, stream, batch_id)
+    done = keyed.change(spark, target_path, batch, KEY, merged, empty, buckets, stream, batch_id, tuple(fields))
     found = [(a, n) for a, n in seen.get.items() if n] if done else []
     return spark.createDataFrame(found, "action string, n_rows long")
 

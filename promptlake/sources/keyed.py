@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 BUCKETS = 64
+#: Where rows that are dealt out for a change belong: their bucket, and which part of it.
+PLACE = ("_bucket", "_part")
 
 
 class Conflict(RuntimeError):
@@ -49,6 +51,13 @@ def bucket_of(key: str, buckets: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
 
+def _dealt(rows: DataFrame, key: str, buckets: int) -> DataFrame:
+    """``rows`` with their places, dealt out by them; the more partitions a shuffle has, the more parts has a bucket."""
+    parts = -(-2 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) // buckets)
+    part = F.pmod(F.xxhash64(key, F.lit(1)), F.lit(parts))
+    return rows.withColumns(dict(zip(PLACE, (bucket_of(key, buckets), part), strict=True))).repartition(*PLACE)
+
+
 class _Store:
     """A folder, through Hadoop's file systems."""
 
@@ -134,15 +143,17 @@ def read_keys(spark: SparkSession, path: str, keys: list, version: int | None =
 
 
 def change(
-    spark: SparkSession, path: str, batch: DataFrame, key: str, merged: Callable[[DataFrame, DataFrame], DataFrame], empty: Callable[[], StructType], buckets: int = BUCKETS,
-    stream: str | None = None, batch_id: int | None = None, watched: Callable[[DataFrame], DataFrame] = lambda d: d,
+    spark: SparkSession, path: str, batch: DataFrame, key: str, merged: Callable[[DataFrame, DataFrame, Callable[[DataFrame], DataFrame]], DataFrame], empty: Callable[[], StructType], buckets: int = BUCKETS,
+    stream: str | None = None, batch_id: int | None = None, replaced: tuple[str, ...] = (), watched: Callable[[DataFrame], DataFrame] = lambda d: d,
 ) -> Manifest | None:
-    """The version that ``merged(target, batch)`` makes of the buckets of the batch's keys.
+    """The version that ``merged(target, batch, deal)`` makes of the buckets of the batch's keys.
 
     ``target`` are the rows of those buckets, with the columns that ``empty`` gives for a
-    new table; what is merged must keep keys in their buckets.  A batch that a stream has
-    committed before changes nothing, and returns None; so does one without rows.
-    ``watched`` may observe what is written.
+    new table.  Rows are dealt out once: ``merged`` groups what ``deal`` makes of both by
+    ``PLACE`` and the key, and its result still has ``PLACE``.  Columns in ``replaced`` are
+    null in buckets of which every row is in the batch, for a merge that doesn't look at
+    what the batch replaces.  A batch that a stream has committed before changes nothing,
+    and returns None; so does one without rows.  ``watched`` may observe what is written.
     """
     old = manifest(spark, path)
     if old is not None and stream is not None and batch_id <= old.batches.get(stream, -1):
@@ -154,15 +165,21 @@ def change(
     if not touched:
         return None
     now = Manifest(0, key, n, empty().jsonValue()) if old is None else old
-    target = _rows(spark, path, now, [now.folders[b] for b in touched if b in now.folders])
-    out = merged(target, batch)
+    there = lambda found: _rows(spark, path, now, [now.folders[b] for b in found if b in now.folders])
+    target = there(touched)
+    if replaced and set(touched) & set(now.folders):
+        stays = target.select(key).join(batch.select(key), key, "left_anti").select(bucket_of(key, n)).distinct()
+        mixed = {str(r[0]) for r in stays.collect()}  # n at most
+        blank = {f.name: F.lit(None).cast(f.dataType) for f in target.schema if f.name in replaced and f.name != key}
+        target = there([b for b in touched if b in mixed]).unionByName(there([b for b in touched if b not in mixed]).withColumns(blank))
+    out = merged(target, batch, lambda rows: _dealt(rows, key, n))
     folder = f"data/{now.version + 1:012d}-{uuid.uuid4().hex}"
-    to = watched(out).withColumn("bucket", bucket_of(key, n)).hint("rebalance", "bucket")  # few files a bucket, large buckets split
+    to = watched(out).withColumnRenamed(PLACE[0], "bucket").drop(PLACE[1])  # a file a part at most
     to.write.partitionBy("bucket").parquet(f"{path.rstrip('/')}/{folder}")
     written = {name.removeprefix("bucket=") for name in _Store(spark, path).names(folder) if name.startswith("bucket=")}
     folders = {b: f for b, f in now.folders.items() if b not in touched} | {b: f"{folder}/bucket={b}" for b in written}
     batches = now.batches | ({stream: batch_id} if stream is not None else {})
-    new = Manifest(now.version + 1, key, n, out.schema.jsonValue(), folders, batches)
+    new = Manifest(now.version + 1, key, n, out.drop(*PLACE).schema.jsonValue(), folders, batches)
     commit(spark, path, new)
     return new
 

@@ -11,7 +11,7 @@ nobody asks for again can be forgotten after ``ttl_ms``.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -71,9 +71,9 @@ def keep_first(rows: DataFrame, table: str, checkpoint: str, key: str, order: li
     names = rows.columns
     better = F.struct(*order)
 
-    def merged(target: DataFrame, news: DataFrame) -> DataFrame:
-        both = target.select(*names).unionByName(news.select(*names))
-        return both.groupBy(F.col(key).alias(_KEY)).agg(F.min_by(F.struct(*names), better).alias("_row")).select("_row.*")
+    def merged(target: DataFrame, news: DataFrame, deal: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        both = deal(target.select(*names).unionByName(news.select(*names)))
+        return both.groupBy(*keyed.PLACE, F.col(key).alias(_KEY)).agg(F.min_by(F.struct(*names), better).alias("_row")).select(*keyed.PLACE, "_row.*")
 
     def each(batch: DataFrame, batch_id: int) -> None:
         keyed.change(batch.sparkSession, table, batch, key, merged, lambda: rows.schema, buckets, checkpoint, batch_id)
