@@ -14,20 +14,25 @@ counted to know it.
 Boxes are cut into ranges of bytes; a task reads the messages that begin in its range, the
 last one to its end.  Small files share a task.  A stream goes by the time of files, then
 by name, and takes what boxes have grown by; files stay as they are, boxes only grow.
-Files are read through Arrow's file systems, by the executors.
+Files are read through Arrow's file systems, by the executors, which hand messages over
+in small batches: a range is in memory as a whole at no time.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
+from typing import TYPE_CHECKING
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 from pyspark.sql.types import StructType
 
+if TYPE_CHECKING:
+    from pyarrow import RecordBatch
+
 SCHEMA = "message_id string, message_ord long, content binary"
-#: Bytes of a range, files of a task, bytes read at once.
-SPLIT_BYTES, TASK_FILES, CHUNK = 64 << 20, 2000, 1 << 20
+#: Bytes of a range, files of a task, bytes read at once, bytes of texts that Python holds to hand them over.
+SPLIT_BYTES, TASK_FILES, CHUNK, HELD_BYTES = 64 << 20, 2000, 1 << 20, 4 << 20
 _BEGINS = b"\nFrom "
 _QUOTED = re.compile(rb"^>(?=>*From )", re.M)
 
@@ -131,6 +136,27 @@ def read_range(path: str, part: Range) -> Iterator[tuple[str, int, bytes]]:
             continue
 
 
+def held(rows: Iterable[tuple], weight: Callable[[tuple], int]) -> Iterator[list[tuple]]:
+    """``rows`` in lists that are handed over when they weigh ``HELD_BYTES``, however many or large rows are."""
+    out, size = [], 0
+    for row in rows:
+        out.append(row)
+        size += weight(row) + 100
+        if size >= HELD_BYTES:
+            yield out
+            out, size = [], 0
+    if out:
+        yield out
+
+
+def _batches(rows: Iterable[tuple[str, int, bytes]]) -> Iterator[RecordBatch]:
+    import pyarrow as pa
+
+    schema = pa.schema({"message_id": pa.string(), "message_ord": pa.int64(), "content": pa.binary()})
+    for some in held(rows, lambda r: len(r[2])):
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*some, strict=True), schema.types, strict=True)], schema=schema)
+
+
 class _Reader(DataSourceReader):
     def __init__(self, path: str, split: int):
         self.path, self.split = path, split
@@ -142,8 +168,8 @@ class _Reader(DataSourceReader):
             base += size
         return planned(pieces, self.split) or [Range([])]
 
-    def read(self, partition: Range) -> Iterator[tuple[str, int, bytes]]:
-        return read_range(self.path, partition)
+    def read(self, partition: Range) -> Iterator[RecordBatch]:
+        return _batches(read_range(self.path, partition))
 
 
 class _StreamReader(DataSourceStreamReader):
@@ -173,8 +199,8 @@ class _StreamReader(DataSourceStreamReader):
                 base += size - first
         return planned(pieces, self.split)
 
-    def read(self, partition: Range) -> Iterator[tuple[str, int, bytes]]:
-        return read_range(self.path, partition)
+    def read(self, partition: Range) -> Iterator[RecordBatch]:
+        return _batches(read_range(self.path, partition))
 
 
 class StoredMail(DataSource):

@@ -9,12 +9,15 @@ import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from ..functions.text import image_facts
 from ..schemas import MAIL_PART
-from .mailbox import StoredMail
+from .mailbox import StoredMail, held
 
 
 def screenshots(spark: SparkSession, root: str) -> DataFrame:
@@ -70,20 +73,24 @@ def stored_mail(spark: SparkSession, path: str, stream: bool = False, **options:
 def mail_parts(messages: DataFrame, gmail_query: str = "") -> DataFrame:
     """Stored messages to a row for each text part (R9, M1, M2); unreadable ones are left out."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for b in batches:
-            rows = []
-            for name, place, content in zip(b["message_id"], b["message_ord"], b["content"], strict=True):
+            for name, place, content in zip(*b.columns, strict=True):
                 try:
-                    m = email.message_from_bytes(bytes(content), policy=email.policy.compat32)
-                    head = (_header(m.get("Subject")), _header(m.get("From")), m.get("Date") or "")
+                    m = email.message_from_bytes(content.as_py(), policy=email.policy.compat32)
+                    head = (_header(m.get("Subject")), _header(m.get("From")), str(m.get("Date") or ""))
                     texts = list(_texts(m))
                 except (ValueError, LookupError, UnicodeError):
                     continue
-                rows += [(name, place, *head, gmail_query, i, t) for i, t in enumerate(texts)]
-            yield pd.DataFrame(rows, columns=["message_id", "message_ord", "subject", "from", "email_datetime", "gmail_query", "part_ord", "text"])
+                for i, t in enumerate(texts):
+                    yield name.as_py(), place.as_py(), *head, gmail_query, i, t
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for some in held(rows(batches), lambda r: len(r[-1])):
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*some, strict=True), schema.types, strict=True)], schema=schema)
 
-    parts = messages.select("message_id", "message_ord", "content").mapInPandas(run, MAIL_PART)
+    schema = to_arrow_schema(StructType.fromDDL(MAIL_PART))
+    parts = messages.select("message_id", "message_ord", "content").mapInArrow(run, MAIL_PART)
     return parts.withColumn("email_datetime", mail_datetime(F.col("email_datetime")))
 
 
