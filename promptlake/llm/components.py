@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed
+from .common import settled
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -19,7 +19,7 @@ def components(edges: DataFrame) -> DataFrame:
     number of rounds grows with the logarithm of a component's width.
     """
     ends = edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    now = checkpointed(ends)
+    now = settled(ends)
     seen = _state(now)
     while seen[0]:
         both = now.union(now.select("b", "a"))
@@ -28,7 +28,7 @@ def components(edges: DataFrame) -> DataFrame:
         # a > b in every row of large
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = low.select("a", F.col("m").alias("b")).union(large.join(low, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))).distinct()
-        now = checkpointed(small)
+        now = settled(small)
         last, seen = seen, _state(now)
         if last == seen:
             break

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, shuffle_parts, text_of
+from .common import released, settled, shuffle_parts, text_of
 from .components import components
 
 SHINGLE = 5
@@ -377,12 +377,11 @@ def _blocked(sets: DataFrame) -> DataFrame:
     return b.groupBy("blk").agg(F.collect_list(F.struct("name", "n", "comp", "tok", "df")).alias("sets"))
 
 
-def _links(sets: DataFrame, all_pairs: bool) -> DataFrame:
-    """Joining links within blocks, and between each block and one other for each token or, at last, all that share one."""
-    blocks = checkpointed(_blocked(sets))
+def _links(blocks: DataFrame, all_pairs: bool) -> DataFrame:
+    """Joining links within ``blocks`` (a checkpoint, released here), and between each block and one other for each token or, at last, all that share one."""
     tokens = blocks.mapInPandas(_prefix_tokens, "ord int, token long, blk long, pure long")
     if all_pairs:
-        tokens = checkpointed(tokens)
+        tokens = settled(tokens)
         groups = tokens.groupBy("ord", "token").agg(F.min("blk").alias("lo"), F.max("blk").alias("hi"), F.max(F.col("pure").isNull()).alias("mixed"), F.min("pure").alias("p"), F.max("pure").alias("q"))
         groups = groups.filter("lo <> hi and (mixed or p <> q)").select("ord", "token")
         t = tokens.join(groups, ["ord", "token"])
@@ -396,17 +395,21 @@ def _links(sets: DataFrame, all_pairs: bool) -> DataFrame:
         pairs = first.join(hub, "token").filter("blk <> bx").groupBy("bx", F.col("blk").alias("by")).agg(F.count("*").alias("n")).filter(F.col("n") >= FIRST_ROUND)
     met = pairs.select("bx", "by").join(blocks.select(F.col("blk").alias("bx"), F.col("sets").alias("x")), "bx").join(blocks.select(F.col("blk").alias("by"), F.col("sets").alias("y")), "by")
     within = blocks.mapInPandas(_within, _LINKS)
-    return checkpointed(within.union(met.select("x", "y").mapInPandas(_between, _LINKS)))
+    links = settled(within.union(met.select("x", "y").mapInPandas(_between, _LINKS)))
+    released(blocks, *([tokens] if all_pairs else []))
+    return links
 
 
 def linked_sets(sets: DataFrame) -> DataFrame:
-    """(node, root) of the components of ``sets`` (name, n, m, top, tok, df)."""
-    first = _links(sets.withColumn("comp", F.col("name")).withColumn("group", F.col("top")), all_pairs=False)
+    """(node, root) of the components of ``sets`` (name, n, m, top, tok, df; a checkpoint, released here)."""
+    first = _links(settled(_blocked(sets.withColumn("comp", F.col("name")).withColumn("group", F.col("top")))), all_pairs=False)
     near = components(first)
     root = F.coalesce(F.col("root"), F.col("name"))
     sizes = near.select("root").distinct().withColumn("many", F.lit(True)).withColumnRenamed("root", "r")
     second = sets.join(near, sets["name"] == near["node"], "left").withColumn("comp", root).join(sizes, F.col("comp") == F.col("r"), "left")
     second = second.withColumn("group", F.when(F.col("many"), F.col("comp")).otherwise(F.col("top"))).drop("node", "root", "r", "many")
+    second = settled(_blocked(second))
+    released(sets)
     more = _links(second, all_pairs=True)
     return components(near.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
 
@@ -425,17 +428,18 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     by_name = F.pmod(F.col("name"), F.lit(parts)).cast("int")
     spread = F.pmod(F.xxhash64("name", "doc_id"), F.lit(parts)).cast("int")  # copies have one name
     index = index.repartition(parts, F.coalesce("part", spread))
-    index = checkpointed(index.mapInArrow(_index_reduce(parts), kind))
-    found = index.filter("packed is null").select("doc_id", "n", "name")
+    index = settled(index.mapInArrow(_index_reduce(parts), kind))
+    found = settled(index.filter("packed is null").select("doc_id", "n", "name"))
     postings = index.filter("packed is not null").select("n", "name", "packed", F.col("part").alias("to"))
     sizes = found.groupBy("name").agg(F.max("n").alias("n")).select("n", "name", F.lit(None).cast("binary").alias("packed"), by_name.alias("to"))
-    sets = postings.unionByName(sizes).repartition(parts, "to").mapInArrow(_sets, "name long, n int, m int, top long, tok binary, df binary")
-    near = linked_sets(checkpointed(sets))
+    sets = settled(postings.unionByName(sizes).repartition(parts, "to").mapInArrow(_sets, "name long, n int, m int, top long, tok binary, df binary"))
+    released(index)
+    near = linked_sets(sets)
     placed = found.join(near, (found["name"] == near["node"]) & (found["n"] > 0), "left").select("doc_id", "n", F.coalesce("root", "name").alias("set"))
-    placed = checkpointed(placed)
+    placed = settled(placed)
     # a table of its own: Spark can then split the rows of a large component over several tasks
     least = placed.filter("n > 0").groupBy("set").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows")).filter("rows > 1").select("set", "least")
-    least = checkpointed(least)
+    least = settled(least)
     out = placed.alias("p").join(least.alias("l"), (F.col("p.set") == F.col("l.set")) & (F.col("p.n") > 0), "left")
     return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"))
 
@@ -454,7 +458,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     name = F.struct(doc.isNull().alias("no_id"), doc.alias("id"), F.xxhash64(text_of(text)).alias("hash"))
     found = jaccard_components(own.select(name.alias("name"), text.alias("text")), "name", "text").filter("n_shingles > 0")
     state = found.groupBy("doc_id").agg(F.count("*").alias("rows"), F.first("component_id").alias("first")).filter("rows > 1 or doc_id <> first")
-    state = checkpointed(state.select(F.col("doc_id.id").alias("s_id"), F.col("doc_id.hash").alias("s_hash"), "rows", (F.col("doc_id") != F.col("first")).alias("gone")))
+    state = settled(state.select(F.col("doc_id.id").alias("s_id"), F.col("doc_id.hash").alias("s_hash"), "rows", (F.col("doc_id") != F.col("first")).alias("gone")))
     sizes = state.agg(F.count("*"), F.count_if(~F.col("gone"))).first()
     if sizes[0] <= BROADCAST_ROWS:
         state = F.broadcast(state)

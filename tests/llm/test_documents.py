@@ -2,13 +2,16 @@
 
 import hashlib
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import pytest
 import xxhash
 
 from promptlake.llm import jaccard, linededup, mixing, quality, queries, sharding, suffix, winnow
+from promptlake.llm.common import shared_dir
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -408,6 +411,25 @@ def test_keep_one(spark, docs, rows, empty, most, monkeypatch):
     assert jaccard.keep_one(empty).count() == 0
 
 
+def test_jaccard_disk(spark, docs, rows, tmp_path):
+    """Shuffle files go with the step that wrote them, and checkpoints of postings, sets and blocks when the links are found."""
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffled = lambda: {f for d in blocks.localDirsString() for f in Path(d).rglob("shuffle_*.data")}
+    kept = lambda: {f for f in Path(spark.sparkContext.getCheckpointDir().removeprefix("file:")).rglob("rdd-*/part-*")}
+    size = lambda files: sum(f.stat().st_size for f in files if f.exists())
+    shared_dir(spark)
+    before, parts = shuffled(), kept()
+    out = jaccard.keep_one(docs)
+    left = shuffled() - before
+    for _ in range(50):  # they go in the background
+        if size(left) < 20_000:
+            break
+        time.sleep(0.2)
+    assert size(left) < 20_000
+    assert size(kept() - parts) < 30_000
+    assert collected(out, "doc_id", "text") == one_brute(rows)
+
+
 # lines
 
 
